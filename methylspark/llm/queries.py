@@ -1,10 +1,12 @@
 """The subpackage's queries and their oracle SQL."""
 
-from methylspark.llm import topk
+from methylspark.llm import mixing, topk
 
 QUERIES = {
+    "op1_mix_sources": mixing.op1_mix_sources,
     "op10_topk_search": topk.op10_topk_search,
 }
 ORACLES = {
+    "op1_mix_sources": mixing.ORACLE,
     "op10_topk_search": topk.ORACLE,
 }
