@@ -1,10 +1,11 @@
 """The subpackage's queries and their oracle SQL."""
 
-from methylspark.llm import mixing, packing, topk
+from methylspark.llm import fingerprint, mixing, packing, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op7_pack_sequences": packing.op7_pack_sequences,
+    "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_topk_search": topk.op10_topk_search,
 }
 ORACLES = {
