@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: White space that separates words everywhere here: U+0020 and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -73,6 +74,15 @@ class Workspace:
             pass
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def columns_of(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like``, whatever they are called."""
+    return df.select(*[F.col(quoted(c)) for c in like.columns])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from methylspark.llm.common import WORD, Workspace, table
+from methylspark.llm.common import WORD, Workspace, columns_of, table
 
 #: Sources whose cutoffs may be broadcast in ``apply_mix``; beyond it a shuffle join is used.
 BROADCAST_SOURCES = 20_000
@@ -138,7 +138,7 @@ def apply_mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col:
     marked = marked.join(F.broadcast(cut) if small else cut, F.col(source_col).eqNullSafe(F.col("__mix_source")))
     times = sum((F.coalesce(F.col("__mix_key") <= F.col(f"__mix_cut{p}"), F.lit(False)).cast("int") for p in range(1, most + 1)), F.lit(0))
     marked = marked.where(F.col("__mix_size") > 0).withColumn("__mix_pass", F.explode(F.array_repeat(F.lit(1), times)))
-    return marked.select(*docs.columns)
+    return columns_of(marked, docs)
 
 
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:
