@@ -1,9 +1,10 @@
 """The subpackage's queries and their oracle SQL."""
 
-from methylspark.llm import fingerprint, langid, mixing, packing, topk
+from methylspark.llm import fingerprint, langid, mixing, packing, secrets, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op5_secret_scan": secrets.op5_secret_scan,
     "op6_language_id": langid.op6_language_id,
     "op7_pack_sequences": packing.op7_pack_sequences,
     "op9_fingerprints": fingerprint.op9_fingerprints,
