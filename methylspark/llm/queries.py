@@ -1,12 +1,13 @@
 """The subpackage's queries and their oracle SQL."""
 
-from methylspark.llm import fingerprint, langid, mixing, packing, secrets, topk
+from methylspark.llm import fingerprint, langid, mixing, neardup, packing, secrets, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op5_secret_scan": secrets.op5_secret_scan,
     "op6_language_id": langid.op6_language_id,
     "op7_pack_sequences": packing.op7_pack_sequences,
+    "op8_near_duplicates": neardup.op8_near_duplicates,
     "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_topk_search": topk.op10_topk_search,
 }
