@@ -5,9 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from methylspark.llm.common import Workspace, table
+from methylspark.llm.langid import stage_language
+from methylspark.llm.mixing import stage_mix
+from methylspark.llm.neardup import stage_near_duplicates
+from methylspark.llm.packing import stage_pack
+from methylspark.llm.secrets import stage_secrets
 
 #: (name, function) in order; every stage works on all that its predecessor kept.
-STAGES = []
+STAGES = [
+    ("language", stage_language),
+    ("near_duplicates", stage_near_duplicates),
+    ("secrets", stage_secrets),
+    ("mix", stage_mix),
+    ("pack", stage_pack),
+]
 
 #: None: language models, sketches, guess costs and tokens are beyond SQL.
 ORACLE_SQL = None
