@@ -166,7 +166,7 @@ def pack(
     return out.select(*cols, *(["ids"] if keep_ids else []))
 
 
-def _vocabulary() -> str:
+def vocabulary() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -175,9 +175,9 @@ def _vocabulary() -> str:
 def op7_pack_sequences(spark, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """All documents in sequences of 2048 tokens; a digest of each piece in place of its ids."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pack(docs, tokenizer or _vocabulary(), end_id=1, window=2048, keep_ids=False)
+    return pack(docs, tokenizer or vocabulary(), end_id=1, window=2048, keep_ids=False)
 
 
 def stage_pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the corpus as packed sequences, ids included."""
-    return pack(docs, _vocabulary(), end_id=1, window=2048)
+    return pack(docs, vocabulary(), end_id=1, window=2048)

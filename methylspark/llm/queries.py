@@ -1,9 +1,11 @@
 """The subpackage's queries and their oracle SQL."""
 
-from methylspark.llm import fingerprint, langid, mixing, neardup, packing, secrets, topk
+from methylspark.llm import fingerprint, langid, mixing, neardup, packing, secrets, spans, topk, training_order
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_training_order": training_order.op3_training_order,
+    "op4_span_dedup": spans.op4_span_dedup,
     "op5_secret_scan": secrets.op5_secret_scan,
     "op6_language_id": langid.op6_language_id,
     "op7_pack_sequences": packing.op7_pack_sequences,
