@@ -1,9 +1,10 @@
 """The subpackage's queries and their oracle SQL."""
 
-from methylspark.llm import fingerprint, langid, mixing, neardup, packing, secrets, spans, topk, training_order
+from methylspark.llm import fingerprint, langid, licenses, mixing, neardup, packing, secrets, spans, topk, training_order
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_license_scan": licenses.op2_license_scan,
     "op3_training_order": training_order.op3_training_order,
     "op4_span_dedup": spans.op4_span_dedup,
     "op5_secret_scan": secrets.op5_secret_scan,
