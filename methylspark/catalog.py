@@ -22,3 +22,6 @@ def register(name: str, sql: str | None = None):
         return fn
 
     return put
+
+
+from methylspark.plans import queries as _queries  # noqa: E402, F401  registers the queries
