@@ -19,8 +19,8 @@ def lines_of(spark: SparkSession, path: str) -> DataFrame:
 def _terms(lines: DataFrame, terms: dict[str, str]) -> DataFrame:
     """Integer values of ``term: value ...`` lines, 0 where a report lacks the term."""
     parts = F.split("line", ":")
-    d = lines.withColumn("__t", F.when(F.size(parts) == 2, F.trim(F.get(parts, F.lit(0)))))
-    d = d.withColumn("__v", F.regexp_extract(F.trim(F.get(parts, F.lit(1))), "^([0-9]+)", 1))
+    d = lines.withColumn("__t", F.when(F.size(parts) == 2, F.trim(F.get(parts, F.lit(0)), F.lit(" \t"))))
+    d = d.withColumn("__v", F.regexp_extract(F.trim(F.get(parts, F.lit(1)), F.lit(" \t")), "^([0-9]+)", 1))
     return d.groupBy("cell_id").agg(*[F.coalesce(F.max(F.when(F.col("__t") == t, F.expr("try_cast(__v as bigint)"))), F.lit(0)).alias(n) for t, n in terms.items()])
 
 
