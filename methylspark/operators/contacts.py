@@ -186,3 +186,54 @@ def contact_matrix(df: DataFrame, resolution: int, keys: list[str], min_distance
     d = df.where((F.col("chrom1") == F.col("chrom2")) & (F.abs(F.col("start1") - F.col("start2")) > min_distance))
     a, b = F.floor(F.col("start1") / resolution), F.floor(F.col("start2") / resolution)
     return d.groupBy(*keys, F.col("chrom1").alias("chrom"), F.least(a, b).alias("bin1"), F.greatest(a, b).alias("bin2")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def with_enough_contacts(contacts: DataFrame, counts: DataFrame, column: str = "CisLongContact", least: int = 50_000) -> DataFrame:
+    """Contacts of cells that have more than ``least``."""
+    return contacts.join(counts.where(F.col(column) > least).select("cell_id"), "cell_id", "left_semi")
+
+
+def impute(matrix: DataFrame, bins: int, pad: int = 1, restart: float = 0.5, tol: float = 0.01, cutoff: float = 1e-5) -> DataFrame:
+    """Imputed contact matrices, (cell_id, chrom, bin1, bin2, value): mean over neighbouring bins, then a random walk with
+    restart until it changes by less than ``tol``. A task holds one chromosome of one cell; ``bins`` bounds its side.
+
+    Stands in for an external tool, whose figures it doesn't claim to reproduce.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def walk(key, pdf):
+        n = int(min(bins, pdf[["bin1", "bin2"]].to_numpy().max() + 1))
+        pdf = pdf[(pdf["bin1"] < n) & (pdf["bin2"] < n)]
+        m = np.zeros((n, n))
+        np.add.at(m, (pdf["bin1"], pdf["bin2"]), pdf["n"])
+        m = np.maximum(m, m.T)
+        wide = np.pad(m, pad)
+        m = sum(wide[i : i + n, j : j + n] for i in range(2 * pad + 1) for j in range(2 * pad + 1)) / (2 * pad + 1) ** 2
+        np.fill_diagonal(m, 1)
+        p = m / m.sum(axis=1, keepdims=True)
+        q = np.eye(n)
+        while True:
+            new = restart * q @ p + (1 - restart) * np.eye(n)
+            if np.abs(new - q).sum() < tol:
+                break
+            q = new
+        q = new + new.T
+        d = np.sqrt(q.sum(axis=1))
+        q = q / d[:, None] / d[None, :]
+        i, j = np.nonzero(np.triu(q) > cutoff)
+        return pd.DataFrame({"cell_id": key[0], "chrom": key[1], "bin1": i, "bin2": j, "value": q[i, j]})
+
+    return matrix.groupBy("cell_id", "chrom").applyInPandas(walk, "cell_id string, chrom string, bin1 long, bin2 long, value double")
+
+
+def embed(matrix: DataFrame, dims: int = 10, features: int = 1 << 14) -> DataFrame:
+    """(cell_id, embedding): principal components of cells by hashed bin pairs."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    slot = F.pmod(F.xxhash64("chrom", "bin1", "bin2"), F.lit(min(features, 256)))
+    by = matrix.groupBy("cell_id", slot.alias("slot")).agg(F.log1p(F.sum("n")).alias("v"))
+    wide = by.groupBy("cell_id").agg(F.map_from_entries(F.collect_list(F.struct("slot", "v"))).alias("m"))
+    dense = wide.select("cell_id", array_to_vector(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(min(features, 256) - 1).cast("long")), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))).alias("x"))
+    return PCA(k=dims, inputCol="x", outputCol="pc").fit(dense).transform(dense).select("cell_id", vector_to_array("pc").alias("embedding"))

@@ -83,3 +83,14 @@ def sample_sheet(plates: DataFrame, primers: DataFrame, lanes: int = 4, reverse_
     d = d.crossJoin(F.broadcast(spark.range(1, lanes + 1).withColumnRenamed("id", "Lane")))
     i5 = reverse_complement(F.col("i5")) if reverse_i5 else F.col("i5")
     return d.select("Lane", F.concat_ws("-", clean_name(F.col("plate_id")), "position").alias("Sample_ID"), F.col("i7").alias("index"), i5.alias("index2"))
+
+
+def fastq_catalog(spark, paths: list[str], version: str) -> DataFrame:
+    """The files of a run, one row each; raises if a name is malformed or a library appears twice in a lane and read type."""
+    df = spark.createDataFrame([(p,) for p in paths], "fastq_path string")
+    out = df.select("fastq_path", *[c.alias(n) for n, c in parse_fastq_name(F.col("fastq_path"), version).items()])
+    if bad := out.where(~F.col("valid")).select("fastq_path").take(3):
+        raise ValueError(f"file names not understood: {', '.join(r[0] for r in bad)}")
+    if twice := repeated_uids(out).take(3):
+        raise ValueError(f"libraries named twice: {', '.join(r['uid'] for r in twice)}")
+    return out.drop("valid")

@@ -208,3 +208,29 @@ def keep_pairs(df: DataFrame, min_length: int = 30) -> DataFrame:
     return df.where((F.length("seq1") >= min_length) | (F.length("seq2") >= min_length))
 
 
+
+
+def qname_fields(df: DataFrame, qname: str = "qname", illumina: bool = True) -> DataFrame:
+    """read_name, st, ss, se of names like ``read_1:20:80``: the type and slice of a split read. Whole reads, whose names
+    have no slice, get (0, qlen) and their type as F1 or F2; a split part is S1 or S2."""
+    last = F.substring_index(qname, "_", -1)
+    sliced = last.rlike("^[12]:[0-9]+:[0-9]+$")
+    name = F.substring_index(qname, "_", 1) if illumina else F.when(sliced, F.regexp_replace(F.col(qname), "_[12]:[0-9]+:[0-9]+$", "")).otherwise(F.col(qname))
+    part = F.split(last, ":")
+    whole = F.concat(F.lit("F"), F.when(F.col("flag").bitwiseAND(64) != 0, "1").otherwise("2"))
+    return df.withColumns({
+        "read_name": name, "st": F.when(sliced, F.concat(F.lit("S"), part[0])).otherwise(whole),
+        "ss": F.when(sliced, F.get(part, F.lit(1)).cast("long")).otherwise(F.lit(0).cast("long")), "se": F.when(sliced, F.get(part, F.lit(2)).cast("long")).otherwise(F.col("qlen").cast("long")),
+    })
+
+
+def select_parents(parts: DataFrame, mode: str, max_rate: float = 0.5, min_rate: float = 0.9, min_cov: int = 3, legacy_percent: bool = False) -> DataFrame:
+    """Parts whose parent read passes: parts are summed, parents tested, parts of passing parents stay (a semi-join).
+
+    ``legacy_percent``: the threshold, a fraction, is compared with the whole percentage as older pipelines did.
+    """
+    levels = parent_level(parts)
+    scale = 1 if legacy_percent else 100
+    rate = F.col("frac") < max_rate * scale if mode == "dna" else F.col("frac") > min_rate * scale
+    passing = levels.where(rate & (F.col("cov") >= min_cov)).select("parent")
+    return parts.withColumn("parent", F.regexp_replace("read_name", "-[lrm]$", "")).join(passing, "parent", "left_semi").drop("parent")

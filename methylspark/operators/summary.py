@@ -109,3 +109,22 @@ def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Projection by a table of names: DELETE drops, an empty name keeps, others rename; unnamed columns stay."""
     keep = [(c, names.get(c) or c) for c in df.columns if names.get(c) != "DELETE"]
     return df.select(*[F.col(f"`{c}`").alias(n) for c, n in keep])
+
+
+def rna_summary(features: DataFrame, mapped: DataFrame) -> DataFrame:
+    """Counted and final RNA reads from (cell_id, status, n), and their share of mapped reads (cell_id, mapped)."""
+    out = features.groupBy("cell_id").agg(F.sum(F.when(F.col("status") == "Assigned", F.col("n")).otherwise(0)).alias("FinalCountedReads"), F.sum("n").alias("FinalRNAReads"))
+    out = out.join(mapped.withColumnRenamed("mapped", "RNAUniqueMappedReads"), "cell_id", "left")
+    return out.withColumn("SelectedRNAReadsRatio", F.try_divide("FinalRNAReads", "RNAUniqueMappedReads"))
+
+
+def positions_or_none(df: DataFrame, positions: dict[str, Column]) -> DataFrame:
+    """Plate positions for all cells, or for none of them if any id is malformed."""
+    ok = df.agg(F.coalesce(F.bool_and(F.coalesce(positions["Plate"].isNotNull(), F.lit(False))), F.lit(True)).alias("__ok"))
+    return df.crossJoin(F.broadcast(ok)).select(*df.columns, *[F.when(F.col("__ok"), c).alias(n) for n, c in positions.items()])  # one row
+
+
+def durations(jobs: DataFrame, start: str = "start", end: str = "end", code: str = "return_code") -> DataFrame:
+    """Jobs and seconds by return code, from times like 13:05:59-12/31/24."""
+    t = {c: F.unix_timestamp(F.to_timestamp(c, "HH:mm:ss-MM/dd/yy")) for c in (start, end)}
+    return jobs.groupBy(code).agg(F.count(F.lit(1)).alias("n"), F.min(t[end] - t[start]).alias("least"), F.avg(t[end] - t[start]).alias("mean"), F.max(t[end] - t[start]).alias("most"))

@@ -702,4 +702,118 @@ def t3(spark, d):
     return out.withColumn("total", F.round("total", 6)).withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
+# Further forms
+
+
+@register("f6_select_split_reads", oracle(f"WITH {_LEVEL}, p AS (SELECT read_id // 3 AS parent, sum(mc) AS m, sum(cov) AS c FROM lf GROUP BY 1 HAVING floor(100 * CAST(sum(mc) AS BIGINT) / (CAST(sum(cov) AS BIGINT) + 1e-3)) < 50 AND sum(cov) >= 3) SELECT read_id FROM lf WHERE read_id // 3 IN (SELECT parent FROM p)", "v_calls", "v_reads"))
+def f6(spark, d):
+    """J10 too: parts of parents that pass."""
+    name = F.concat(F.floor(F.col("read_id") / 3).cast("string"), F.element_at(F.array(F.lit("-l"), F.lit("-r"), F.lit("-m")), (F.pmod("read_id", F.lit(3)) + 1).cast("int")))
+    return R.select_parents(R.call_string_level(view(spark, d, "v_calls")).withColumn("read_name", name), "dna").select("read_id")
+
+
+@register(
+    "x12_qname_fields",
+    oracle(
+        """WITH q AS (SELECT seq, flag, ref_len, CASE WHEN seq % 3 = 0 THEN concat('r', CAST(pair_id AS VARCHAR)) ELSE concat('r', CAST(pair_id AS VARCHAR), '_', CAST(read_type AS VARCHAR), ':', CAST(ss AS VARCHAR), ':', CAST(se AS VARCHAR)) END AS qname, read_type, ss, se, pair_id FROM v_align)
+        SELECT seq, concat('r', CAST(pair_id AS VARCHAR)) AS read_name, CASE WHEN seq % 3 = 0 THEN CASE WHEN (flag & 64) <> 0 THEN 'F1' ELSE 'F2' END ELSE concat('S', CAST(read_type AS VARCHAR)) END AS st, CASE WHEN seq % 3 = 0 THEN 0 ELSE ss END AS ss, CASE WHEN seq % 3 = 0 THEN ref_len ELSE se END AS se FROM q""",
+        "v_align",
+    ),
+)
+def x12(spark, d):
+    """X13 too: defaults where the name has no slice."""
+    v = view(spark, d, "v_align")
+    whole = F.concat(F.lit("r"), F.col("pair_id").cast("string"))
+    v = v.withColumn("qname", F.when(F.col("seq") % 3 == 0, whole).otherwise(F.concat(whole, F.lit("_"), F.concat_ws(":", "read_type", "ss", "se")))).withColumn("qlen", F.col("ref_len"))
+    return R.qname_fields(v.drop("ss", "se")).select("seq", "read_name", "st", "ss", "se")
+
+
+@register("f9_enough_contacts", oracle("SELECT cell_id, count(*) AS n FROM v_contact WHERE cell_id IN (SELECT cell_id FROM v_contact GROUP BY 1 HAVING count(*) FILTER (chrom1 = chrom2 AND abs(start1 - start2) > 2500) > 190) GROUP BY 1", "v_contact", "v_align"))
+def f9(spark, d):
+    v = view(spark, d, "v_contact")
+    counts = v.groupBy("cell_id").agg(F.count_if((F.col("chrom1") == F.col("chrom2")) & (F.abs(F.col("start1") - F.col("start2")) > 2500)).alias("CisLongContact"))
+    return C.with_enough_contacts(v, counts, least=190).groupBy("cell_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("f16_no_unread_bases", oracle("SELECT sample, count(*) AS n FROM v_allc WHERE context NOT LIKE '%G%' GROUP BY 1", "v_allc"))
+def f16(spark, d):
+    return view(spark, d, "v_allc").where(~F.col("context").contains("G")).groupBy("sample").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("j6_reads_by_cluster", oracle("SELECT CAST(k.c AS VARCHAR) AS cluster, count(*) AS n FROM v_align a JOIN (SELECT concat('cell', CAST(i AS VARCHAR)) AS cell_id, i % 3 AS c FROM range(0, 6) t(i)) k ON a.cell_id = k.cell_id GROUP BY 1", "v_align"))
+def j6(spark, d):
+    """J7 too: reads of cells without a cluster go."""
+    clusters = spark.range(6).select(F.concat(F.lit("cell"), F.col("id").cast("string")).alias("cell_id"), (F.col("id") % 3).cast("string").alias("cluster"))
+    return view(spark, d, "v_align").join(F.broadcast(clusters), "cell_id").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "a8_mc_columns",
+    oracle(
+        """WITH t AS (SELECT cell_id, split_part(cell_id,'-',3) AS "PCRIndex", input_reads AS r1, input_reads // 2 AS f1, input_reads // 3 AS f2 FROM v_cell)
+        SELECT cell_id, r1 AS "CellInputReadPairs", f1 + f2 AS "FinalmCReads", CAST(r1 AS DOUBLE) / CAST(sum(r1) OVER (PARTITION BY "PCRIndex") AS DOUBLE) AS "CellBarcodeRatio" FROM t""",
+        "v_cell",
+    ),
+)
+def a8(spark, d):
+    v = _cells(spark, d).select("cell_id", "PCRIndex", F.col("input_reads").alias("R1InputReads"), F.floor(F.col("input_reads") / 2).alias("R1FinalBismarkReads"), F.floor(F.col("input_reads") / 3).alias("R2FinalBismarkReads"))
+    return Y.mc_columns(v).select("cell_id", "CellInputReadPairs", "FinalmCReads", "CellBarcodeRatio")
+
+
+@register(
+    "a8_m3c_columns",
+    oracle(
+        """WITH t AS (SELECT cell_id, input_reads AS x, input_reads % 7 AS a, input_reads % 5 AS b, input_reads % 3 AS c FROM v_cell)
+        SELECT cell_id, CAST((x // 2) AS DOUBLE) / nullif(x, 0) * 100 AS "R1MappingRate", (1 - CAST((x // 4) AS DOUBLE) / nullif(x // 2, 0)) * 100 AS "R1DuplicationRate", a + b + c AS "TotalContacts", CAST(c AS DOUBLE) / nullif(a + b + c, 0) AS "TransRatio" FROM t""",
+        "v_cell",
+    ),
+)
+def a8_m3c(spark, d):
+    x = F.col("input_reads")
+    v = view(spark, d, "v_cell").select(
+        "cell_id", *[c.alias(f"{r}{n}") for r in ("R1", "R2") for n, c in (("InputReads", x), ("TrimmedReads", x), ("UniqueMappedReads", F.floor(x / 2)), ("DeduppedReads", F.floor(x / 4)))],
+        (x % 7).alias("CisShortContact"), (x % 5).alias("CisLongContact"), (x % 3).alias("TransContact"),
+    )
+    return Y.m3c_columns(v).select("cell_id", "R1MappingRate", "R1DuplicationRate", "TotalContacts", "TransRatio")
+
+
+@register(
+    "a10_rna_summary",
+    oracle(
+        """WITH f AS (SELECT cell_id, CASE WHEN mapq = 60 THEN 'Assigned' ELSE 'Unassigned' END AS status, count(*) AS n FROM v_align GROUP BY 1, 2), m AS (SELECT cell_id, count(DISTINCT pair_id) AS mapped FROM v_align GROUP BY 1)
+        SELECT f.cell_id, CAST(sum(CASE WHEN status = 'Assigned' THEN n ELSE 0 END) AS BIGINT) AS "FinalCountedReads", CAST(sum(n) AS BIGINT) AS "FinalRNAReads", any_value(mapped) AS "RNAUniqueMappedReads", CAST(sum(n) AS DOUBLE) / any_value(mapped) AS "SelectedRNAReadsRatio" FROM f JOIN m USING (cell_id) GROUP BY 1""",
+        "v_align",
+    ),
+)
+def a10(spark, d):
+    v = view(spark, d, "v_align")
+    f = v.groupBy("cell_id", F.when(F.col("mapq") == 60, "Assigned").otherwise("Unassigned").alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    return Y.rna_summary(f, v.groupBy("cell_id").agg(F.count_distinct("pair_id").alias("mapped")))
+
+
+@register("x7_positions_or_none", oracle("SELECT cell_id, CAST(NULL AS VARCHAR) AS \"Plate\" FROM (SELECT cell_id FROM v_cell UNION ALL SELECT 'bad') t", "v_cell"))
+def x7(spark, d):
+    cells = view(spark, d, "v_cell").select("cell_id").unionByName(spark.createDataFrame([("bad",)], "cell_id string"))
+    return Y.positions_or_none(cells, X.position_v2(F.col("cell_id"))).select("cell_id", "Plate")
+
+
+@register("o6_union_lanes", "SELECT 1 AS lane, count(*) AS n FROM lineitem WHERE l_linenumber <= 3 UNION ALL SELECT 2, count(*) FROM lineitem WHERE l_linenumber > 3")
+def o6(spark, d):
+    v = spark.read.parquet(f"{d}/lineitem.parquet")
+    lanes = [v.where(cond).select(F.lit(n).alias("lane")) for n, cond in ((1, "l_linenumber <= 3"), (2, "l_linenumber > 3"))]
+    return lanes[0].unionByName(lanes[1]).groupBy("lane").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("c16_impute")
+def c16(spark, d):
+    """Imputed matrices at a coarse resolution (no SQL form: iterates to a tolerance)."""
+    m = C.contact_matrix(view(spark, d, "v_contact"), 50_000, ["cell_id"])
+    return C.impute(m, bins=256).withColumn("value", F.round("value", 6))
+
+
+@register("c17_embedding")
+def c17(spark, d):
+    return C.embed(C.contact_matrix(view(spark, d, "v_contact"), 50_000, ["cell_id"]), dims=3)
+
+
 del Window

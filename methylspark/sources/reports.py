@@ -170,3 +170,71 @@ def plate_info(text: str) -> tuple[dict[str, str], list[dict[str, str]]]:
     if len(ids) != len(set(ids)):
         raise ValueError("plate_id repeats")
     return info, plates
+
+
+#: Terms of the bisulfite aligner's report; values are kept as text.
+BISULFITE_TERMS = {
+    "Sequence pairs analysed in total": "TotalReads", "Sequences analysed in total": "TotalReads", "Number of alignments with a unique best hit from the different alignments": "UniqueMappedReads",
+    "Mapping efficiency": "MappingRate", "Sequences with no alignments under any condition": "UnmappedReads", "Sequences did not map uniquely": "MultiMappedReads",
+    "CT/CT": "OT", "CT/GA": "OB", "GA/CT": "CTOT", "GA/GA": "CTOB", "Total number of C's analysed": "TotalC",
+    "C methylated in CpG context": "TotalmCGRate", "C methylated in CHG context": "TotalmCHGRate", "C methylated in CHH context": "TotalmCHHRate",
+}
+
+
+def bisulfite_report(lines: DataFrame) -> DataFrame:
+    """One text column per known term of ``term: value`` lines, null where missing."""
+    parts = F.split("line", ":")
+    d = lines.where(F.size(parts) == 2).select("cell_id", F.trim(parts[0], F.lit(" \t")).alias("t"), F.split(F.trim(F.get(parts, F.lit(1)), F.lit(" \t")), "[ \t]")[0].alias("v"))
+    names = sorted(set(BISULFITE_TERMS.values()))
+    return d.groupBy("cell_id").agg(*[F.max(F.when(F.col("t").isin(*[t for t, m in BISULFITE_TERMS.items() if m == n]), F.col("v"))).alias(n) for n in names])
+
+
+def trim_table(lines: DataFrame) -> DataFrame:
+    """Trimming statistics: the last data row of a tab-separated table, as (cell_id, metric, value)."""
+    d = lines.where(F.col("line").contains("\t"))
+    table = d.groupBy("cell_id").agg(F.max(F.when(F.col("line").startswith("status"), F.col("line"))).alias("head"), F.max(F.when(~F.col("line").startswith("status"), F.col("line"))).alias("row"))
+    pairs = F.arrays_zip(F.split("head", "\t").alias("metric"), F.split("row", "\t").alias("value"))
+    return table.where("head is not null and row is not null").select("cell_id", F.inline(pairs)).withColumn("value", F.expr("try_cast(value as bigint)")).where("value is not null")
+
+
+def fixed_width(lines: DataFrame, header: str, names: list[str]) -> DataFrame:
+    """Columns of scheduler listings, cut where each name begins in the header line."""
+    at = [header.index(n) for n in names]
+    ends = [*at[1:], 1 << 16]
+    cols = [F.trim(F.substring("line", a + 1, b - a)).alias(n) for n, a, b in zip(names, at, ends)]
+    return lines.where((F.col("line") != header) & ~F.col("line").rlike("^[- ]*$")).select(*cols)
+
+
+def mapping_config(ini: list[str], overrides: list[dict] = ()) -> dict[str, str]:
+    """Settings of several INI texts, later ones win; ``overrides`` (from YAML) win over all."""
+    out: dict[str, str] = {}
+    for text in ini:
+        out |= flat_ini(text)
+    for more in overrides:
+        out |= {k: str(v) for k, v in more.items()}
+    return out
+
+
+#: Defaults of a mapping run, with their types.
+DEFAULTS: dict[str, dict[str, object]] = {
+    "mc": {"total_read_pairs_min": 1, "total_read_pairs_max": 6_000_000, "mapq_threshold": 10, "quality_threshold": 20, "length_threshold": 30, "overlap": 6, "num_upstr_bases": 0},
+    "mct": {"mc_rate_max_threshold": 0.5, "mc_rate_min_threshold": 0.9, "dna_cov_min_threshold": 3, "rna_cov_min_threshold": 3},
+    "m3c": {"split_left_size": 40, "split_right_size": 40, "split_middle_min_size": 30, "trim_on_both_end": 5, "min_gap": 2500},
+}
+
+
+def typed_config(mode: str, given: dict[str, str]) -> dict[str, object]:
+    """Defaults of a mode with the given values in their types; unknown modes and values that don't fit raise."""
+    parts = {"mc": ("mc",), "mct": ("mc", "mct"), "m3c": ("mc", "m3c"), "4m": ("mc", "mct", "m3c")}
+    if mode not in parts:
+        raise ValueError(f"mode must be one of {', '.join(parts)}, got {mode}")
+    out: dict[str, object] = {k: v for p in parts[mode] for k, v in DEFAULTS[p].items()}
+    return out | {k: type(out[k])(v) if k in out else v for k, v in given.items()}
+
+
+def sample_sheet_text(header: str, rows: list[dict[str, str]]) -> str:
+    """A sheet of a few thousand rows: header, column line, one line per sample."""
+    if not rows:
+        return header
+    names = list(rows[0])
+    return header.rstrip("\n") + "\n" + "\n".join([",".join(names), *[",".join(str(r[n]) for n in names) for r in rows]]) + "\n"

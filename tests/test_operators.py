@@ -213,3 +213,50 @@ def test_streaming_matches_batch(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, spark.table("counts").collect())) == sorted(map(tuple, windowed_counts(df).collect()))
+
+
+def test_bisulfite_and_trim_reports(spark):
+    r = {x["cell_id"]: x for x in reports.bisulfite_report(lines(spark, a="Sequences analysed in total:\t120\nMapping efficiency:\t45.0% \na:b:c", b="x")).collect()}
+    assert (r["a"]["TotalReads"], r["a"]["MappingRate"], r["a"]["OT"]) == ("120", "45.0%", None) and "b" not in r
+    t = {x["metric"]: x["value"] for x in reports.trim_table(lines(spark, a="status\tin_reads\tout_reads\nOK\t10\t8")).collect()}
+    assert t == {"in_reads": 10, "out_reads": 8}
+
+
+def test_fixed_width(spark):
+    head = "JOBID  STATE     TIME"
+    got = reports.fixed_width(lines(spark, q=f"{head}\n------ --------- ----\n12     RUNNING   1:00\n13     DONE      2:00"), head, ["JOBID", "STATE", "TIME"]).collect()
+    assert [tuple(r) for r in got] == [("12", "RUNNING", "1:00"), ("13", "DONE", "2:00")]
+
+
+def test_configuration():
+    assert reports.mapping_config(["[a]\nx=1\n", "[b]\nx=2\n"], [{"y": 3}]) == {"x": "2", "y": "3"}
+    assert reports.typed_config("m3c", {"min_gap": "100"})["min_gap"] == 100
+    with pytest.raises(ValueError):
+        reports.typed_config("nope", {})
+    assert reports.sample_sheet_text("[Data]", [{"Lane": "1", "Sample_ID": "a"}]) == "[Data]\nLane,Sample_ID\n1,a\n"
+
+
+def test_fastq_catalog(spark):
+    good = ["/d/x-P1-P2-A1_S1_L001_R1_001.fastq.gz", "/d/x-P1-P2-A1_S1_L001_R2_001.fastq.gz"]
+    assert D.fastq_catalog(spark, good, "V1").count() == 2
+    for bad in ([*good, good[0]], ["/d/x-P1-P2-Z1_S1_L001_R1_001.fastq.gz"]):
+        with pytest.raises(ValueError):
+            D.fastq_catalog(spark, bad, "V1")
+
+
+def test_job_durations(spark):
+    df = spark.createDataFrame([("10:00:00-12/31/24", "10:00:30-12/31/24", 0), ("23:59:50-12/31/24", "00:00:20-01/01/25", 0)], "start string, end string, return_code int")
+    assert tuple(Y.durations(df).first()) == (0, 2, 30, 30.0, 30)
+
+
+def test_legacy_percent(spark):
+    df = spark.createDataFrame([("r1-l", 0, 10), ("r1-r", 1, 10), ("r2", 0, 10)], "read_name string, mc long, cov long")
+    assert {r["read_name"] for r in R.select_parents(df, "dna").collect()} == {"r1-l", "r1-r", "r2"}
+    assert {r["read_name"] for r in R.select_parents(df, "dna", legacy_percent=True).collect()} == {"r2"}
+
+
+def test_imputed_matrix_is_symmetric_and_local(spark):
+    m = spark.createDataFrame([("c", "chr1", 0, 1, 5), ("c", "chr1", 3, 4, 2)], "cell_id string, chrom string, bin1 long, bin2 long, n long")
+    got = {(r["bin1"], r["bin2"]): r["value"] for r in C.impute(m, 8).collect()}
+    assert all(i <= j for i, j in got) and got[0, 1] > got.get((0, 4), 0)
+    assert C.impute(m.limit(0), 8).count() == 0
