@@ -68,6 +68,25 @@ def read_methylation(pairs: DataFrame, nome: bool = False) -> DataFrame:
     return out.withColumn("frac", F.coalesce(F.try_divide("mch", "cov"), F.lit(0.0)))
 
 
+def read_methylation_arrays(df: DataFrame, nome: bool = False) -> DataFrame:
+    """The same from one row per read: read_id, conv and the arrays ref_pos, ref, base of its aligned bases. Nothing is
+    exploded, shuffled or sorted, which counts at a hundred bases a read."""
+    at = F.when(F.size("ref_pos") > 0, F.sequence(F.lit(0), F.size("ref_pos") - 1)).otherwise(F.array().cast("array<int>"))
+
+    def near(i: Column, step: int) -> Column:
+        return F.when(F.get("ref_pos", i + step) == F.get("ref_pos", i) + step, F.get("ref", i + step))
+
+    def kind(i: Column) -> Column:
+        ch = base_context(F.get("ref", i), near(i, -1), near(i, 1), F.col("conv"), nome)
+        two = F.concat(F.get("ref", i), F.get("base", i))
+        return F.when(ch, F.when(two.isin("CC", "GG"), 1).when(two.isin("CT", "GA"), 2).otherwise(3)).otherwise(0)
+
+    kinds = df.select("read_id", F.filter(F.transform(at, kind), lambda k: k > 0).alias("k"))
+    count = lambda test: F.size(F.filter("k", test)).cast("long")
+    out = kinds.select("read_id", count(lambda k: k == 1).alias("mch"), count(lambda k: k < 3).alias("cov"), count(lambda k: k == 3).alias("other_snp"))
+    return out.withColumn("frac", F.coalesce(F.try_divide("mch", "cov"), F.lit(0.0)))
+
+
 def call_string_level(df: DataFrame, call: str = "xm") -> DataFrame:
     """mC level of bisulfite call strings: X and H methylated, x and h not."""
     mc = count_letters(F.col(call), "XH")
@@ -122,23 +141,34 @@ def split_ends(df: DataFrame, seq: str = "seq", trim: int = 0, left: int = 40, r
     return out.withColumn("part", F.col("__part.part")).withColumn("part_seq", F.col("__part.part_seq")).drop("__part")
 
 
-def cut_spans(seq: Column, read_type: int) -> Column:
-    """Array of struct(b, e): cut sites in order, with empty spans at the read's ends where no site lies there."""
+_NO_SPANS = "array<struct<b: int, e: int>>"
+
+
+def sites_in(seq: Column, read_type: int) -> Column:
+    """Array of struct(b, e): the cut sites in order."""
     pieces = F.split(seq, "|".join(CUT_SITES[read_type]), -1)
-    empty = F.array().cast("array<struct<b: int, e: int>>")
     spans = F.aggregate(
-        F.slice(pieces, 1, F.size(pieces) - 1),
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
+        pieces,
+        F.struct(F.lit(0).alias("at"), F.array().cast(_NO_SPANS).alias("spans")),
         lambda acc, p: F.struct(
             (acc["at"] + F.length(p) + 4).alias("at"),
-            F.concat(acc["spans"], F.array(F.struct((acc["at"] + F.length(p)).alias("b"), (acc["at"] + F.length(p) + 4).alias("e")))).alias("spans"),
+            F.array_append(acc["spans"], F.struct((acc["at"] + F.length(p)).alias("b"), (acc["at"] + F.length(p) + 4).alias("e"))).alias("spans"),
         ),
         lambda acc: acc["spans"],
     )
-    n = F.length(seq)
-    first = F.when((F.size(spans) == 0) | (F.get(spans, F.lit(0))["b"] != 0), F.array(F.struct(F.lit(0).alias("b"), F.lit(0).alias("e")))).otherwise(empty)
-    last = F.when((F.size(spans) == 0) | (F.try_element_at(spans, F.lit(-1))["e"] != n), F.array(F.struct(n.alias("b"), n.alias("e")))).otherwise(empty)
-    return F.concat(first, spans, last)
+    return F.slice(spans, 1, F.size(pieces) - 1)  # a site follows every piece but the last
+
+
+def with_ends(sites: Column, seq: Column) -> Column:
+    """Sites with empty spans at the read's ends where no site lies there. ``sites`` should be a column, not an expression."""
+    empty, n = F.array().cast(_NO_SPANS), F.length(seq)
+    first = F.when(F.coalesce(F.get(sites, F.lit(0))["b"], F.lit(-1)) != 0, F.array(F.struct(F.lit(0).alias("b"), F.lit(0).alias("e")))).otherwise(empty)
+    last = F.when(F.coalesce(F.try_element_at(sites, F.lit(-1))["e"], F.lit(-1)) != n, F.array(F.struct(n.alias("b"), n.alias("e")))).otherwise(empty)
+    return F.concat(first, sites, last)
+
+
+def cut_spans(seq: Column, read_type: int) -> Column:
+    return with_ends(sites_in(seq, read_type), seq)
 
 
 def span_slices(spans: Column, min_length: int = 30) -> Column:
@@ -175,7 +205,9 @@ def split_at_cut_sites(df: DataFrame, seq: str = "seq", min_length: int = 30) ->
     outs = []
     for kind in (1, 2):
         d = df.where(F.col("read_type") == kind)
-        d = d.withColumn("__s", F.explode(F.array_distinct(span_slices(cut_spans(F.col(seq), kind), min_length))))
+        # One column a step: an expression inside a lambda would be computed again for every element.
+        d = d.withColumn("__sites", sites_in(F.col(seq), kind)).withColumn("__spans", with_ends(F.col("__sites"), F.col(seq)))
+        d = d.withColumn("__s", F.explode(F.array_distinct(span_slices(F.col("__spans"), min_length)))).drop("__sites", "__spans")
         b, e = trim_slice(F.col(seq), F.col("__s.b"), F.col("__s.e"), kind)
         outs.append(d.withColumn("begin", b).withColumn("end", e).drop("__s"))
     out = outs[0].unionByName(outs[1]).where(F.col("end") - F.col("begin") >= min_length).dropDuplicates(["read_id", "read_type", "begin", "end"])

@@ -166,11 +166,11 @@ _PAIRS = """WITH pairs AS (SELECT read_id, CASE WHEN read_type = 1 THEN 'GA' ELS
 )
 def r3(spark, d):
     """Per-base levels on reads with every seventh base missing from the alignment and every third converted."""
-    v = view(spark, d, "v_reads").withColumn("ref_pos", F.explode(F.sequence(F.lit(1), F.lit(128)))).where("ref_pos % 7 <> 0")
-    ref = F.substring("seq", F.col("ref_pos"), F.lit(1))
-    base = F.when(F.col("ref_pos") % 3 == 0, F.translate(ref, "CG", "TA")).otherwise(ref)
+    v = view(spark, d, "v_reads").withColumn("ref_pos", F.filter(F.sequence(F.lit(1), F.lit(128)), lambda i: i % 7 != 0))
+    v = v.withColumn("ref", F.transform("ref_pos", lambda i: F.substring("seq", i, F.lit(1))))
+    base = F.zip_with("ref_pos", "ref", lambda i, b: F.when(i % 3 == 0, F.translate(b, "CG", "TA")).otherwise(b))
     conv = R.conversion(F.lit(None).cast("string"), F.col("read_type") == 1)
-    return R.read_methylation(v.select("read_id", "ref_pos", ref.alias("ref"), base.alias("base"), conv.alias("conv")))
+    return R.read_methylation_arrays(v.select("read_id", "ref_pos", "ref", base.alias("base"), conv.alias("conv")))
 
 
 @register(

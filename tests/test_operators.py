@@ -260,3 +260,13 @@ def test_imputed_matrix_is_symmetric_and_local(spark):
     got = {(r["bin1"], r["bin2"]): r["value"] for r in C.impute(m, 8).collect()}
     assert all(i <= j for i, j in got) and got[0, 1] > got.get((0, 4), 0)
     assert C.impute(m.limit(0), 8).count() == 0
+
+
+@pytest.mark.parametrize("nome", [False, True])
+def test_both_forms_of_read_methylation_agree(spark, nome):
+    rows = [(1, "CT", [1, 2, 3, 5, 6], list("CCAGC"), list("CTAGA")), (2, "GA", [1, 2, 3, 4], list("AGGT"), list("AGAT")), (3, "CT", [], [], [])]
+    df = spark.createDataFrame(rows, "read_id long, conv string, ref_pos array<int>, ref array<string>, base array<string>")
+    flat = df.select("read_id", "conv", F.inline(F.arrays_zip("ref_pos", "ref", "base")))
+    one = {r["read_id"]: tuple(r) for r in R.read_methylation_arrays(df, nome).collect()}
+    two = {r["read_id"]: tuple(r) for r in R.read_methylation(flat, nome).collect()}
+    assert one.pop(3) == (3, 0, 0, 0, 0.0) and one == two
