@@ -56,7 +56,7 @@ class Workspace:
 
     def put(self, df: DataFrame, tag: str) -> DataFrame:
         path = self.path(tag)
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = path
         out._workspace = self  # lives as long as the frame

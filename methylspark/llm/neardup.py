@@ -24,6 +24,8 @@ from methylspark.llm.components import components
 
 #: Similarity, as a percentage, from which documents are linked.
 PERCENT = 75
+#: Ids that ``stage_near_duplicates`` may broadcast (8 MB); beyond it, a shuffle join.
+BROADCAST_IDS = 1_000_000
 #: Members of a bucket that meet at once: sketches, whole sets.
 SKETCH_BLOCK, SET_BLOCK = 1024, 512
 
@@ -239,6 +241,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = nodes.select("rep", F.explode("bands").alias("key"))
     buckets = space.put(banded.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
     members = space.put(banded.join(buckets, "key").select("key", "rep", "pivot", "members"), "members")
+    space.drop(buckets)
     hits = members.where("rep <> pivot").groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("hits"))
     pairs = hits.groupBy("rep").agg(F.max_by("pivot", F.struct("hits", -F.col("pivot"))).alias("pivot"))
     brief = nodes.select("rep", "n", "sketch")
@@ -257,14 +260,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tied = placed.where("doc_id is not null and rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
     tied = placed.join(tied.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b"))
     label = components(links.unionByName(tied), space)
+    space.drop(rows, pairs, links)
     # Buckets that still hold several components.
     label_of = label.select(F.col("node").alias("rep"), F.col("label").alias("comp"))
-    members = space.put(members.join(label_of, "rep", "left").select("key", "rep", "members", F.coalesce("comp", "rep").alias("comp")), "members")
+    labelled = space.put(members.join(label_of, "rep", "left").select("key", "rep", "members", F.coalesce("comp", "rep").alias("comp")), "members")
+    space.drop(members)
+    members = labelled
     open_ = space.put(members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key"), "open")
     unsure = members.join(open_, "key").join(brief, "rep").select("key", "rep", "comp", "n", "sketch", "members")
     unsure = _blocks(unsure, F.col("members"), SKETCH_BLOCK, spark).select("key", "x", "y", "chunk", "rep", "comp", "n", "sketch")
     possible = space.put(unsure.mapInArrow(_possible(percent), "a long, b long"), "possible")
     trees = components(possible, space)
+    space.drop(nodes, members, open_, possible)
     counts = trees.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
     group = trees.join(counts, "label").select(F.col("node").alias("rep"), F.col("label").alias("key"), "members").join(label_of, "rep", "left")
     group = group.select("key", "rep", "members", F.coalesce("comp", "rep").alias("comp")).join(shown.select(F.col("doc_id").alias("rep"), "text"), "rep")
@@ -290,8 +297,9 @@ def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group stays, the one with the smallest doc_id; of rows that repeat its id, one."""
     space = Workspace(spark, "dedup")
     found = space.put(near_duplicates(docs), "found")
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    gone = space.put(found.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    small = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    kept = docs.join(F.broadcast(gone) if small else gone, F.col("doc_id") == F.col("__gone"), "left_anti")
     again = space.put(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again")), "again")
     if not again.isEmpty():
         once = kept.join(again, F.col("doc_id") == F.col("__again"), "left_semi").dropDuplicates(["doc_id"])
