@@ -35,6 +35,17 @@ def _delete(spark: SparkSession, path: str) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Bytes of rows that Spark sends to Python at once. Its own default, 64 MB, is held several times over on both sides.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes, however long texts are, unless the session has set its own bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864b", "67108864", "64MB", "64m"):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 class Workspace:
     """Intermediate tables of one run, as Parquet in the shared folder.
 
@@ -44,6 +55,7 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        small_batches(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self._paths: dict[int, str] = {}

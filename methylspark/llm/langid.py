@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from methylspark.llm.common import columns_of, table
+from methylspark.llm.common import columns_of, small_batches, table
 
 #: Hashed features; n-grams of two and three bytes share them.
 DIM = 4096
@@ -111,7 +111,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     """Fits the model on a bounded sample: of the rows with ``learn`` and a language, PER_LANGUAGE of each of the
     MOST_LANGUAGES most frequent languages, chosen by a hash of the id. Only their feature vectors (16 kB each) come to the
     driver. Rows without text or letters teach nothing; of rows that repeat an id and language one is used."""
-    spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     labelled = docs.where(learn & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"))
     known = [r[0] for r in labelled.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MOST_LANGUAGES).collect()]
     first = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")
@@ -161,6 +161,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     Null or empty text, or one without a letter: ``und``, score 0, ambiguous. Without labelled rows all are ``und``; with
     one language all are that one. Repeated rows get equal results; other columns pass unchanged.
     """
+    small_batches(docs.sparkSession)
     return docs.withColumn("__lang", predictor(model)(F.col(text_col)))
 
 

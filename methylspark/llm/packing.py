@@ -100,9 +100,9 @@ class Packer:
 
 def _pack(tokenizer: str, end_id: int, window: int, most: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from methylspark.llm.tokens import Encoder
+        from methylspark.llm.tokens import encoder as encoder_of
 
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
         packer = Packer(window, most, part << 36, keep_ids)
         end = np.array([end_id], dtype="<u4")
         for batch in batches:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from methylspark.llm.common import columns_of, table
+from methylspark.llm.common import columns_of, small_batches, table
 
 KINDS = ("assign", "access", "hex", "guess")
 #: Guess cost in bits from which a value in credential context is a secret.
@@ -159,6 +159,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Null and empty texts have none. Rows are independent: repeated rows get equal results, an empty table none, other
     columns pass unchanged. A task holds one batch of texts.
     """
+    small_batches(docs.sparkSession)
     return docs.withColumn("__spans", F.arrow_udf(_find, _SPAN_DDL)(F.col(text_col)))
 
 
@@ -179,6 +180,7 @@ def op5_secret_scan(spark, sf_dir: str) -> DataFrame:
 
 def stage_secrets(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: secret values are masked; every document stays."""
+    small_batches(spark)
     masked = docs.withColumn("text", F.arrow_udf(_mask, "string")(F.col("text")))
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))

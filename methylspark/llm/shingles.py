@@ -11,7 +11,7 @@ import pyarrow as pa
 COORDINATES, ROWS = 128, 4
 BANDS = COORDINATES // ROWS
 #: Bytes of text that one pass of the arrays below handles; a longer document is a pass of its own.
-PASS_BYTES = 1 << 20
+PASS_BYTES = 1 << 18
 
 _U = np.uint64
 _rng = np.random.default_rng(20240607)

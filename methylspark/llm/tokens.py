@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import lru_cache
 
 import numpy as np
 
@@ -62,3 +63,9 @@ class Encoder:
                 if type(e).__name__ != "PanicException":
                     raise
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """One encoder for each Python worker, whatever number of tasks it runs."""
+    return Encoder(path)

@@ -57,9 +57,9 @@ def permute(index: np.ndarray, n: int, key: int, back: bool = False) -> np.ndarr
 
 def _sequences(tokenizer: str, end_id: int, length: int, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from methylspark.llm.tokens import Encoder
+        from methylspark.llm.tokens import encoder as encoder_of
 
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
         end = np.array([end_id], dtype=dtype)
         held: list[np.ndarray] = []
         have = number = 0
