@@ -113,9 +113,12 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     driver. Rows without text or letters teach nothing; of rows that repeat an id and language one is used."""
     small_batches(docs.sparkSession)
     labelled = docs.where(learn & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"))
-    known = [r[0] for r in labelled.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MOST_LANGUAGES).collect()]
+    known = {r["l"]: r["count"] for r in labelled.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MOST_LANGUAGES).collect()}
+    # About twice as many as needed, by the same hash, before rows of a language meet: their number is bounded too.
+    share = F.element_at(F.create_map(*[x for lang, n in known.items() for x in (F.lit(lang), F.lit((2 * PER_LANGUAGE + 100) / n))]), F.col("l")) if known else F.lit(0.0)
     first = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")
-    chosen = labelled.where(F.col("l").isin(known)).withColumn("nr", F.row_number().over(first)).where(F.col("nr") <= PER_LANGUAGE).select("i", "l").distinct()
+    near = F.shiftrightunsigned(F.xxhash64("i"), 11) / F.lit(float(2**53)) < share
+    chosen = labelled.where(F.col("l").isin(list(known)) & near).withColumn("nr", F.row_number().over(first)).where(F.col("nr") <= PER_LANGUAGE).select("i", "l").distinct()
     texts = docs.where(learn).select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
     sample = texts.join(F.broadcast(chosen), ["i", "l"]).dropDuplicates(["i", "l"])  # PER_LANGUAGE x MOST_LANGUAGES ids at most
     rows = sample.select("l", "t").mapInArrow(_vectors, "lang string, x binary").collect()
