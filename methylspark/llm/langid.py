@@ -31,6 +31,11 @@ _KEEP = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 _SPACES = re.compile(b" {2,}")
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; superscripts, Roman numerals and the like are none."""
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 def features(text: str) -> np.ndarray:
     """Square roots of hashed 2- and 3-gram counts over the whole text, as a unit vector."""
     raw = _SPACES.sub(b" ", b" " + text.lower().encode("utf-8", "replace").translate(_KEEP) + b" ")
@@ -87,7 +92,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, probability, whether another comes close). Without text, letters or learned languages: und."""
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, True
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
@@ -101,7 +106,7 @@ class Model:
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).to_pylist()
-        keep = [n for n, t in enumerate(texts) if t and _LETTER.search(t)]
+        keep = [n for n, t in enumerate(texts) if t and has_letter(t)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(pa.array(keep, pa.int64())), pa.array([features(texts[n]).tobytes() for n in keep], pa.binary())], names=["lang", "x"]
         )

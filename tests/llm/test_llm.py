@@ -298,6 +298,7 @@ def test_language_edges(spark, awkward):
         assert (out[key]["lang_pred"], out[key]["score"]) == ("und", 0.0)
     assert out[1, prose(1, 200)]["lang_pred"] == "en"
     none = langid.train(awkward.withColumn("lang", F.lit(None).cast("string")), langid.learned_from(F.col("doc_id")))
+    assert model.predict("\u00b2\u00b3 \u2167")[0] == "und"
     assert none.predict("some text") == ("und", 0.0, True)
     assert langid.train(empty(awkward), langid.learned_from(F.col("doc_id"))).languages == []
     kept = langid.stage_language(spark, awkward, "")
