@@ -95,7 +95,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     space = Workspace(spark, "fingerprint")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # A cast or alias that changes nothing would be kept in one of two equal plans and hide that they are equal.
+    same = id_col == "doc_id" and dict(docs.dtypes)[id_col] == "bigint"
+    texts = docs.select(F.col(id_col) if same else F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     d1, d2 = digest(F.col("canon"), bits=bits)
     rows = texts.select("doc_id", F.char_length("text").alias("n"), F.xxhash64("text").alias("raw"), canonical(F.col("text")).alias("canon"))
     rows = space.put(rows.select("doc_id", "n", "raw", d1.alias("d1"), d2.alias("d2")), "rows")
@@ -111,7 +113,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     order = space.put(neighbours(ids.drop("raw"), space), "order")
     # What each document passes to the one before it: as much of its beginning as that one needs, and the whole text only
     # where hashes agree and bytes must be compared.
-    source = texts.join(order, "doc_id")
+    shown = texts.where("doc_id is not null")
+    source = shown.join(order, "doc_id")
     if repeats:
         source = source.join(ids.select("doc_id", F.col("raw").alias("rep_raw")), "doc_id").where(F.xxhash64("text") == F.col("rep_raw")).dropDuplicates(["doc_id"])
     passed = source.select(
@@ -120,7 +123,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.when(_same("d", "before_") | (F.col("before_rows") > 1), F.col("text")).alias("full"),
         F.col("d1").alias("next_1"), F.col("d2").alias("next_2"),
     )
-    joined = texts.join(passed, F.col("doc_id") == F.col("before_id"), "left").join(twins, F.col("doc_id") == F.col("twin_id"), "left")
+    # Both joins deal ``shown`` by doc_id in the same way, so Spark shuffles it once; rows without an id stay where they are.
+    joined = shown.join(passed, F.col("doc_id") == F.col("before_id"), "left").join(twins, F.col("doc_id") == F.col("twin_id"), "left")
+    joined = joined.unionByName(texts.where("doc_id is null"), allowMissingColumns=True)
     n, half = F.char_length("text"), F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.coalesce("head", F.lit("")), F.lit(1), half))
     out = joined.select("doc_id", "twin_id", "full", "next_1", "next_2", n.cast("long").alias("n_chars"), canonical(F.col("text")).alias("canon"), edited.alias("edited"))
