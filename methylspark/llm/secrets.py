@@ -104,7 +104,8 @@ def spans(text: str | None) -> list[tuple[str, int, int, int, int, float]]:
     """(kind, start, end, value_start, value_end, guess bits) in code points, by start, then kind as listed in KINDS.
 
     Base spans are leftmost and non-overlapping for each kind. Guess spans are values in credential context that no base
-    span touches and whose guess cost is GUESS_BITS or more.
+    span contains and whose guess cost is GUESS_BITS or more; a value that a base span covers in part counts whatever its
+    cost, since the base span has found that it is secret.
     """
     out: list[tuple[str, int, int, int, int, float]] = []
     if not text:
@@ -122,7 +123,10 @@ def spans(text: str | None) -> list[tuple[str, int, int, int, int, float]]:
             a, b = m.span(1)
             while b > a and text[b - 1] in ".:!?":  # the sentence's own mark
                 b -= 1
-            if b - a >= 6 and not any(s < b and a < e for s, e in base) and (bits := guess_bits(text[a:b])) >= GUESS_BITS:
+            if b - a < 6 or any(s <= a and b <= e for s, e in base):
+                continue
+            bits = guess_bits(text[a:b])
+            if bits >= GUESS_BITS or any(s < b and a < e for s, e in base):
                 out.append(("guess", a, b, a, b, bits))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
@@ -137,7 +141,7 @@ def _find(texts: pa.Array) -> pa.Array:
 
 
 def mask(text: str | None) -> str | None:
-    """The text with each secret value replaced by MASK; touching values become one."""
+    """The text with each secret value replaced by MASK; overlapping values become one."""
     found = sorted((s[3], s[4]) for s in spans(text))
     if not found:
         return text

@@ -244,6 +244,14 @@ def test_base_spans_by_the_letter(spark):
     assert rows[2]["__spans"] == [] and rows[3]["__spans"] == []
 
 
+def test_secret_value_beyond_a_base_span_is_masked_whole():
+    text = "password=Xk9mQ2vLw$8#rT end"
+    assert [s[:3] for s in secrets.spans(text)] == [("assign", 0, 18), ("guess", 9, 23)]
+    assert secrets.mask(text) == "password=[SECRET] end" and secrets.mask("password=Xk9m$2vLwQ8#rT end") == "password=[SECRET] end"
+    assert secrets.mask("password=password$1 end") == "password=[SECRET] end"
+    assert [s[0] for s in secrets.spans("token=abcdefgh1234, password=Xk9mQ2vLw.")] == ["assign", "assign"]
+
+
 def brute_guess(value, memo=None):
     """Least cost by trying every segmentation of a short value into brute force and words."""
     from math import log2
