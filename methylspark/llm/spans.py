@@ -21,27 +21,36 @@ LEAST_SENTENCES, LEAST_WORDS = 2, 15
 #: A sentence with more words than the first counts as several, of as many words as the second.
 LONG, PART = 30, 15
 
-_BREAK = re.compile(r"[.!?。！？]+\s+|\n\s*")
+#: Scripts written without spaces (Han, kana, Thai, Lao, Tibetan, Burmese, Khmer): each character counts as a word.
+_ALONE = "\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff\u0e01-\u0e7f\u0e80-\u0eff\u0f40-\u0fbc\u1000-\u109f\u1780-\u17d3"
+_BREAK = re.compile(r"[.!?]*[。！？｡][.!?。！？｡]*\s*|[.!?]+\s+|\n\s*")
 _PART = re.compile(rf"(?:\S+\s*){{{PART}}}")
+_UNSPACED = re.compile(f"[{_ALONE}]")
+_UNIT = re.compile(rf"[{_ALONE}]|[^\s{_ALONE}]+")
+_UNSPACED_PART = re.compile(rf"(?:(?:[{_ALONE}]|[^\s{_ALONE}]++)\s*+){{{PART}}}")
 
 
 def sentences(text: str) -> list[tuple[int, int, int]]:
     """(start, end, words) of the text's sentences in code points; they cover it without gaps.
 
-    A sentence ends after . ! ? (or their full-width forms) and white space, or after a new line.
+    A sentence ends after . ! ? and white space, after their full-width forms, or after a new line. Words are separated by
+    white space; characters of scripts without spaces are words of their own.
     """
     out: list[tuple[int, int, int]] = []
+    any_unspaced = not text.isascii() and _UNSPACED.search(text) is not None
 
     def add(a: int, b: int) -> None:
-        n = len(text[a:b].split())
+        unspaced = any_unspaced and _UNSPACED.search(text, a, b) is not None
+        count = (lambda a, b: len(_UNIT.findall(text, a, b))) if unspaced else (lambda a, b: len(text[a:b].split()))
+        n = count(a, b)
         if n > LONG:
             at = a
-            for m in _PART.finditer(text, a, b):
+            for m in (_UNSPACED_PART if unspaced else _PART).finditer(text, a, b):
                 if b - m.end() == 0:
                     break
-                out.append((at, m.end(), len(text[at : m.end()].split())))
+                out.append((at, m.end(), count(at, m.end())))
                 at = m.end()
-            out.append((at, b, len(text[at:b].split())))
+            out.append((at, b, count(at, b)))
         elif b > a:
             out.append((a, b, n))
 

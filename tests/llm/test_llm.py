@@ -198,6 +198,16 @@ def test_packing_nothing(spark, awkward):
 # 4
 
 
+def test_repeats_in_scripts_without_spaces(spark):
+    han = "今天天气很好我们一起去公园散步。晚上回家以后大家坐在一起吃饭聊天！"
+    thai = "วันนี้อากาศดีมากเราไปเดินเล่นที่สวนสาธารณะด้วยกันแล้วกลับบ้านตอนเย็นเพื่อกินข้าว"
+    assert [n for _, _, n in spans.sentences(han)] == [16, 17] and sum(n for _, _, n in spans.sentences(thai)) == len(thai)
+    rows = [(1, "他说过这句话。" + han + "然后就走了。"), (2, "别的开头在这里。" + han + "别的结尾。"), (3, thai), (4, thai), (5, "今天天气很好。"), (6, "今天天气很好。")]
+    got = {r["doc_id"]: r["text"] for r in spans.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "别的开头在这里。别的结尾。", 3: thai, 4: "", 5: rows[4][1], 6: rows[5][1]}
+    assert [n for _, _, n in spans.sentences("One two. Three e.g.x four.")] == [2, 3]
+
+
 def plain_spans(rows):
     seen, out = set(), {}
     for i, text in sorted(r for r in rows if r[0] is not None):
