@@ -7,6 +7,7 @@ from itertools import combinations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KINDS = ("cis", "ciscut", "cis_multi", "ciscut_multi", "trans", "transcut", "trans_multi", "transcut_multi", "chimeric", "no")
 #: Of several types between two groups the first of these counts; a chimeric relation is no contact.
@@ -286,13 +287,63 @@ def impute(matrix: DataFrame, bins: int, pad: int = 1, restart: float = 0.5, tol
     return blocks.groupBy("cell_id", "chrom", "lo").applyInPandas(walk, "cell_id string, chrom string, bin1 long, bin2 long, value double")
 
 
-def embed(matrix: DataFrame, dims: int = 10, features: int = 1 << 14) -> DataFrame:
-    """(cell_id, embedding): principal components of cells by hashed bin pairs."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+def embed(matrix: DataFrame, dims: int = 10, rounds: int = 100, tol: float = 1e-8) -> DataFrame:
+    """(cell_id, embedding): cells along the principal components of log1p contacts by bin pair, every pair a feature.
 
-    slot = F.pmod(F.xxhash64("chrom", "bin1", "bin2"), F.lit(min(features, 256)))
-    by = matrix.groupBy("cell_id", slot.alias("slot")).agg(F.log1p(F.sum("n")).alias("v"))
-    wide = by.groupBy("cell_id").agg(F.map_from_entries(F.collect_list(F.struct("slot", "v"))).alias("m"))
-    dense = wide.select("cell_id", array_to_vector(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(min(features, 256) - 1).cast("long")), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))).alias("x"))
-    return PCA(k=dims, inputCol="x", outputCol="pc").fit(dense).transform(dense).select("cell_id", vector_to_array("pc").alias("embedding"))
+    Subspace steps over cells: a row of the distributed table holds one pair in all its cells, the driver a few numbers a
+    cell. Components beyond the rank are 0; the cell that weighs most in a component is positive there.
+    """
+    import numpy as np
+
+    spark = matrix.sparkSession
+    cells = [r[0] for r in matrix.select("cell_id").distinct().collect()]
+    cells.sort(key=lambda c: (c is not None, c))
+    of = matrix.schema["cell_id"].dataType
+    schema = T.StructType([T.StructField("cell_id", of), T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+    if not cells:
+        return spark.createDataFrame([], schema)
+    n = len(cells)
+    index = spark.createDataFrame([(c, k) for k, c in enumerate(cells)], T.StructType([T.StructField("__cell", of), T.StructField("at", T.IntegerType())]))
+    values = matrix.groupBy("cell_id", "chrom", "bin1", "bin2").agg(F.log1p(F.sum("n")).alias("v")).join(F.broadcast(index), F.col("cell_id").eqNullSafe(F.col("__cell")))
+    pairs = values.groupBy("chrom", "bin1", "bin2").agg(F.collect_list(F.struct("at", "v")).alias("cells")).select("cells.at", "cells.v").persist()
+
+    def times(u, centred: bool):
+        """x @ y.T @ u, where y is x (cells by pairs) less its means, and so is x if ``centred``."""
+        held, width = spark.sparkContext.broadcast(u), u.shape[1]
+
+        def part(batches):
+            u, z = held.value, np.zeros((n, width))
+            for batch in batches:
+                at, v = (batch.column(k).flatten().to_numpy() for k in (0, 1))
+                m = batch.num_rows
+                f = np.repeat(np.arange(m), batch.column(0).value_lengths().to_numpy())
+                mean = np.bincount(f, v, m) / n
+                for k in range(width):
+                    t = np.bincount(f, v * u[at, k], m) - mean * u[:, k].sum()
+                    z[:, k] += np.bincount(at, v * t[f], n) - (mean @ t if centred else 0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), pa.array(z.tolist(), pa.list_(pa.float64()))], names=["at", "z"])
+
+        sums = pairs.mapInArrow(part, "at int, z array<double>").groupBy("at").agg(F.array(*[F.sum(F.col("z")[k]) for k in range(width)]).alias("z"))
+        out = np.zeros((n, width))
+        for r in sums.collect():
+            out[r["at"]] = r["z"]
+        held.unpersist()
+        return out
+
+    u = np.linalg.qr(np.random.default_rng(0).normal(size=(n, min(n, 2 * dims + 8))))[0]
+    for _ in range(rounds):
+        z = times(u, True)
+        size, w = np.linalg.eigh((u.T @ z + z.T @ u) / 2)
+        size, w = size[::-1][:dims], w[:, ::-1][:, :dims]
+        axes = u @ w
+        if u.shape[1] == n or np.abs(z @ w - axes * size).max() <= tol * max(size[0], tol):
+            break
+        u = np.linalg.qr(z)[0]
+    else:
+        raise RuntimeError(f"components have not settled in {rounds} rounds")
+    axes = axes * np.where(np.take_along_axis(axes, np.abs(axes).argmax(axis=0)[None], 0) < 0, -1, 1)
+    real = size > 1e-10 * max(size[0], 1e-10)
+    found = np.zeros((n, dims))
+    found[:, : len(size)] = times(axes, False) * np.where(real, 1 / np.sqrt(np.where(real, size, 1)), 0)
+    pairs.unpersist()
+    return spark.createDataFrame(list(zip(cells, found.tolist())), schema)

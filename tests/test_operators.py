@@ -290,6 +290,18 @@ def test_imputation_leaves_out_no_bin(spark):
             assert one.keys() == want.keys() and all(one[k] == pytest.approx(v, abs=1e-9) for k, v in want.items())
 
 
+def test_embedding_keeps_every_bin_pair_apart(spark):
+    rng = np.random.default_rng(5)
+    for cells, dims in ((7, 3), (40, 2)):  # all cells in one step, and by subspace steps
+        x = rng.poisson(1.0, (cells, 600)) + np.outer(rng.poisson(9.0, cells), np.arange(600) % 7 == 0) + np.outer(rng.poisson(4.0, cells), np.arange(600) % 5 == 0)
+        m = spark.createDataFrame([(f"c{i}", "chr1", j, j + 9, int(x[i, j])) for i, j in np.argwhere(x).tolist()], "cell_id string, chrom string, bin1 long, bin2 long, n long")
+        got = {r["cell_id"]: r["embedding"] for r in C.embed(m, dims).collect()}
+        v = np.log1p(x)
+        axes = np.linalg.svd(v - v.mean(axis=0), full_matrices=False)[2][:dims]
+        assert np.allclose(np.abs([got[f"c{i}"] for i in range(cells)]), np.abs(v @ axes.T), atol=1e-4)
+    assert C.embed(m.limit(0), 2).count() == 0
+
+
 @pytest.mark.parametrize("nome", [False, True])
 def test_both_forms_of_read_methylation_agree(spark, nome):
     rows = [(1, "CT", [1, 2, 3, 5, 6], list("CCAGC"), list("CTAGA")), (2, "GA", [1, 2, 3, 4], list("AGGT"), list("AGAT")), (3, "CT", [], [], [])]
