@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,84 +30,99 @@ def best_parts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(kept, [*keys, "seq"], "left_semi")
 
 
-def _relation(a: dict, b: dict, n_groups: int, parts: list[dict]) -> str | None:
-    """How two parts of different groups relate; None if a third part joins them without a gap."""
-    cis = a["chrom"] == b["chrom"]
-    if a["read_type"] != b["read_type"]:
-        return "cis" if cis else "trans"
-    ends = [(a["se"], b["ss"]), (b["se"], a["ss"])]
-    if any(x == y for x, y in ends):
-        return "ciscut" if cis else "transcut"
-    bridged = n_groups > 2 and any(p["read_type"] == a["read_type"] and (p["ss"], p["se"]) in ends for p in parts)
-    return None if bridged else "chimeric"
-
-
-class _Fragment:
-    """Parts within ``span`` of each other on one chromosome."""
-
-    def __init__(self, part: dict, span: int):
-        self.span, self.parts, self.chrom = span, [part], part["chrom"]
-        self.start, self.end = part["pos_start"] - span, part["pos_end"] + span
-
-    def takes(self, part: dict) -> bool:
-        a, b = part["pos_start"] - self.span, part["pos_end"] + self.span
-        if part["chrom"] != self.chrom or self.end <= a or b <= self.start:
-            return False
-        self.parts.append(part)
-        self.start, self.end = min(self.start, a), max(self.end, b)
-        return True
-
-
-def pair_contacts(parts: list[dict], span: int = 2500) -> list[tuple[str, dict | None, dict | None]]:
-    """Contacts of one read pair, parts in order: (type, part, part). Parts join the first fragment they lie near; every two
-    fragments are one contact of the type that comes first in PRIORITY, represented by the last such parts."""
-    groups: list[_Fragment] = []
-    for part in parts:
-        if not any(g.takes(part) for g in groups):
-            groups.append(_Fragment(part, span))
-    if len(groups) < 2:
-        return [("no", None, None)]
-    out = []
-    for g, h in combinations(groups, 2):
-        seen = {_relation(a, b, len(groups), parts): (a, b) for a in g.parts for b in h.parts}
-        kind = next((k for k in PRIORITY if k in seen), None)
-        if kind == "chimeric":
-            out.append((kind, None, None))
-        elif kind:
-            out.append((kind + "_multi" * (len(groups) > 2), *seen[kind]))
-    return out
+_END = ("chrom", "pos_start", "pos_end", "strand", "ss", "se", "read_type")
+
 
+def _fragments(parts: Column, span: int) -> Column:
+    """For each part the number of its fragment, from 0: the first one, in order of their first parts, whose interval comes
+    within twice ``span`` of the part's on one chromosome, else a new one. A fragment's interval grows with each part.
 
-_END = "chrom: string, pos_start: bigint, pos_end: bigint, strand: int, ss: bigint, se: bigint, read_type: int"
-_CONTACT_DDL = f"array<struct<contact_type: string, a: struct<{_END}>, b: struct<{_END}>>>"
-_FIELDS = [("chrom", pa.string()), ("pos_start", pa.int64()), ("pos_end", pa.int64()), ("strand", pa.int32()), ("ss", pa.int64()), ("se", pa.int64()), ("read_type", pa.int32())]
-_CONTACT = pa.list_(pa.struct([("contact_type", pa.string()), ("a", pa.struct(_FIELDS)), ("b", pa.struct(_FIELDS))]))
+    A fold in one expression over the bounds found so far; bounds are widened by ``span`` on both sides.
+    """
+    own = lambda p: F.struct(p["chrom"].alias("chrom"), (p["pos_start"] - span).alias("lo"), (p["pos_end"] + span).alias("hi"))
+    empty = F.struct(F.array().cast("array<struct<chrom: string, lo: bigint, hi: bigint>>").alias("bounds"), F.array().cast("array<int>").alias("of"))
+
+    def place(state: Column, p: Column) -> Column:
+        bounds, mine = state["bounds"], own(p)
+        near = F.transform(bounds, lambda f: F.coalesce((f["chrom"] == mine["chrom"]) & (f["lo"] < mine["hi"]) & (mine["lo"] < f["hi"]), F.lit(False)))
+        at = F.array_position(near, F.lit(True)).cast("int") - 1  # -1: none is near
+        grown = F.transform(
+            bounds, lambda f, n: F.when(n == at, F.struct(f["chrom"].alias("chrom"), F.least(f["lo"], mine["lo"]).alias("lo"), F.greatest(f["hi"], mine["hi"]).alias("hi"))).otherwise(f)
+        )
+        return F.struct(
+            F.when(at < 0, F.array_append(bounds, mine)).otherwise(grown).alias("bounds"),
+            F.array_append(state["of"], F.when(at < 0, F.size(bounds)).otherwise(at)).alias("of"),
+        )
+
+    return F.aggregate(parts, empty, place, lambda state: state["of"])
+
+
+def _rank(a: Column, b: Column, parts: Column, several: Column) -> Column:
+    """Place in PRIORITY of what two parts of different fragments are to each other; null: a third part joins them without
+    a gap, which counts only where there are more than two fragments (``several``)."""
+    cis, same = a["chrom"] == b["chrom"], a["read_type"] == b["read_type"]
+    cut = (a["se"] == b["ss"]) | (b["se"] == a["ss"])
+    joins = lambda p: (p["read_type"] == a["read_type"]) & (((p["ss"] == a["se"]) & (p["se"] == b["ss"])) | ((p["ss"] == b["se"]) & (p["se"] == a["ss"])))
+    rank = {k: F.lit(n) for n, k in enumerate(PRIORITY)}
+    return (
+        F.when(~same, F.when(cis, rank["cis"]).otherwise(rank["trans"]))
+        .when(cut, F.when(cis, rank["ciscut"]).otherwise(rank["transcut"]))
+        .when(~(several & F.exists(parts, joins)), rank["chimeric"])
+    )
 
 
 def call_contacts(df: DataFrame, keys: list[str], span: int = 2500) -> DataFrame:
     """One row per outcome: keys, contact_type, and chrom, start, end, strand, read_start, read_end, read_type of both ends.
 
-    df: keys (a read pair), seq, chrom, pos_start, pos_end, strand, ss, se, read_type. A pair's parts are gathered in one row
-    (they are few) and rows go through Arrow in batches, not one Python call per group.
+    df: keys (a read pair), seq, chrom, pos_start, pos_end, strand, ss, se, read_type. Parts form fragments (``_fragments``);
+    every two fragments have one outcome, that of their parts which comes first in PRIORITY, shown by the last such two parts;
+    with more than two fragments it is ``_multi``. A pair with one fragment is one row ``no``, a chimeric outcome a row
+    without ends. All in DataFrame functions: a pair's parts, which are few, are gathered in one row, the only shuffle.
     """
-    names = [f for f, _ in _FIELDS]
-
-    def contacts(pairs: pa.Array) -> pa.Array:
-        out = []
-        for parts in pairs.to_pylist():
-            found = pair_contacts(parts, span)
-            out.append([{"contact_type": t, "a": a and {f: a[f] for f in names}, "b": b and {f: b[f] for f in names}} for t, a, b in found])
-        return pa.array(out, _CONTACT)
-
-    pairs = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", *names))).alias("__parts"))
-    out = pairs.select(*keys, F.inline(F.arrow_udf(contacts, _CONTACT_DDL)(F.col("__parts"))))
+    d = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", *_END))).alias("__p"))
+    # One column a step: an expression inside a lambda would be computed again for every element.
+    d = d.withColumn("__of", F.when(F.size("__p") > 1, _fragments(F.col("__p"), span)).otherwise(F.array(F.lit(0))))
+    d = d.withColumn("__n", F.array_max("__of") + 1)
+    p, of, several = F.col("__p"), F.col("__of"), F.col("__n") > 2
+    at = F.sequence(F.lit(0), F.size("__p") - 1)
+
+    def meet(i: Column) -> Column:
+        others = F.filter(at, lambda j: F.get(of, i) < F.get(of, j))
+        return F.transform(others, lambda j: F.struct(
+            F.get(of, i).alias("g"), F.get(of, j).alias("h"), _rank(F.get(p, i), F.get(p, j), p, several).alias("rank"), (-i).alias("i"), (-j).alias("j"),
+        ))
+
+    met = F.when(F.col("__n") > 1, F.array_sort(F.filter(F.flatten(F.transform(at, meet)), lambda m: m["rank"].isNotNull())))
+    d = d.withColumn("__met", met)
+    before = lambda n: F.get("__met", n - 1)
+    first = F.filter("__met", lambda m, n: (n == 0) | (before(n)["g"] != m["g"]) | (before(n)["h"] != m["h"]))
+    name = F.array(*map(F.lit, PRIORITY))
+    chimeric = PRIORITY.index("chimeric")
+
+    def outcome(m: Column) -> Column:
+        kind = F.when(m["rank"] == chimeric, "chimeric").otherwise(F.concat(F.get(name, m["rank"]), F.when(several, "_multi").otherwise("")))
+        end = lambda k: F.when(m["rank"] != chimeric, F.get(p, -m[k]))
+        return F.struct(kind.alias("contact_type"), end("i").alias("a"), end("j").alias("b"))
+
+    none = F.when(F.lit(False), F.get(p, F.lit(0)))
+    no = F.array(F.struct(F.lit("no").alias("contact_type"), none.alias("a"), none.alias("b")))
+    out = d.select(*keys, F.inline(F.when(F.col("__n") < 2, no).otherwise(F.transform(first, outcome))))
     flat = {"chrom": "chrom", "start": "pos_start", "end": "pos_end", "strand": "strand", "read_start": "ss", "read_end": "se", "read_type": "read_type"}
     return out.select(*keys, "contact_type", *[F.col(f"{side}.{f}").alias(f"{name}{n}") for n, side in ((1, "a"), (2, "b")) for name, f in flat.items()])
 
 
-def contact_counts(contacts: DataFrame, keys: list[str]) -> DataFrame:
-    """Outcomes by type, and mapped_frag, the number of pairs."""
-    return contacts.groupBy(*keys).agg(*[F.count_if(F.col("contact_type") == k).alias(k) for k in KINDS], F.count_distinct("pair_id").alias("mapped_frag"))
+def numbered_pairs(contacts: DataFrame, keys: list[str], pair: str = "pair_id") -> DataFrame:
+    """Adds ``read_pair_id``: the pair's ordinal, from 0, in the order of its name within ``keys`` (a cell)."""
+    return contacts.withColumn("read_pair_id", (F.dense_rank().over(Window.partitionBy(*keys).orderBy(pair)) - 1).cast("long"))
+
+
+def contact_counts(contacts: DataFrame, keys: list[str], pair: str = "pair_id") -> DataFrame:
+    """Outcomes by type, and mapped_frag, the number of pairs.
+
+    Pairs are summed up first (they are the shuffle key of the calls already), then keys: no distinct over rows.
+    """
+    by = contacts.groupBy(*keys, pair).agg(*[F.count_if(F.col("contact_type") == k).alias(k) for k in KINDS])
+    return by.groupBy(*keys).agg(*[F.sum(k).alias(k) for k in KINDS], F.count(F.lit(1)).alias("mapped_frag"))
 
 
 def contact_summary(df: DataFrame) -> DataFrame:
@@ -144,6 +157,27 @@ def duplicate_rate(raw: DataFrame, dedup: DataFrame, keys: list[str]) -> DataFra
     return out.withColumn("dup_rate", (F.col("n_raw") - F.col("n_dedup")) / (F.col("n_raw") + 0.00001))
 
 
+def contact_pipeline(parts: DataFrame, keys: list[str], pair: str = "pair_id", span: int = 2500, save_raw: bool = False, save_short: bool = True, drop_last_pair: bool = False) -> dict[str, DataFrame]:
+    """From the parts of read pairs to contacts, in one call: ``dedup``, ``stats``, and, if asked for, ``raw`` and ``short``.
+
+    keys: what a table of contacts is for (a cell). raw: contacts with both ends, their pairs numbered; dedup: without
+    duplicates; short: see ``short_format``; stats per key: outcomes by type, mapped_frag, dedup_frag, dup_rate.
+    ``drop_last_pair`` takes one from mapped_frag, as older pipelines counted.
+    """
+    called = numbered_pairs(call_contacts(parts, [*keys, pair], span), keys, pair)
+    raw = called.where("chrom1 is not null").withColumn("seq", F.struct("read_pair_id", "read_type1", "read_start1", "read_type2", "read_start2"))
+    dedup = dedup_contacts(raw, keys).drop("seq")
+    raw = raw.drop("seq")
+    counts = contact_counts(called, keys, pair)
+    if drop_last_pair:
+        counts = counts.withColumn("mapped_frag", F.greatest(F.col("mapped_frag") - 1, F.lit(0)))
+    frag = dedup.groupBy(*keys).agg(F.count(F.lit(1)).alias("dedup_frag"))
+    written = sum((F.col(k) for k in KINDS if k not in ("chimeric", "no")), F.lit(0))
+    stats = counts.join(frag, keys, "left").withColumn("dedup_frag", F.coalesce("dedup_frag", F.lit(0)))
+    stats = stats.withColumn("dup_rate", (written - F.col("dedup_frag")) / (written + 0.00001))
+    return {"dedup": dedup, "stats": stats} | ({"raw": raw} if save_raw else {}) | ({"short": short_format(dedup)} if save_short else {})
+
+
 def short_format(df: DataFrame) -> DataFrame:
     """Eight columns: strand, chromosome, position, fragment (0 and 1) of both ends."""
     return df.select(
@@ -182,6 +216,17 @@ def split_contacts(wide: DataFrame, chroms: list[str], min_gap: int = 2500) -> D
     return d.select(*[F.col(f"{s}.{f}").alias(f"{f}{n}") for n, s in ((1, "a"), (2, "b")) for f in ("strand", "chrom", "pos")], kind.alias("kind"))
 
 
+def generate_contacts(alignments: DataFrame, chroms: list[str], min_gap: int = 2500, keep_split_table: bool = False) -> dict[str, DataFrame]:
+    """From slotted alignments (see ``split_table``) to contacts, in one call: ``contacts`` (long-range and trans, in the order
+    chrom1, chrom2, strand1, strand2, pos1), ``counts`` (CisShortContact, CisLongContact, TransContact) and, if asked for, ``split``."""
+    wide = split_table(alignments)
+    found = split_contacts(wide, chroms, min_gap)
+    kinds = {"CisShortContact": "cis_short", "CisLongContact": "cis_long", "TransContact": "trans"}
+    counts = found.agg(*[F.count_if(F.col("kind") == k).alias(n) for n, k in kinds.items()])
+    contacts = found.where("kind <> 'cis_short'").drop("kind").orderBy("chrom1", "chrom2", "strand1", "strand2", "pos1")
+    return {"contacts": contacts, "counts": counts} | ({"split": wide} if keep_split_table else {})
+
+
 def contact_matrix(df: DataFrame, resolution: int, keys: list[str], min_distance: int = 2500) -> DataFrame:
     """Contacts of a chromosome by pair of bins, those nearer than ``min_distance`` left out."""
     d = df.where((F.col("chrom1") == F.col("chrom2")) & (F.abs(F.col("start1") - F.col("start2")) > min_distance))

@@ -302,13 +302,55 @@ def c5_two(spark, d):
     return C.call_contacts(v.join(two, "pair_id", "left_semi"), ["pair_id"]).select("pair_id", "contact_type")
 
 
-@register("c11_call_contacts")
+# First-fit fragments as a recursion over the parts of a pair, then the best relation of every two fragments.
+_CONTACTS = """p AS (SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY seq) AS i FROM v_align),
+ fold AS (SELECT pair_id, CAST(1 AS BIGINT) AS i, [{'chrom': chrom, 'lo': pos_start - 2500, 'hi': pos_end + 2500}] AS bounds, [CAST(1 AS BIGINT)] AS frag FROM p WHERE i = 1
+  UNION ALL SELECT pair_id, i, CASE WHEN k = 0 THEN list_append(bounds, mine) ELSE list_concat(list_concat(bounds[1:k - 1], [{'chrom': mine.chrom, 'lo': least(bounds[k].lo, mine.lo), 'hi': greatest(bounds[k].hi, mine.hi)}]), bounds[k + 1:]) END,
+   list_append(frag, CASE WHEN k = 0 THEN len(bounds) + 1 ELSE k END) FROM (
+   SELECT f.pair_id, p.i, f.bounds, f.frag, {'chrom': p.chrom, 'lo': p.pos_start - 2500, 'hi': p.pos_end + 2500} AS mine,
+    CAST(coalesce(list_position(list_transform(f.bounds, lambda x: x.chrom = p.chrom AND x.lo < p.pos_end + 2500 AND p.pos_start - 2500 < x.hi), true), 0) AS BIGINT) AS k
+   FROM fold f JOIN p ON p.pair_id = f.pair_id AND p.i = f.i + 1) z),
+ whole AS (SELECT pair_id, max_by(frag, i) AS frag, max_by(len(bounds), i) AS n FROM fold GROUP BY pair_id),
+ placed AS (SELECT p.*, w.frag[p.i] AS g, w.n FROM p JOIN whole w ON w.pair_id = p.pair_id),
+ slices AS (SELECT pair_id, list({'t': read_type, 's': ss, 'e': se}) AS has FROM p GROUP BY pair_id),
+ met AS (SELECT a.cell_id, a.pair_id, a.n, a.g AS g, b.g AS h, a.i AS i, b.i AS j, a AS a, b AS b, CASE WHEN a.read_type <> b.read_type THEN CASE WHEN a.chrom = b.chrom THEN 3 ELSE 4 END
+   WHEN a.se = b.ss OR b.se = a.ss THEN CASE WHEN a.chrom = b.chrom THEN 0 ELSE 1 END
+   WHEN NOT (a.n > 2 AND (list_contains(s.has, {'t': a.read_type, 's': a.se, 'e': b.ss}) OR list_contains(s.has, {'t': a.read_type, 's': b.se, 'e': a.ss}))) THEN 2 END AS rank
+  FROM placed a JOIN placed b ON a.pair_id = b.pair_id AND a.g < b.g JOIN slices s ON s.pair_id = a.pair_id),
+ best AS (SELECT * FROM met WHERE rank IS NOT NULL QUALIFY row_number() OVER (PARTITION BY pair_id, g, h ORDER BY rank, i DESC, j DESC) = 1),
+ calls AS (SELECT cell_id, pair_id, CASE WHEN rank = 2 THEN 'chimeric' ELSE concat(['ciscut', 'transcut', 'chimeric', 'cis', 'trans'][rank + 1], CASE WHEN n > 2 THEN '_multi' ELSE '' END) END AS contact_type,
+   CASE WHEN rank <> 2 THEN a END AS a, CASE WHEN rank <> 2 THEN b END AS b FROM best
+  UNION ALL SELECT cell_id, pair_id, 'no', NULL, NULL FROM placed WHERE n = 1 AND i = 1)"""
+_CALLED = "cell_id, pair_id, contact_type, " + ", ".join(
+    f"{x}.{f} AS {name}{n}" if f != "strand" else f"CASE WHEN {x}.chrom IS NOT NULL THEN 0 END AS strand{n}"
+    for n, x in ((1, "a"), (2, "b")) for name, f in (("chrom", "chrom"), ("start", "pos_start"), ("end", "pos_end"), ("strand", "strand"), ("read_start", "ss"), ("read_end", "se"), ("read_type", "read_type"))
+)
+
+
+@register("c11_call_contacts", oracle(f"WITH RECURSIVE {_CONTACTS} SELECT {_CALLED} FROM calls", "v_align"))
 def c11(spark, d):
-    """Contacts of all pairs, any number of parts (no SQL form: first-fit grouping)."""
+    """Contacts of all pairs, any number of parts."""
     return C.call_contacts(_parts(spark, d), ["cell_id", "pair_id"])
 
 
-@register("s22_contact_summary")
+_KINDS = ", ".join(f"count(*) FILTER (contact_type = '{k}') AS {k}" for k in C.KINDS)
+
+
+@register("c11_contact_pipeline", oracle(
+    f"""WITH RECURSIVE {_CONTACTS}, raw AS (SELECT *, dense_rank() OVER (PARTITION BY cell_id ORDER BY pair_id) - 1 AS no FROM (SELECT {_CALLED} FROM calls) t),
+    lagged AS (SELECT cell_id, coalesce(lag(start1) OVER x = start1 OR lag(end1) OVER x = end1, false) AND coalesce(lag(start2) OVER y = start2 OR lag(end2) OVER y = end2, false) AS gone FROM raw WHERE chrom1 IS NOT NULL
+     WINDOW x AS (PARTITION BY cell_id, chrom1, chrom2 ORDER BY start1, end1, start2, end2, no, read_type1, read_start1, read_type2, read_start2),
+      y AS (PARTITION BY cell_id, chrom1, chrom2 ORDER BY start2, end2, start1, end1, no, read_type1, read_start1, read_type2, read_start2)),
+    n AS (SELECT cell_id, {_KINDS}, count(DISTINCT pair_id) AS mapped_frag FROM calls GROUP BY 1), k AS (SELECT cell_id, count(*) AS written, count(*) FILTER (NOT gone) AS dedup_frag FROM lagged GROUP BY 1)
+    SELECT n.*, coalesce(dedup_frag, 0) AS dedup_frag, CAST(coalesce(written, 0) - coalesce(dedup_frag, 0) AS DOUBLE) / (coalesce(written, 0) + 1e-5) AS dup_rate FROM n LEFT JOIN k USING (cell_id)""", "v_align"))
+def c11_pipeline(spark, d):
+    return C.contact_pipeline(_parts(spark, d), ["cell_id"])["stats"]
+
+
+@register("s22_contact_summary", oracle(
+    f"""WITH RECURSIVE {_CONTACTS}, n AS (SELECT cell_id, {_KINDS}, count(DISTINCT pair_id) AS mapped_frag FROM calls GROUP BY 1),
+    t AS (SELECT *, cis + ciscut + cis_multi + ciscut_multi AS "TotalCisContacts", trans + transcut + trans_multi + transcut_multi AS "TotalTransContacts", cis_multi + ciscut_multi + trans_multi + transcut_multi AS "TotalMultiContacts" FROM n)
+    SELECT *, "TotalCisContacts" / (mapped_frag + 1e-5) AS "CisContactsRatio", "TotalTransContacts" / (mapped_frag + 1e-5) AS "TransContactsRatio", "TotalMultiContacts" / (mapped_frag + 1e-5) AS "MultiContactsRatio" FROM t""", "v_align"))
 def s22(spark, d):
     return C.contact_summary(C.contact_counts(C.call_contacts(_parts(spark, d), ["cell_id", "pair_id"]), ["cell_id"]))
 
@@ -346,10 +388,14 @@ _WIDE = (
 )
 
 
-def _wide(spark, d) -> DataFrame:
+def _slotted(spark, d) -> DataFrame:
     v = view(spark, d, "v_align").withColumn("l", F.floor(F.col("ss") / 20) + F.col("read_type") * 4)
     slot = F.element_at(F.array(*map(F.lit, C.SLOTS)), (F.pmod("l", F.lit(8)) + 1).cast("int"))
-    return C.split_table(v.select(F.col("pair_id").alias("read_id"), "seq", slot.alias("slot"), "flag", "chrom", F.col("pos_start").alias("pos"), F.col("ref_len").alias("length")))
+    return v.select(F.col("pair_id").alias("read_id"), "seq", slot.alias("slot"), "flag", "chrom", F.col("pos_start").alias("pos"), F.col("ref_len").alias("length"))
+
+
+def _wide(spark, d) -> DataFrame:
+    return C.split_table(_slotted(spark, d))
 
 
 @register("c12_split_table", oracle(f"WITH {_WIDE} SELECT read_id, coalesce(s0.chrom, '') AS c0, coalesce(s4.chrom, '') AS c4, coalesce(s7.pos, -1) AS p7 FROM w2", "v_align"))
@@ -370,6 +416,19 @@ def c13(spark, d):
     return C.split_contacts(_wide(spark, d), ["chr1", "chr2"])
 
 
+@register(
+    "c14_generate_contacts",
+    oracle(
+        f"""WITH {_WIDE}, e AS (SELECT coalesce(s0,s1,s2,s3,s4,s5,s6,s7) AS a, coalesce(s7,s6,s5,s4,s3,s2,s1,s0) AS b FROM w2 WHERE true),
+        k AS (SELECT CASE WHEN a.chrom <> b.chrom THEN 't' WHEN abs(a.pos - b.pos) > 2500 THEN 'l' ELSE 's' END AS k FROM e WHERE a.chrom IN ('chr1','chr2','chr3') AND b.chrom IN ('chr1','chr2','chr3'))
+        SELECT count(*) FILTER (k = 's') AS "CisShortContact", count(*) FILTER (k = 'l') AS "CisLongContact", count(*) FILTER (k = 't') AS "TransContact" FROM k""",
+        "v_align",
+    ),
+)
+def c14(spark, d):
+    return C.generate_contacts(_slotted(spark, d), ["chr1", "chr2", "chr3"])["counts"]
+
+
 @register(
     "c15_contact_matrix",
     oracle("SELECT cell_id, chrom1 AS chrom, least(start1 // 10000, start2 // 10000) AS bin1, greatest(start1 // 10000, start2 // 10000) AS bin2, count(*) AS n FROM v_contact WHERE chrom1 = chrom2 AND abs(start1 - start2) > 2500 GROUP BY ALL", "v_contact", "v_align"),

@@ -74,18 +74,85 @@ def part(seq, chrom, start, end, ss, se, read_type=2):
     return {"seq": seq, "chrom": chrom, "pos_start": start, "pos_end": end, "strand": 0, "ss": ss, "se": se, "read_type": read_type}
 
 
-def test_contact_types():
+def called(spark, pairs, span=2500):
+    """(contact_type, seq of one end, seq of the other) per pair; parts are told by where they start."""
+    rows = [(n, *p.values()) for n, parts in enumerate(pairs) for p in parts]
+    df = spark.createDataFrame(rows, "pair_id long, seq long, chrom string, pos_start long, pos_end long, strand int, ss long, se long, read_type int")
+    out = [[] for _ in pairs]
+    for r in C.call_contacts(df, ["pair_id"], span).collect():
+        out[r["pair_id"]].append((r["contact_type"], (r["chrom1"], r["start1"], r["read_start1"]), (r["chrom2"], r["start2"], r["read_start2"])))
+    return [sorted(x, key=repr) for x in out]
+
+
+def plain_contacts(parts, span=2500):
+    """The rules on small lists: a part's fragment is the first whose widened interval meets its own."""
+    frags, of = [], []
+    for p in parts:
+        lo, hi = p["pos_start"] - span, p["pos_end"] + span
+        k = next((k for k, (c, a, b) in enumerate(frags) if c == p["chrom"] and a < hi and lo < b), len(frags))
+        if k == len(frags):
+            frags.append((p["chrom"], lo, hi))
+        frags[k] = (p["chrom"], min(frags[k][1], lo), max(frags[k][2], hi))
+        of.append(k)
+    nothing = (None, None, None)
+    if len(frags) < 2:
+        return [("no", nothing, nothing)]
+    slices, best = {(p["read_type"], p["ss"], p["se"]) for p in parts}, {}
+    for i, a in enumerate(parts):
+        for j, b in enumerate(parts):
+            if of[i] < of[j]:
+                place = "cis" if a["chrom"] == b["chrom"] else "trans"
+                if a["read_type"] == b["read_type"]:
+                    t = a["read_type"]
+                    if a["se"] == b["ss"] or b["se"] == a["ss"]:
+                        place += "cut"
+                    elif len(frags) > 2 and ((t, a["se"], b["ss"]) in slices or (t, b["se"], a["ss"]) in slices):
+                        continue
+                    else:
+                        place = "chimeric"
+                key = (-C.PRIORITY.index(place), i, j)
+                best[of[i], of[j]] = max(best.get((of[i], of[j]), key), key)
+    ends = lambda p: (p["chrom"], p["pos_start"], p["ss"])
+    many = "_multi" * (len(frags) > 2)
+    out = [("chimeric", nothing, nothing) if C.PRIORITY[-r] == "chimeric" else (C.PRIORITY[-r] + many, ends(parts[i]), ends(parts[j])) for r, i, j in best.values()]
+    return sorted(out, key=repr)
+
+
+def test_contact_types(spark):
     a, b = part(1, "chr1", 0, 50, 0, 43), part(2, "chr2", 0, 50, 43, 82)
-    assert [t for t, *_ in C.pair_contacts([a])] == ["no"]
-    assert [t for t, *_ in C.pair_contacts([a, part(2, "chr1", 5040, 5060, 50, 90)])] == ["no"]
-    assert [t for t, *_ in C.pair_contacts([a, part(2, "chr1", 5050, 5060, 50, 90)])] == ["chimeric"]
-    assert [t for t, *_ in C.pair_contacts([a, b])] == ["transcut"]
-    assert [t for t, *_ in C.pair_contacts([a, part(2, "chr1", 90_000, 90_050, 0, 30, 1)])] == ["cis"]
+    pairs = [[a], [a, part(2, "chr1", 5040, 5060, 50, 90)], [a, part(2, "chr1", 5050, 5060, 50, 90)], [a, b], [a, part(2, "chr1", 90_000, 90_050, 0, 30, 1)]]
+    assert [[t for t, *_ in x] for x in called(spark, pairs)] == [["no"], ["no"], ["chimeric"], ["transcut"], ["cis"]]
 
 
-def test_bridged_parts_are_no_chimera():
+def test_bridged_parts_are_no_chimera(spark):
     parts = [part(1, "chr11", 17030146, 17030195, 82, 131), part(2, "chr4", 74624619, 74624658, 43, 82), part(3, "chr1", 45747948, 45747992, 0, 43)]
-    assert [t for t, *_ in C.pair_contacts(parts)] == ["transcut_multi", "transcut_multi"]
+    assert [t for t, *_ in called(spark, [parts])[0]] == ["transcut_multi", "transcut_multi"]
+
+
+def test_contacts_agree_with_the_plain_rules(spark):
+    rng = np.random.default_rng(4)
+    pairs = []
+    for _ in range(400):
+        n, cuts = int(rng.integers(1, 8)), np.arange(0, 200, 20)
+        parts = []
+        for k in range(n):
+            start, ss = int(rng.integers(0, 6)) * 3000, int(rng.choice(cuts))
+            parts.append(part(k, f"chr{rng.integers(1, 3)}", start, start + 50, ss, ss + 20 * int(rng.integers(1, 4)), int(rng.integers(1, 3))))
+        pairs.append(parts)
+    assert called(spark, pairs) == [plain_contacts(p) for p in pairs]
+    kinds = {t for x in pairs for t, *_ in plain_contacts(x)}
+    assert kinds == set(C.KINDS)
+
+
+def test_contact_pipeline(spark):
+    parts = [(c, n, k, "chr1", 100_000 * k, 100_000 * k + 50, 0, 40 * k, 40 * k + 40, 2) for c in ("x", "y") for n in range(3) for k in range(2)]
+    df = spark.createDataFrame(parts, "cell_id string, pair_id long, seq long, chrom string, pos_start long, pos_end long, strand int, ss long, se long, read_type int")
+    out = C.contact_pipeline(df, ["cell_id"], save_raw=True, drop_last_pair=True)
+    assert out["raw"].count() == 6 and out["dedup"].count() == 2 and out["short"].columns == ["str1", "chr1", "pos1", "frag1", "str2", "chr2", "pos2", "frag2"]
+    assert sorted(r["read_pair_id"] for r in out["raw"].where("cell_id = 'x'").collect()) == [0, 1, 2]
+    for r in out["stats"].collect():
+        assert (r["ciscut"], r["mapped_frag"], r["dedup_frag"], r["dup_rate"]) == (3, 2, 1, pytest.approx(2 / 3, abs=1e-4))
+    assert C.contact_pipeline(df.limit(0), ["cell_id"])["stats"].count() == 0
 
 
 def test_best_parts_tie_goes_to_the_later(spark):
