@@ -19,13 +19,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only where the session names none (as in tests) a local one is made."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    Where the session names none, a local master (as in tests) gets a folder of its own, one for each application; on a
+    cluster executors would write where nobody reads, so that raises. The session's settings stay as they are.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='methylspark-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    if found:
+        return found
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return _local_dirs.setdefault(context.applicationId, f"file://{tempfile.mkdtemp(prefix='methylspark-')}")
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -39,11 +48,16 @@ def _delete(spark: SparkSession, path: str) -> None:
 BATCH_BYTES = 4 << 20
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bounds Arrow batches by bytes, however long texts are, unless the session has set its own bound."""
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bounds the session's Arrow batches by bytes, however long texts are, unless it has a bound of its own.
+
+    Only the registered queries and the pipeline, which stand for an application, call this; operators work under
+    whatever bound their caller's session has.
+    """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) in ("67108864b", "67108864", "64MB", "64m"):
         spark.conf.set(key, str(BATCH_BYTES))
+    return spark
 
 
 class Workspace:
@@ -51,23 +65,27 @@ class Workspace:
 
     ``put`` writes a frame and reads it again: it cuts the lineage, survives lost executors (any executor can read
     the files again) and lets joins on it be plain shuffles that Spark can split when a key is hot.
-    ``drop`` frees a table that nothing needs any more; what is left goes when the driver ends.
+    ``drop`` frees a table that nothing needs any more. What a lazy result still reads stays until ``close``, which
+    ``release`` calls for all runs of a session, or until the driver ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        small_batches(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self._paths: dict[int, str] = {}
         self._n = 0
+        _open.add(self)
         atexit.register(self.close)
 
     def path(self, tag: str) -> str:
         self._n += 1
         return f"{self.root}/{self._n:03d}-{tag}"
 
-    def put(self, df: DataFrame, tag: str) -> DataFrame:
+    def put(self, df: DataFrame, tag: str, narrow: bool = False) -> DataFrame:
+        """``narrow``: rows of a few numbers, of which a partition's share is a small file; they go into an eighth as many."""
         path = self.path(tag)
+        if narrow:
+            df = few_files(df)
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = path
@@ -80,12 +98,23 @@ class Workspace:
                 _delete(self.spark, path)
 
     def close(self) -> None:
+        _open.discard(self)
+        atexit.unregister(self.close)
         try:
             _delete(self.spark, self.root)
         except Exception:  # noqa: BLE001 - the session may have ended before the interpreter does
             pass
 
 
+_open: set[Workspace] = set()
+
+
+def release() -> None:
+    """Frees the tables of all runs so far; for long sessions, when their results have been written or collected."""
+    for space in list(_open):
+        space.close()
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -99,6 +128,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """Rows of a few numbers, in an eighth as many partitions as a shuffle has, or as many as there are cores."""
+    spark = df.sparkSession
+    return df.coalesce(max(spark.sparkContext.defaultParallelism, shuffle_partitions(spark) // 8))
+
+
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Splits a stream of batches, sorted by ``keys``, into tables that end where a key ends.
 

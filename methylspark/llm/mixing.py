@@ -10,15 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from methylspark.llm.common import WORD, Workspace, columns_of, table
+from methylspark.llm.common import WORD, Workspace, columns_of, few_files, table
 
 #: Sources whose cutoffs may be broadcast in ``apply_mix``; beyond it a shuffle join is used.
 BROADCAST_SOURCES = 20_000
 
 
+_SPACE = " \t\n\x0b\f\r"
+
+
 def n_words(text: Column) -> Column:
-    """Number of words of the text, 0 for null. A word begins where a word character follows none."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    """Number of words of the text, 0 for null.
+
+    Each word, with the white space before it, becomes one character; what is left behind the last is white space. Nothing
+    is made for each word, unlike an array of them.
+    """
+    marks = F.regexp_replace(F.coalesce(text, F.lit("")), rf"[\x20\x09-\x0D]*{WORD}", "x")
+    return F.length(F.rtrim(marks, F.lit(_SPACE))).cast("long")
 
 
 def shuffle_key(doc_id: Column, seed: int) -> Column:
@@ -27,7 +35,7 @@ def shuffle_key(doc_id: Column, seed: int) -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2) -> DataFrame:
-    """(source, source_size, weight, target) from (source, source_size).
+    """``sizes`` (source, source_size, others) with weight and target.
 
     Sources in code-point order, null last, get ``weights`` in turn and share ``share`` times all sizes. A target stops
     at ``most`` times its source's size and the excess goes to the others by weight, until none is above: that is the
@@ -51,7 +59,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
     target = F.when(F.col("level").isNull(), F.col("cap").cast("double")).otherwise(
         F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight"))
     )
-    return w.select("source", "source_size", "weight", target.alias("target"))
+    return w.withColumn("target", target).select(*sizes.columns, "weight", "target")
 
 
 def schedule(
@@ -74,47 +82,45 @@ def schedule(
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.cast("long").alias("size"), shuffle_key(F.col(id_col), seed).alias("key")
     )
-    rows = space.put(rows, "rows")
+    rows = space.put(rows, "rows")  # texts are read once
     counted = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
-    plan = space.put(targets(counted.select("source", "source_size"), weights, share, most).join(
-        counted.select(F.col("source").alias("s2"), "n"), F.col("source").eqNullSafe(F.col("s2"))
-    ).drop("s2"), "targets")
+    plan = space.put(targets(counted, weights, share, most), "targets", narrow=True)
+    total = plan.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("size"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    budget, ranges = int(total["size"] * share), max(1, int(total["n"] ** 0.5))
     # About sqrt(n) buckets of sqrt(n) rows per source.
-    planned = _with_plan(rows, plan, spark)
     fraction = F.conv(F.substring("key", 1, 8), 16, 10).cast("long") / F.lit(float(2**32))
-    placed = planned.withColumn("slot", F.floor(fraction * F.ceil(F.sqrt("n"))))
+    placed = _with_plan(rows, plan, spark).withColumn("slot", F.floor(fraction * F.ceil(F.sqrt("n"))))
     totals = placed.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
     before = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(F.col("source").alias("s2"), F.col("slot").alias("b2"), F.coalesce(F.sum("slot_size").over(before), F.lit(0)).alias("base"))
     placed = placed.join(totals, F.col("source").eqNullSafe(F.col("s2")) & (F.col("slot") == F.col("b2"))).drop("s2", "b2")
     own = Window.partitionBy("source", "slot").orderBy("key", F.col("doc_id").isNull(), "doc_id", "size")
     placed = placed.withColumn("done", F.col("base") + F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0))).withColumn("nr", F.row_number().over(own))
-    placed = placed.select("doc_id", "source", "size", "key", "source_size", "target", "slot", "nr", "done")
-    placed = space.put(placed, "placed")
-    # Virtual finish times, one for each pass; the merged order and its running sum.
-    total = placed.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size"), F.count(F.lit(1)).alias("n")).first()
-    budget, buckets = int(total["size"] * share), max(1, int(total["n"] ** 0.5))
-    passes = placed.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(most - 1)))).where((F.col("target") > 0) & (F.col("size") > 0))
-    passes = passes.withColumn("finish", (F.col("pass") * F.col("source_size") + F.col("done")) / F.col("target"))
-    passes = passes.withColumn("range", F.floor(F.col("finish") * buckets))
-    sums = passes.groupBy("range").agg(F.sum("size").alias("range_size"))
+    placed = space.put(placed.select("doc_id", "source", "size", "key", "source_size", "target", "slot", "nr", "done"), "placed", narrow=True)
+    space.drop(rows)
+    # Virtual finish times, one for each pass; the merged order and its running sum. Rows without words finish nowhere
+    # (null) and take nothing.
+    passes = placed.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
+    finish = F.when((F.col("target") > 0) & (F.col("size") > 0), (F.col("pass") * F.col("source_size") + F.col("done")) / F.col("target"))
+    # Without a finish a row has a range of its own kind, dealt by its place, so that such rows gather nowhere.
+    passes = passes.withColumn("finish", finish).withColumn("range", F.coalesce(F.floor(F.col("finish") * ranges), -1 - F.pmod(F.xxhash64("slot", "nr"), F.lit(ranges))))
+    sums = passes.groupBy("range").agg(F.sum(F.when(F.col("finish").isNotNull(), F.col("size"))).alias("range_size"))
     sums = sums.select(F.col("range").alias("r2"), F.coalesce(F.sum("range_size").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     merged = Window.partitionBy("range").orderBy("finish", F.col("source").isNull(), "source", "pass", "slot", "nr").rowsBetween(Window.unboundedPreceding, 0)
     passes = passes.join(sums, F.col("range") == F.col("r2")).withColumn("upto", F.col("base") + F.sum("size").over(merged))
-    taken = F.greatest(F.lit(0), F.least(F.col("size"), F.lit(budget) - F.col("upto") + F.col("size"))).cast("long")
-    took = passes.withColumn("took", taken).groupBy(F.col("source").alias("s2"), F.col("slot").alias("b2"), F.col("nr").alias("n2")).agg(
-        F.sum("took").alias("taken"), F.sum((F.col("took") > 0).cast("int")).alias("passes")
-    )
-    out = placed.join(took, F.col("source").eqNullSafe(F.col("s2")) & (F.col("slot") == F.col("b2")) & (F.col("nr") == F.col("n2")), "left")
-    return out.select(
-        "doc_id", "source", "size", "key", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("passes", F.lit(0)).cast("int").alias("passes"), "done"
+    took = F.when(F.col("finish").isNotNull(), F.greatest(F.lit(0), F.least(F.col("size"), F.lit(budget) - F.col("upto") + F.col("size")))).otherwise(0).cast("long")
+    # A row's passes meet again by its place; all else is equal in them.
+    out = passes.withColumn("took", took).groupBy("source", "slot", "nr").agg(
+        *[F.any_value(c).alias(c) for c in ("doc_id", "size", "key", "source_size", "target", "done")],
+        F.sum("took").alias("taken"), F.sum((F.col("took") > 0).cast("int")).cast("int").alias("passes"),
     )
+    return out.select("doc_id", "source", "size", "key", "source_size", "target", "taken", "passes", "done")
 
 
 def _with_plan(rows: DataFrame, plan: DataFrame, spark) -> DataFrame:
     """Each row with its source's target. The plan is broadcast if it has BROADCAST_SOURCES rows at most."""
     small = plan.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    plan = plan.withColumnRenamed("source", "s2")
+    plan = plan.drop("weight").withColumnRenamed("source", "s2")
     return rows.join(F.broadcast(plan) if small else plan, F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
 
 
@@ -131,7 +137,7 @@ def apply_mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col:
     cut = plan.where("passes > 0").groupBy("source").agg(
         *[F.max(F.when(F.col("passes") >= p, F.col("key"))).alias(f"cut{p}") for p in range(1, most + 1)]
     )
-    cut = Workspace(spark, "mix").put(cut, "cut")
+    cut = Workspace(spark, "mix").put(cut, "cut", narrow=True)
     small = cut.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     cut = cut.select(F.col("source").alias("__mix_source"), *[F.col(f"cut{p}").alias(f"__mix_cut{p}") for p in range(1, most + 1)])
     marked = docs.withColumn("__mix_key", shuffle_key(F.col(id_col), seed)).withColumn("__mix_size", size)
@@ -144,7 +150,7 @@ def apply_mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col:
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:
     """All documents mixed with weights 3, 1, 2, 1.5 times their size in all, none more than twice."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return schedule(docs, n_words(F.col("text"))).select("doc_id", "size", "source_size", "target", "taken")
+    return few_files(schedule(docs, n_words(F.col("text")))).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def stage_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

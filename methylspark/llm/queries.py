@@ -1,6 +1,15 @@
 """The subpackage's queries and their oracle SQL."""
 
+from functools import wraps
+
 from methylspark.llm import fingerprint, langid, licenses, mixing, neardup, packing, secrets, spans, topk, training_order
+from methylspark.llm.common import small_batches
+
+
+def _bounded(query):
+    """The query in a session with bounded Arrow batches."""
+    return wraps(query)(lambda spark, sf_dir, **kw: query(small_batches(spark), sf_dir, **kw))
+
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -14,6 +23,7 @@ QUERIES = {
     "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_topk_search": topk.op10_topk_search,
 }
+QUERIES = {name: _bounded(query) for name, query in QUERIES.items()}
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
     "op10_topk_search": topk.ORACLE,
