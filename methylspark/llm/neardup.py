@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from methylspark.llm import shingles
-from methylspark.llm.common import Workspace, columns_of, runs, shuffle_partitions, table
+from methylspark.llm.common import Workspace, columns_of, few_files, runs, shuffle_partitions, table
 from methylspark.llm.components import components
 
 #: Similarity, as a percentage, from which documents are linked.
@@ -239,8 +239,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = space.put(nodes, "classes")
     # Buckets of two or more, their members, and each class's best pivot.
     banded = nodes.select("rep", F.explode("bands").alias("key"))
-    buckets = space.put(banded.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
-    members = space.put(banded.join(buckets, "key").select("key", "rep", "pivot", "members"), "members")
+    buckets = space.put(banded.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets", narrow=True)
+    members = space.put(banded.join(buckets, "key").select("key", "rep", "pivot", "members"), "members", narrow=True)
     space.drop(buckets)
     hits = members.where("rep <> pivot").groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("hits"))
     pairs = hits.groupBy("rep").agg(F.max_by("pivot", F.struct("hits", -F.col("pivot"))).alias("pivot"))
@@ -248,7 +248,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other = brief.select(F.col("rep").alias("pivot"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2"))
     pairs = pairs.join(brief, "rep").join(other, "pivot").where(_reach(F.least("n", "n2"), F.greatest("n", "n2"), percent))
     pairs = pairs.withColumn("matches", F.arrow_udf(_matches, "int")(F.col("sketch"), F.col("sketch2"))).where(F.col("matches") >= least_matches(percent))
-    pairs = space.put(pairs.select("rep", "pivot"), "pairs")
+    pairs = space.put(pairs.select("rep", "pivot"), "pairs", narrow=True)
     shown = texts.where("doc_id is not null")
     both = pairs.join(shown.select(F.col("doc_id").alias("rep"), "text"), "rep").join(
         shown.select(F.col("doc_id").alias("pivot"), F.col("text").alias("other")), "pivot"
@@ -256,17 +256,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = space.put(both.select("rep", "pivot", "text", "other").mapInArrow(_verify(k, percent), "a long, b long"), "links")
     # A doc_id with several texts ties their classes together.
     placed = rows.join(nodes.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"], "left").select("doc_id", "n", "rep")
-    placed = space.put(placed, "placed")
+    placed = space.put(placed, "placed", narrow=True)
     tied = placed.where("doc_id is not null and rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
     tied = placed.join(tied.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b"))
     label = components(links.unionByName(tied), space)
     space.drop(rows, pairs, links)
     # Buckets that still hold several components.
     label_of = label.select(F.col("node").alias("rep"), F.col("label").alias("comp"))
-    labelled = space.put(members.join(label_of, "rep", "left").select("key", "rep", "members", F.coalesce("comp", "rep").alias("comp")), "members")
+    labelled = space.put(members.join(label_of, "rep", "left").select("key", "rep", "members", F.coalesce("comp", "rep").alias("comp")), "members", narrow=True)
     space.drop(members)
     members = labelled
-    open_ = space.put(members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key"), "open")
+    open_ = space.put(members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key"), "open", narrow=True)
     unsure = members.join(open_, "key").join(brief, "rep").select("key", "rep", "comp", "n", "sketch", "members")
     unsure = _blocks(unsure, F.col("members"), SKETCH_BLOCK, spark).select("key", "x", "y", "chunk", "rep", "comp", "n", "sketch")
     possible = space.put(unsure.mapInArrow(_possible(percent), "a long, b long"), "possible")
@@ -290,17 +290,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op8_near_duplicates(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return few_files(near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group stays, the one with the smallest doc_id; of rows that repeat its id, one."""
     space = Workspace(spark, "dedup")
-    found = space.put(near_duplicates(docs), "found")
-    gone = space.put(found.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    found = space.put(near_duplicates(docs), "found", narrow=True)
+    gone = space.put(found.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "gone", narrow=True)
     small = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     kept = docs.join(F.broadcast(gone) if small else gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    again = space.put(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again")), "again")
+    again = space.put(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again")), "again", narrow=True)
     if not again.isEmpty():
         once = kept.join(again, F.col("doc_id") == F.col("__again"), "left_semi").dropDuplicates(["doc_id"])
         kept = kept.join(again, F.col("doc_id") == F.col("__again"), "left_anti").unionByName(once)
