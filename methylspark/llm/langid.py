@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from methylspark.llm.common import columns_of, table
+from methylspark.llm.common import Workspace, columns_of, table
 
 #: Hashed features; n-grams of two and three bytes share them.
 DIM = 4096
-#: The bounded training sample: labelled documents for each language, and languages at most (the most frequent).
-PER_LANGUAGE, MOST_LANGUAGES = 500, 256
+#: The bounded training sample: labelled documents for each language, and of all languages together. Of every language at
+#: least one document is learned, however many languages there are.
+PER_LANGUAGE, SAMPLE = 500, 10_000
 #: Difference in decoding loss, in nats, under which the two best languages count as close.
 CLOSE = 0.4
 UNKNOWN = "und"
@@ -69,18 +70,21 @@ def codewords(n: int, seed: int = 5) -> np.ndarray:
 
 
 def fit_bits(x: np.ndarray, y: np.ndarray, penalty: float = 1e-5, steps: int = 150) -> tuple[np.ndarray, np.ndarray]:
-    """Logistic regressions, all bits at once, by accelerated gradient descent. x: rows x DIM of unit length; y: rows x bits of -1, 1."""
-    n, rate = len(x), 3.5
-    x1 = np.hstack([x, np.full((n, 1), 0.3, dtype=np.float32)])
-    w = np.zeros((x1.shape[1], y.shape[1]), dtype=np.float32)
+    """Logistic regressions, all bits at once, by accelerated gradient descent. x: rows x DIM of unit length; y: rows x bits of -1, 1.
+
+    The constant feature 0.3 is kept beside ``x``, so that rows are held once.
+    """
+    n, rate, one = len(x), 3.5, np.float32(0.3)
+    w = np.zeros((x.shape[1] + 1, y.shape[1]), dtype=np.float32)
     v = w.copy()
     for t in range(steps):
-        margin = y * (x1 @ v)
-        grad = -(x1.T @ (y / (1 + np.exp(np.clip(margin, -30, 30))))) / n + penalty * v
-        new = v - rate * grad
+        margin = y * (x @ v[:-1] + one * v[-1])
+        pull = y / (1 + np.exp(np.clip(margin, -30, 30)))
+        grad = np.vstack([x.T @ pull, one * pull.sum(axis=0, keepdims=True)])
+        new = v - rate * (penalty * v - grad / n)
         v = new + (t / (t + 3)) * (new - w)
         w = new
-    return w[:-1], w[-1] * 0.3
+    return w[:-1], w[-1] * one
 
 
 @dataclass
@@ -108,29 +112,33 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = batch.column(1).to_pylist()
         keep = [n for n, t in enumerate(texts) if t and has_letter(t)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(keep, pa.int64())), pa.array([features(texts[n]).tobytes() for n in keep], pa.binary())], names=["lang", "x"]
+            [batch.column(0).take(pa.array(keep, pa.int64())), pa.array([features(texts[n]).astype(np.float16).tobytes() for n in keep], pa.binary())], names=["lang", "x"]
         )
 
 
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fits the model on a bounded sample: of the rows with ``learn`` and a language, PER_LANGUAGE of each of the
-    MOST_LANGUAGES most frequent languages, chosen by a hash of the id. Only their feature vectors (16 kB each) come to the
-    driver. Rows without text or letters teach nothing; of rows that repeat an id and language one is used."""
+    """Fits the model on a bounded sample: of the rows with ``learn`` and a language, PER_LANGUAGE of each language, or as
+    many as SAMPLE rows of all allow, chosen by a hash of the id. Only their feature vectors (8 kB each, so 80 MB) come to
+    the driver. No language is left out. Rows without text or letters teach nothing; of rows that repeat an id and
+    language one is used. An empty table, or one without languages, gives a model that knows none."""
+    spark = docs.sparkSession
     labelled = docs.where(learn & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"))
-    known = {r["l"]: r["count"] for r in labelled.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MOST_LANGUAGES).collect()}
-    # About twice as many as needed, by the same hash, before rows of a language meet: their number is bounded too.
-    share = F.element_at(F.create_map(*[x for lang, n in known.items() for x in (F.lit(lang), F.lit((2 * PER_LANGUAGE + 100) / n))]), F.col("l")) if known else F.lit(0.0)
+    # One row per language; its share leaves about twice as many rows as needed, by the hash that then chooses among them,
+    # so their number is bounded before rows of a language meet.
+    known = Workspace(spark, "language").put(labelled.groupBy("l").count(), "known", narrow=True)
+    most = max(1, min(PER_LANGUAGE, SAMPLE // max(1, known.count())))
+    share = known.select("l", (F.lit(2 * most + 100) / F.col("count")).alias("share"))
     first = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")
-    near = F.shiftrightunsigned(F.xxhash64("i"), 11) / F.lit(float(2**53)) < share
-    chosen = labelled.where(F.col("l").isin(list(known)) & near).withColumn("nr", F.row_number().over(first)).where(F.col("nr") <= PER_LANGUAGE).select("i", "l").distinct()
+    near = F.shiftrightunsigned(F.xxhash64("i"), 11) / F.lit(float(2**53)) < F.col("share")
+    chosen = labelled.join(share, "l").where(near).withColumn("nr", F.row_number().over(first)).where(F.col("nr") <= most).select("i", "l").distinct()
     texts = docs.where(learn).select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
-    sample = texts.join(F.broadcast(chosen), ["i", "l"]).dropDuplicates(["i", "l"])  # PER_LANGUAGE x MOST_LANGUAGES ids at most
+    sample = texts.join(F.broadcast(chosen), ["i", "l"]).dropDuplicates(["i", "l"])  # SAMPLE ids, or one for each language
     rows = sample.select("l", "t").mapInArrow(_vectors, "lang string, x binary").collect()
     languages = sorted({r.lang for r in rows})
     model = Model(languages, codewords(len(languages)))
     if len(languages) > 1:
         rows.sort(key=lambda r: (r.lang, r.x))
-        x = np.stack([np.frombuffer(r.x, dtype=np.float32) for r in rows])
+        x = np.stack([np.frombuffer(r.x, dtype=np.float16) for r in rows]).astype(np.float32)
         at = {lang: n for n, lang in enumerate(languages)}
         model.weights, model.bias = fit_bits(x, model.code[[at[r.lang] for r in rows]])
     return model
