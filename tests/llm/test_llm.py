@@ -178,22 +178,62 @@ def test_permutation(n):
     assert (training_order.permute(p, n, 7, back=True) == np.arange(n)).all()
 
 
-def test_training_order_round_trip(spark, awkward, encoder, tmp_path):
-    df = awkward.coalesce(1)
-    out = training_order.materialise(df, packing.vocabulary(), length=64, shard_records=10)
-    rows = out.drop("record").collect()
-    written = training_order.write_shards(out, f"file://{tmp_path}/shards").collect()
-    assert sum(w["bytes"] for w in written) == len(rows) * 128
-    assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
-    records = list(training_order.read_slots(f"file://{tmp_path}/shards", 0, len(rows), 64, 10))
-    assert all(zlib.crc32(records[r["slot"]].tobytes()) == r["crc32"] and r["byte_offset"] == r["slot"] % 10 * 128 for r in rows)
-    assert [r.tolist() for r in training_order.read_slots(f"file://{tmp_path}/shards", 7, 9, 64, 10)] == [r.tolist() for r in records[7:16]]
-    stream = np.concatenate([records[r["slot"]][: r["n_tokens"]] for r in sorted(rows, key=lambda r: r["sequence"])])
-    want = np.concatenate([np.append(encoder.encode(r["text"] or ""), 50256) for r in df.select("text").collect()])
-    assert stream.tolist() == want.tolist()
+def plain_permute(i, n, key):
+    """A plain Feistel network over small integers, walking until inside."""
+    half, mask, m64 = max(1, -(-max(n - 1, 1).bit_length() // 2)), None, 2**64 - 1
+    mask = (1 << half) - 1
+    keys = [int(k) for k in np.random.default_rng(key).integers(0, 2**63, size=training_order.ROUNDS, dtype=np.uint64)]
+
+    def scramble(x):
+        x = (x ^ x >> 33) * 0xFF51AFD7ED558CCD & m64
+        x = (x ^ x >> 33) * 0xC4CEB9FE1A85EC53 & m64
+        return x ^ x >> 33
+
+    while True:
+        left, right = i >> half, i & mask
+        for k in keys:
+            left, right = right, left ^ scramble(right ^ k) & mask
+        i = left << half | right
+        if i < n:
+            return i
+
+
+def test_slots_match_a_plain_network():
+    for n in (1, 5, 16, 1000):
+        assert training_order.permute(np.arange(n), n, 11).tolist() == [plain_permute(i, n, 11) for i in range(n)]
+
+
+def test_training_order_round_trip(spark, awkward, encoder, tmp_path, monkeypatch):
+    monkeypatch.setattr(training_order, "PIECE", 2)
+    for parts, name in ((1, "a"), (4, "b")):
+        df = spark.createDataFrame(awkward.collect(), DDL).coalesce(parts)
+        out = f"file://{tmp_path}/{name}"
+        rows = training_order.materialise(df, packing.vocabulary(), out, length=64, shard_records=10).collect()
+        assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
+        assert all(r["slot"] == plain_permute(r["sequence"], len(rows), 20240607) and r["shard"] == r["slot"] // 10 for r in rows)
+        assert sorted(r["n_tokens"] for r in rows)[1:] == [64] * (len(rows) - 1)
+        records = list(training_order.read_slots(out, 0, len(rows), 64, 10))
+        assert all(zlib.crc32(records[r["slot"]].tobytes()) == r["crc32"] and r["byte_offset"] == r["slot"] % 10 * 128 for r in rows)
+        assert [r.tolist() for r in training_order.read_slots(out, 7, 9, 64, 10)] == [r.tolist() for r in records[7:16]]
+        stream = np.concatenate([records[r["slot"]][: r["n_tokens"]] for r in sorted(rows, key=lambda r: r["sequence"])])
+        want = np.concatenate([np.append(encoder.encode(r["text"] or ""), 50256) for r in df.select("text").collect()])
+        assert stream.tolist() == want.tolist()
     assert training_order.materialise(empty(awkward), packing.vocabulary()).count() == 0
 
 
+def test_training_order_does_not_depend_on_splits(spark, tmp_path):
+    """The same data read in one split and in many give the same slots and bytes."""
+    rows = [row(n, prose(n, 30 + n % 50)) for n in range(300)]
+    spark.createDataFrame(rows, DDL).coalesce(2).write.option("parquet.block.size", 8192).parquet(f"{tmp_path}/documents.parquet")
+    found = []
+    for size in ("128m", "16k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+        found.append((docs.rdd.getNumPartitions(), sorted(tuple(r)[:6] for r in training_order.op3_training_order(spark, str(tmp_path)).collect())))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0][0] != found[1][0] and found[0][1] == found[1][1]
+
+
 @pytest.mark.parametrize("parts", [1, 5, 40])
 def test_packing(spark, awkward, encoder, parts):
     df = awkward.unionByName(spark.createDataFrame([row(1000 + n, prose(n, n % 97)) for n in range(80)], DDL)).repartition(parts)
