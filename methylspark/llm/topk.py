@@ -10,10 +10,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from methylspark.llm.common import Workspace, table
+from methylspark.llm.common import Workspace, shuffle_partitions, table
 
-#: Queries x dimensions that one wave sends to the executors: 4 M values are 32 MB.
-WAVE_VALUES = 4_000_000
+#: Queries x dimensions that may be broadcast (32 MB); more meet the candidates in tiles.
+BROADCAST_VALUES = 4_000_000
+#: Values of a block of queries and of a shard of candidates in a tile: 2 M are 16 MB.
+BLOCK_VALUES, SHARD_VALUES = 2_000_000, 1_000_000
 #: Rows of a shard, and queries, in one tile: 1024 x 4096 scores are 32 MB.
 TILE_ROWS, TILE_QUERIES = 1024, 4096
 #: Partial lists that one merging step brings together.
@@ -77,53 +79,134 @@ def _tile_top(q, qids, c, cids, floor, k):
     return rows, top, np.where(top == _LOW, np.int64(2**63 - 1), cids[cols])
 
 
+class _Lists:
+    """The best k so far of some queries, over any number of shards."""
+
+    def __init__(self, qids: np.ndarray, qkeys: np.ndarray, matrix: np.ndarray, k: int):
+        self.qids, self.qkeys, self.matrix, self.k = qids, qkeys, matrix, k
+        self.s = np.full((len(qids), k), _LOW, dtype=np.int64)
+        self.i = np.full((len(qids), k), 2**63 - 1, dtype=np.int64)
+
+    def meet(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        order = np.argsort(ids, kind="stable")
+        ids, vectors = ids[order], vectors[order]
+        for c0 in range(0, len(ids), TILE_ROWS):
+            c, cids = vectors[c0 : c0 + TILE_ROWS], ids[c0 : c0 + TILE_ROWS]
+            for q0 in range(0, len(self.qids), TILE_QUERIES):
+                part = slice(q0, q0 + TILE_QUERIES)
+                rows, s, i = _tile_top(self.matrix[part], self.qids[part], c, cids, self.s[part, -1], self.k)
+                if len(rows):
+                    rows = rows + q0
+                    self.s[rows], self.i[rows] = _merge(self.s[rows], self.i[rows], s, i, self.k)
+
+    def batches(self, part: int) -> Iterator[pa.RecordBatch]:
+        for q0 in range(0, len(self.qids), TILE_QUERIES):
+            at = np.arange(q0, min(q0 + TILE_QUERIES, len(self.qids)))
+            at = at[(self.s[at] > _LOW).any(axis=1)]
+            have = self.s[at] > _LOW
+            offsets = np.concatenate([[0], np.cumsum(have.sum(axis=1))]).astype(np.int32)
+            top = pa.StructArray.from_arrays([pa.array(self.s[at][have]), pa.array(self.i[at][have])], names=["score", "vec_id"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.qids[at]), pa.array(self.qkeys[at]), pa.array(np.full(len(at), part, dtype=np.int64)), pa.ListArray.from_arrays(pa.array(offsets), top)],
+                names=["query_id", "qkey", "part", "top"],
+            )
+
+
+_TOPS = "query_id long, qkey long, part long, top array<struct<score: long, vec_id: long>>"
+
+
+def _vectors(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(dimension, indices of rows, vectors) of a batch whose column 1 holds lists, for each of their lengths."""
+    lists = batch.column(1)
+    lengths = np.diff(lists.offsets.to_numpy())
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    for dim in np.unique(lengths).tolist():
+        rows = np.flatnonzero(lengths == dim)
+        yield dim, rows, (flat if len(rows) == len(lengths) else flat[np.repeat(lengths == dim, lengths)]).reshape(len(rows), dim)
+
+
 def _search(queries, k: int):
-    """mapInArrow function: every batch of candidates is a shard; the lists so far are kept for one wave of queries."""
+    """mapInArrow over candidates where they are read: every batch is a shard for the queries that were broadcast."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, qkeys, matrix = queries.value
-        best_s = np.full((len(qids), k), _LOW, dtype=np.int64)
-        best_i = np.full((len(qids), k), 2**63 - 1, dtype=np.int64)
-        dim = matrix.shape[1]
+        lists = {matrix.shape[1]: _Lists(qids, qkeys, matrix, k) for qids, qkeys, matrix in queries.value}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            lists = batch.column(1)
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            fits = np.diff(lists.offsets.to_numpy()) == dim
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            if not fits.all():
-                flat = flat[np.repeat(fits, np.diff(lists.offsets.to_numpy()))]
-                ids = ids[fits]
-            if not len(ids):
-                continue
-            vectors = flat.reshape(len(ids), dim)
-            order = np.argsort(ids, kind="stable")
-            ids, vectors = ids[order], vectors[order]
-            for c0 in range(0, len(ids), TILE_ROWS):
-                c, cids = vectors[c0 : c0 + TILE_ROWS], ids[c0 : c0 + TILE_ROWS]
-                for q0 in range(0, len(qids), TILE_QUERIES):
-                    part = slice(q0, q0 + TILE_QUERIES)
-                    rows, s, i = _tile_top(matrix[part], qids[part], c, cids, best_s[part, -1], k)
-                    if len(rows):
-                        rows = rows + q0
-                        best_s[rows], best_i[rows] = _merge(best_s[rows], best_i[rows], s, i, k)
+            for dim, rows, vectors in _vectors(batch):
+                if dim in lists:
+                    lists[dim].meet(ids[rows], vectors)
+        for found in lists.values():
+            yield from found.batches(TaskContext.get().partitionId())
+
+    return run
+
+
+def _packed(values: str, with_keys: bool):
+    """mapInArrow: (i, v, h) -> blocks of vectors of one dimension as bytes, of at most ``values`` values: nr, dim, ids, keys, matrix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most, number = {"block": BLOCK_VALUES, "shard": SHARD_VALUES}[values], TaskContext.get().partitionId() << 32
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            keys = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64) if with_keys else ids
+            for dim, rows, vectors in _vectors(batch):
+                step = max(1, most // max(1, dim))
+                for at in range(0, len(rows), step):
+                    own = rows[at : at + step]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([v], t) for v, t in ((number, pa.int64()), (dim, pa.int32()), (ids[own].tobytes(), pa.binary()), (keys[own].tobytes(), pa.binary()), (vectors[at : at + step].tobytes(), pa.binary()))],
+                        names=["nr", "dim", "ids", "keys", "matrix"],
+                    )
+                    number += 1
+
+    return run
+
+
+_BLOCK = "nr long, dim int, ids binary, keys binary, matrix binary"
+
+
+def _tiles(k: int):
+    """mapInArrow over tiles (block of queries, shard of candidates), those of a block one after another: lists of the block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, lists = None, None
         part = TaskContext.get().partitionId()
-        for q0 in range(0, len(qids), TILE_QUERIES):
-            at = np.arange(q0, min(q0 + TILE_QUERIES, len(qids)))
-            have = best_s[at] > _LOW
-            at = at[have.any(axis=1)]
-            have = best_s[at] > _LOW
-            offsets = np.concatenate([[0], np.cumsum(have.sum(axis=1))]).astype(np.int32)
-            top = pa.StructArray.from_arrays([pa.array(best_s[at][have]), pa.array(best_i[at][have])], names=["score", "vec_id"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(qids[at]), pa.array(qkeys[at]), pa.array(np.full(len(at), part, dtype=np.int64)), pa.ListArray.from_arrays(pa.array(offsets), top)],
-                names=["query_id", "qkey", "part", "top"],
-            )
+        for batch in batches:
+            for n in range(batch.num_rows):
+                row = {name: batch.column(name)[n] for name in batch.schema.names}
+                block, dim = row["block"].as_py(), row["dim"].as_py()
+                if block != at:
+                    if lists is not None:
+                        yield from lists.batches(part)
+                    qids, qkeys = (np.frombuffer(row[c].as_buffer(), dtype=np.int64) for c in ("qids", "qkeys"))
+                    at, lists = block, _Lists(qids, qkeys, np.frombuffer(row["queries"].as_buffer(), dtype=np.float64).reshape(len(qids), dim).copy(), k)
+                ids = np.frombuffer(row["ids"].as_buffer(), dtype=np.int64)
+                lists.meet(ids, np.frombuffer(row["matrix"].as_buffer(), dtype=np.float64).reshape(len(ids), dim))
+        if lists is not None:
+            yield from lists.batches(part)
 
     return run
 
 
+def _tiled(rows: DataFrame, queries: DataFrame, k: int, space: Workspace) -> DataFrame:
+    """All tiles in one job: blocks of queries and shards of candidates meet by an equi-join on (dimension, block, group).
+
+    Shards are dealt into groups, so that there are about as many (block, group) as twice the shuffle's partitions; a block
+    goes to each group once and a shard to each block once.
+    """
+    spark = rows.sparkSession
+    blocks = space.put(queries.mapInArrow(_packed("block", True), _BLOCK), "blocks")
+    groups = max(1, -(-2 * shuffle_partitions(spark) // max(1, blocks.count())))
+    shards = rows.withColumn("h", F.lit(0).cast("long")).mapInArrow(_packed("shard", False), _BLOCK)
+    shards = shards.select("dim", "ids", "matrix", F.pmod(F.xxhash64("nr"), F.lit(groups)).alias("group"))
+    named = blocks.select(F.col("nr").alias("block"), "dim", F.col("ids").alias("qids"), F.col("keys").alias("qkeys"), F.col("matrix").alias("queries"))
+    dims = named.groupBy("dim").agg(F.collect_list("block").alias("blocks"))  # a number for each block
+    shards = shards.join(dims, "dim").select("dim", "group", "ids", "matrix", F.explode("blocks").alias("block"))
+    named = named.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    tiles = shards.join(named.hint("merge"), ["dim", "block", "group"]).select("block", "dim", "qids", "qkeys", "queries", "ids", "matrix")
+    return tiles.mapInArrow(_tiles(k), _TOPS)
+
+
 def _best(tops: Column, k: int) -> Column:
     """The k best of an array of (score, vec_id): score descending, then id ascending."""
     ordered = F.array_sort(
@@ -132,27 +215,17 @@ def _best(tops: Column, k: int) -> Column:
     return F.transform(F.slice(ordered, 1, k), lambda x: F.struct((-x["minus"]).alias("score"), x["vec_id"].alias("vec_id")))
 
 
-def _waves(spark, rows: DataFrame):
-    """The queries in chunks of at most WAVE_VALUES values and of one dimension. Streams through the driver; never held whole."""
-    held: list = []
-    for row in rows.toLocalIterator():
-        if held and (len(row.v) != len(held[0].v) or (len(held) + 1) * max(1, len(row.v)) > WAVE_VALUES):
-            yield held
-            held = []
-        held.append(row)
-    if held:
-        yield held
-
-
 def top_k(
     candidates: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256
 ) -> DataFrame:
     """For each row of ``candidates`` with ``is_query``, the k other rows with the highest integer inner product.
 
     Components become floor(scale * x). Returns query_id long, rank int (from 1), vec_id long, score long; ties go to
-    the smaller id. The queries go out in waves of bounded size (WAVE_VALUES); for each wave the candidates are read in
-    place, without a shuffle, so no id, vector or bucket can be hot. A task keeps one list of k per query of the wave
-    and gives it out at its end; lists are merged FAN_IN at a time, then once for all.
+    the smaller id. Queries of at most BROADCAST_VALUES values in all are broadcast, and candidates are searched where they
+    are read, without a shuffle. More queries meet the candidates in tiles of blocks and shards, all in one job; only the
+    number of blocks comes to the driver. No id, vector or bucket can be hot: shards have equal sizes. A task keeps one
+    list of k for each query that it has met and gives it out at the end; lists are merged FAN_IN at a time, then once for
+    all.
 
     Vectors that are null or hold null, NaN or infinite components, and rows with a null id, take no part. Only vectors
     of the same length meet. Empty vectors score 0 with each other. Repeated rows: a row never meets another of its own
@@ -171,29 +244,26 @@ def top_k(
     )
     space = Workspace(spark, "topk")
     queries = space.put(queries, "queries")
-    parts = rows.rdd.getNumPartitions()
-    out = None
-    for wave in _waves(spark, queries):
-        sent = spark.sparkContext.broadcast(
-            (
-                np.array([r.i for r in wave], dtype=np.int64),
-                np.array([r.h for r in wave], dtype=np.int64),
-                np.array([r.v for r in wave], dtype=np.float64).reshape(len(wave), -1),
-            )
-        )
-        found = rows.mapInArrow(_search(sent, k), "query_id long, qkey long, part long, top array<struct<score: long, vec_id: long>>")
-        step = 1
-        while parts > step * FAN_IN:
-            step *= FAN_IN
-            found = found.groupBy("query_id", "qkey", F.floor(F.col("part") / step).alias("part0")).agg(
-                _best(F.flatten(F.collect_list("top")), k).alias("top")
-            ).select("query_id", "qkey", (F.col("part0") * step).alias("part"), "top")
-        found = found.groupBy("query_id", "qkey").agg(_best(F.flatten(F.collect_list("top")), k).alias("top"))
-        found = space.put(found, "wave")
-        sent.destroy()
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = spark.createDataFrame([], "query_id long, qkey long, top array<struct<score: long, vec_id: long>>")
+    held = queries.agg(F.coalesce(F.sum(F.greatest(F.size("v"), F.lit(1))), F.lit(0))).first()[0]
+    if held <= BROADCAST_VALUES:
+        by: dict[int, list] = {}
+        for r in queries.collect():
+            by.setdefault(len(r.v), []).append(r)
+        sent = spark.sparkContext.broadcast([
+            (np.array([r.i for r in some], dtype=np.int64), np.array([r.h for r in some], dtype=np.int64), np.array([r.v for r in some], dtype=np.float64).reshape(len(some), dim))
+            for dim, some in by.items()
+        ])
+        parts, found = rows.rdd.getNumPartitions(), rows.mapInArrow(_search(sent, k), _TOPS)
+    else:
+        parts, found = shuffle_partitions(spark), _tiled(rows, queries, k, space)
+    step = 1
+    while parts > step * FAN_IN:
+        step *= FAN_IN
+        found = found.groupBy("query_id", "qkey", F.floor(F.col("part") / step).alias("part0")).agg(
+            _best(F.flatten(F.collect_list("top")), k).alias("top")
+        ).select("query_id", "qkey", (F.col("part0") * step).alias("part"), "top")
+    found = found.groupBy("query_id", "qkey").agg(_best(F.flatten(F.collect_list("top")), k).alias("top"))
+    out = space.put(found, "found")
     return out.select("query_id", F.posexplode("top").alias("pos", "hit")).select(
         "query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score")
     )
