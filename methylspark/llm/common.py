@@ -82,7 +82,7 @@ class Workspace:
         return f"{self.root}/{self._n:03d}-{tag}"
 
     def put(self, df: DataFrame, tag: str, narrow: bool = False) -> DataFrame:
-        """``narrow``: rows of a few numbers, of which a partition's share is a small file; they go into an eighth as many."""
+        """``narrow``: rows of a few numbers, of which a partition's share is a small file; they go into a quarter as many."""
         path = self.path(tag)
         if narrow:
             df = few_files(df)
@@ -129,9 +129,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def few_files(df: DataFrame) -> DataFrame:
-    """Rows of a few numbers, in an eighth as many partitions as a shuffle has, or as many as there are cores."""
+    """Rows of a few numbers, in a quarter as many partitions as a shuffle has, or as many as there are cores."""
     spark = df.sparkSession
-    return df.coalesce(max(spark.sparkContext.defaultParallelism, shuffle_partitions(spark) // 8))
+    return df.coalesce(max(spark.sparkContext.defaultParallelism, shuffle_partitions(spark) // 4))
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

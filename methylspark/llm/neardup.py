@@ -26,8 +26,10 @@ from methylspark.llm.components import components
 PERCENT = 75
 #: Ids that ``stage_near_duplicates`` may broadcast (8 MB); beyond it, a shuffle join.
 BROADCAST_IDS = 1_000_000
-#: Members of a bucket that meet at once: sketches, whole sets.
-SKETCH_BLOCK, SET_BLOCK = 1024, 512
+#: Members of a bucket that meet at once: sketches; whole sets, of which a chunk has so many shingles at most (2 MB) or one set.
+SKETCH_BLOCK, SET_BLOCK, SET_SHINGLES = 1024, 512, 1 << 18
+#: Entries of the inverted list that are gone through at once.
+POSTINGS = 1 << 20
 
 
 def least_matches(percent: int) -> int:
@@ -163,6 +165,19 @@ def _possible(percent: int):
     return run
 
 
+def _shared(terms: np.ndarray, count: np.ndarray, first: np.ndarray, posting: np.ndarray, sets: int) -> np.ndarray:
+    """How many of ``terms`` each set has, by the inverted list, POSTINGS entries at a time."""
+    both, lengths = np.zeros(sets, dtype=np.int64), count[terms]
+    upto, a = np.cumsum(lengths), 0
+    while a < len(terms):
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + POSTINGS, side="right")))
+        n = lengths[a:b]
+        at = np.repeat(first[terms[a:b]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        both += np.bincount(posting[at], minlength=sets)
+        a = b
+    return both
+
+
 def _linked(k: int, percent: int):
     """mapInArrow over blocks (key, x, y; sorted) with whole texts: links between different components, as a forest."""
 
@@ -188,10 +203,7 @@ def _linked(k: int, percent: int):
                 forest.join(n, root.setdefault(c, n))
             a, b = [], []
             for i in range(len(reps)):
-                terms = term[begin[i] : begin[i + 1]]
-                lengths = count[terms]
-                at = np.repeat(first[terms] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-                both = np.bincount(posting[at], minlength=len(reps))
+                both = _shared(term[begin[i] : begin[i + 1]], count, first, posting, len(reps))
                 ok = (100 * both >= percent * (size + size[i] - both)) & (comp != comp[i]) & (both > 0)
                 if cross:
                     ok &= chunk != chunk[i]
@@ -204,13 +216,12 @@ def _linked(k: int, percent: int):
     return run
 
 
-def _blocks(rows: DataFrame, count: Column, block: int, spark) -> DataFrame:
-    """Deals each group ``key`` (``count`` members) over pairs (x <= y) of chunks of about ``block`` members, for mapInArrow.
+def _blocks(rows: DataFrame, chunks: Column, spark) -> DataFrame:
+    """Deals each group ``key`` over pairs (x <= y) of ``chunks`` chunks, for mapInArrow.
 
     Any two members of a group meet in one block, however large the group is, and no task gets a whole large group.
     """
-    chunks = F.ceil(count / F.lit(block)).cast("long")
-    dealt = rows.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
+    dealt = rows.withColumn("chunks", F.ceil(chunks).cast("long")).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     dealt = dealt.withColumn("x", F.least("chunk", "with")).withColumn("y", F.greatest("chunk", "with")).drop("with", "chunks")
     return dealt.repartition(shuffle_partitions(spark), "key", "x", "y").sortWithinPartitions("key", "x", "y", "rep")
@@ -220,7 +231,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, n_shingles long, component_id long, kept boolean: one row per row of ``docs``.
 
     Documents are linked when 100 * intersection >= percent * union of their sets of k-word shingles, counted on whole
-    sets; component_id is the smallest doc_id reachable. The one approximate step is which pairs meet: a pair at the
+    sets (as 64-bit hashes of shingles: two sets of 20 000 shingles have a count off by one with odds of 1 in 10^10);
+    component_id is the smallest doc_id reachable. The one approximate step is which pairs meet: a pair at the
     threshold shares no band with probability (1 - 0.75^4)^32 = 5e-6, and is ruled out by its sketches in step 3 with
     about 3e-6; more similar pairs less.
 
@@ -268,14 +280,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = labelled
     open_ = space.put(members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key"), "open", narrow=True)
     unsure = members.join(open_, "key").join(brief, "rep").select("key", "rep", "comp", "n", "sketch", "members")
-    unsure = _blocks(unsure, F.col("members"), SKETCH_BLOCK, spark).select("key", "x", "y", "chunk", "rep", "comp", "n", "sketch")
+    unsure = _blocks(unsure, F.col("members") / F.lit(SKETCH_BLOCK), spark).select("key", "x", "y", "chunk", "rep", "comp", "n", "sketch")
     possible = space.put(unsure.mapInArrow(_possible(percent), "a long, b long"), "possible")
     trees = components(possible, space)
+    trees = space.put(trees.join(brief.select(F.col("rep").alias("node"), "n"), "node"), "trees", narrow=True)
     space.drop(nodes, members, open_, possible)
-    counts = trees.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
-    group = trees.join(counts, "label").select(F.col("node").alias("rep"), F.col("label").alias("key"), "members").join(label_of, "rep", "left")
-    group = group.select("key", "rep", "members", F.coalesce("comp", "rep").alias("comp")).join(shown.select(F.col("doc_id").alias("rep"), "text"), "rep")
-    group = _blocks(group, F.col("members"), SET_BLOCK, spark).select("key", "x", "y", "chunk", "rep", "comp", "text")
+    counts = trees.groupBy("label").agg(F.greatest(F.count(F.lit(1)) / F.lit(SET_BLOCK), F.sum("n") / F.lit(SET_SHINGLES)).alias("chunks"))
+    group = trees.join(counts, "label").select(F.col("node").alias("rep"), F.col("label").alias("key"), "chunks").join(label_of, "rep", "left")
+    group = group.select("key", "rep", "chunks", F.coalesce("comp", "rep").alias("comp")).join(shown.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    group = _blocks(group, F.col("chunks"), spark).select("key", "x", "y", "chunk", "rep", "comp", "text")
     more = space.put(group.mapInArrow(_linked(k, percent), "a long, b long"), "links")
     # Components of components.
     for end in ("a", "b"):

@@ -553,6 +553,8 @@ def test_sketches_estimate_similarity():
 def test_near_duplicates_match_all_pairs(spark, awkward, monkeypatch):
     monkeypatch.setattr(neardup, "SET_BLOCK", 7)  # several blocks for small groups
     monkeypatch.setattr(neardup, "SKETCH_BLOCK", 11)
+    monkeypatch.setattr(neardup, "SET_SHINGLES", 900)
+    monkeypatch.setattr(neardup, "POSTINGS", 50)
     rng = np.random.default_rng(3)
     rows = [(1000 + n, prose(n, int(rng.integers(1, 200)))) for n in range(60)]
     for g in range(4):  # groups around the threshold
@@ -562,7 +564,9 @@ def test_near_duplicates_match_all_pairs(spark, awkward, monkeypatch):
             for at in rng.integers(0, len(words), size=int(rng.integers(0, 9))):
                 edited[at] = f"w{rng.integers(40)}"
             rows.append((2000 + 100 * g + n, " ".join(edited)))
-    rows += [(r["doc_id"], r["text"]) for r in awkward.collect() if r["doc_id"] is not None and r["doc_id"] != 10]
+    rows += [(r["doc_id"], r["text"]) for r in awkward.collect() if r["doc_id"] is not None]  # a very long one among them
+    long = prose(700, 8000).split(" ")
+    rows += [(3000 + n, " ".join([*long[:4000], f"edit{n}", *long[4000 : 8000 - 700 * n]])) for n in range(4)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(df).collect()}
     assert got == plain_near(dict(rows).items())
@@ -629,7 +633,10 @@ def test_fingerprint_edges(spark, awkward):
 # 10
 
 
-def test_top_k_exact(spark):
+@pytest.mark.parametrize("limits", [None, (0, 90, 60), (0, 6, 6)])
+def test_top_k_exact(spark, monkeypatch, limits):
+    for name, n in zip(("BROADCAST_VALUES", "BLOCK_VALUES", "SHARD_VALUES"), limits or ()):
+        monkeypatch.setattr(topk, name, n)
     rng = np.random.default_rng(2)
     rows = [(n, rng.integers(-3, 4, size=6).astype(float).tolist()) for n in range(400)] + [(n, None) for n in (500, 550)] + [(600, [float("nan")] * 6), (650, [None] * 6), (700, [float("inf")] * 6)]
     rows += [(900, [1.0] * 5), (901, [2.0] * 5), (None, [1.0] * 6), (150, [1.0] * 6), (950, []), (951, [])]
