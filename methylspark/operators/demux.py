@@ -34,11 +34,16 @@ def pair_reads(files: DataFrame) -> DataFrame:
 
 
 def deal_groups(cells: DataFrame, n: int = 64, seed: int = 0) -> DataFrame:
-    """Cells in ``n`` groups of nearly equal number, in a shuffled but reproducible order: by rank of a hash."""
+    """Cells in ``n`` groups of nearly equal number, in a shuffled but reproducible order: by rank of a hash, which is
+    counted inside 4096 ranges of the hash."""
     from pyspark.sql import Window
 
-    w = Window.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "cell_id")), "cell_id")
-    return cells.withColumn("group", (F.pmod(F.row_number().over(w) - 1, F.lit(n))).cast("long"))
+    from methylspark.operators.intervals import carried
+
+    d = cells.withColumn("__hash", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("cell_id", F.lit(""))))).withColumn("__range", F.substring("__hash", 1, 3))
+    d = carried(d, [], "__range", {"__less": (F.lit(1), "sum")})
+    nr = F.row_number().over(Window.partitionBy("__range").orderBy("__hash", "cell_id"))
+    return d.withColumn("group", F.pmod(F.coalesce("__less", F.lit(0)) + nr - 1, F.lit(n)).cast("long")).drop("__hash", "__range", "__less")
 
 
 def demultiplex(reads: DataFrame, barcodes: DataFrame, length: int, by_group: bool = False) -> DataFrame:

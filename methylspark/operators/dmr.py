@@ -7,14 +7,28 @@ from statistics import NormalDist
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from methylspark.operators.intervals import carried
+
+
+#: Base pairs of a tile in the running steps below.
+TILE = 1 << 20
+
 
 def bh_fdr(df: DataFrame, keys: list[str], p: str = "pval", out: str = "fdr") -> DataFrame:
-    """Benjamini-Hochberg: the least p * n / rank of this and all larger p, 1 at most. Rows without a p go."""
-    d = df.where(F.col(p).isNotNull())
-    rank = Window.partitionBy(*keys).orderBy(p)
-    d = d.withColumn("__r", F.row_number().over(rank)).withColumn("__q", F.col(p) * F.count(F.lit(1)).over(Window.partitionBy(*keys)) / F.col("__r"))
-    up = Window.partitionBy(*keys).orderBy("__r").rowsBetween(0, Window.unboundedFollowing)
-    return d.withColumn(out, F.least(F.min("__q").over(up), F.lit(1.0))).drop("__r", "__q")
+    """Benjamini-Hochberg: the least p * n / rank of this and all larger p, 1 at most. Rows without a p go.
+
+    Ranks run inside ranges of p, whose bounds are in geometric steps of 1 in 256 (below 1e-300 all is one range); what the
+    ranges before and behind hold is carried. So a table with many sites, even without keys, is no single task.
+    """
+    d = df.where(F.col(p).isNotNull()).withColumn("__p", F.floor(F.log2(F.greatest(F.col(p), F.lit(1e-300))) * 256).cast("int"))
+    d = carried(d, keys, "__p", {"__less": (F.lit(1), "sum")}, whole={"__n": (F.lit(1), "sum")})
+    inside = Window.partitionBy(*keys, "__p")
+    # Equal p share the last rank among them, which is where their quotient is least.
+    rank = F.coalesce("__less", F.lit(0)) + F.count(F.lit(1)).over(inside.orderBy(p).rangeBetween(Window.unboundedPreceding, 0))
+    d = d.withColumn("__q", F.col(p) * F.col("__n") / rank)
+    d = carried(d, keys, "__p", after={"__behind": (F.col("__q"), "min")})
+    here = F.min("__q").over(inside.orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0))
+    return d.withColumn(out, F.least(here, F.col("__behind"), F.lit(1.0))).drop("__p", "__q", "__n", "__less", "__behind")
 
 
 def significant(df: DataFrame, p_threshold: float = 0.001, delta: float = 0.1) -> DataFrame:
@@ -24,23 +38,30 @@ def significant(df: DataFrame, p_threshold: float = 0.001, delta: float = 0.1) -
     return df.withColumn("sig", (F.col("fdr") < p_threshold) & (F.abs("diff") - delta > F.lit(z) * F.col("diff_se")))
 
 
-def indexed(df: DataFrame) -> DataFrame:
+def indexed(df: DataFrame, tile: int = TILE) -> DataFrame:
     """``idx``: 0-based position of a site on its chromosome."""
-    return df.withColumn("idx", (F.row_number().over(Window.partitionBy("chrom").orderBy("pos")) - 1).cast("long"))
+    d = carried(df.withColumn("__tile", F.floor(F.col("pos") / tile)), ["chrom"], "__tile", {"__less": (F.lit(1), "sum")})
+    nr = F.row_number().over(Window.partitionBy("chrom", "__tile").orderBy("pos"))
+    return d.withColumn("idx", (F.coalesce("__less", F.lit(0)) + nr - 1).cast("long")).drop("__tile", "__less")
 
 
-def regions(df: DataFrame, gap: int = 250) -> DataFrame:
+def regions(df: DataFrame, gap: int = 250, tile: int = TILE) -> DataFrame:
     """Significant sites merged where gaps are ``gap`` at most, with means over all sites from the first to the last one.
 
-    df: chrom, pos, idx, sig, mu1, mu2, stat. A site lies in a region when the last significant site up to it and the
-    first one from it on are in the same island, so no range join is needed.
+    df: chrom, pos, idx, sig, mu1, mu2, stat. A site lies in a region when it is significant, or when the significant
+    sites next to it on both sides are near enough to be merged; a region is known by its first site. Windows stay
+    inside tiles.
     """
-    w = Window.partitionBy("chrom").orderBy("pos")
-    upto, onward = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    before = F.max(F.when(F.col("sig"), F.col("pos") + 1)).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    d = df.withColumn("__new", F.when(F.col("sig") & (before.isNull() | (F.col("pos") - before > gap)), 1).otherwise(0))
-    d = d.withColumn("__n", F.when(F.col("sig"), F.sum("__new").over(upto)))
-    d = d.withColumn("island", F.last("__n", True).over(upto)).withColumn("__next", F.first("__n", True).over(onward)).where("island = __next")
+    hit = F.when(F.col("sig"), F.col("pos"))
+    d = carried(df.withColumn("__tile", F.floor(F.col("pos") / tile)), ["chrom"], "__tile", {"__left": (hit, "max")}, {"__right": (hit, "min")})
+    up, down = (Window.partitionBy("chrom", "__tile").orderBy(o) for o in (F.asc("pos"), F.desc("pos")))
+    left = F.greatest(F.max(hit).over(up.rowsBetween(Window.unboundedPreceding, -1)), F.col("__left"))
+    right = F.least(F.min(hit).over(down.rowsBetween(Window.unboundedPreceding, -1)), F.col("__right"))
+    near = lambda a, b: F.coalesce(b - (a + 1) <= gap, F.lit(False))
+    d = d.withColumns({"__before": left, "__behind": right}).where(F.col("sig") | near(F.col("__before"), F.col("__behind")))
+    first = F.when(F.col("sig") & ~near(F.col("__before"), F.col("pos")), F.col("pos"))
+    d = carried(d.withColumn("__first", first).drop("__left", "__right"), ["chrom"], "__tile", {"__open": (F.col("__first"), "max")})
+    d = d.withColumn("island", F.coalesce(F.max("__first").over(up.rowsBetween(Window.unboundedPreceding, 0)), F.col("__open")))
     s = F.when(F.col("sig"), F.col("pos"))
     out = d.groupBy("chrom", "island").agg(
         F.min(s).alias("start"), (F.max(s) + 1).alias("end"), F.min(F.when(F.col("sig"), F.col("idx"))).alias("idx_start"), F.max(F.when(F.col("sig"), F.col("idx"))).alias("idx_end"),

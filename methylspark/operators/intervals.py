@@ -34,12 +34,36 @@ def not_overlapping(a: DataFrame, b: DataFrame, a_cols: tuple[str, str, str], b_
     return a.join(hit, key, "left_anti")
 
 
-def islands(df: DataFrame, keys: list[str], start: str, end: str, gap: int) -> DataFrame:
+#: How a value is carried from tile to tile.
+_CARRY = {"sum": F.sum, "max": F.max, "min": F.min}
+
+
+def carried(
+    df: DataFrame, keys: list[str], tile: str, before: dict[str, tuple[Column, str]] | None = None, after: dict[str, tuple[Column, str]] | None = None, whole: dict[str, tuple[Column, str]] | None = None
+) -> DataFrame:
+    """Adds to each row what other tiles of its keys hold: aggregates (column, how) over all tiles before its own, after it,
+    or over all; null where there are none.
+
+    Windows over rows can then stay inside a tile: neither a chromosome nor a whole table has to fit in one task. What
+    is carried comes from a table of one row for each tile, which the rows join; a row without keys or tile goes.
+    """
+    named = {**(before or {}), **(after or {}), **(whole or {})}
+    t = df.groupBy(*keys, tile).agg(*[_CARRY[how](c).alias(n) for n, (c, how) in named.items()])
+    up, down = Window.partitionBy(*keys).orderBy(F.asc(tile)), Window.partitionBy(*keys).orderBy(F.desc(tile))
+    cols = [_CARRY[how](n).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias(n) for some, w in ((before, up), (after, down)) for n, (_, how) in (some or {}).items()]
+    cols += [_CARRY[how](n).over(Window.partitionBy(*keys)).alias(n) for n, (_, how) in (whole or {}).items()]
+    return df.join(t.select(*keys, tile, *cols), [*keys, tile])
+
+
+def islands(df: DataFrame, keys: list[str], start: str, end: str, gap: int, tile: int = 1 << 20) -> DataFrame:
     """Adds ``island``: a new one begins where a row starts more than ``gap`` after all before it ended."""
-    w = Window.partitionBy(*keys).orderBy(start, end)
-    far = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    flag = F.when(far.isNull() | (F.col(start) - far > gap), 1).otherwise(0)
-    return df.withColumn("__new", flag).withColumn("island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("__new")
+    inside = Window.partitionBy(*keys, "__tile").orderBy(start, end)
+    upto, before = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(Window.unboundedPreceding, -1)
+    d = carried(df.withColumn("__tile", F.floor(F.col(start) / tile)), keys, "__tile", {"__far": (F.col(end), "max")})
+    far = F.greatest(F.max(end).over(before), F.col("__far"))
+    d = d.withColumn("__new", F.when(far.isNull() | (F.col(start) - far > gap), 1).otherwise(0))
+    d = carried(d, keys, "__tile", {"__n": (F.col("__new"), "sum")})
+    return d.withColumn("island", (F.coalesce("__n", F.lit(0)) + F.sum("__new").over(upto)).cast("long")).drop("__new", "__far", "__n", "__tile")
 
 
 def coverage(df: DataFrame, keys: list[str], start: str, end: str, tile: int = 1 << 20) -> DataFrame:
