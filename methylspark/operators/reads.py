@@ -68,22 +68,26 @@ def read_methylation(pairs: DataFrame, nome: bool = False) -> DataFrame:
     return out.withColumn("frac", F.coalesce(F.try_divide("mch", "cov"), F.lit(0.0)))
 
 
-def read_methylation_arrays(df: DataFrame, nome: bool = False) -> DataFrame:
-    """The same from one row per read: read_id, conv and the arrays ref_pos, ref, base of its aligned bases. Nothing is
-    exploded, shuffled or sorted, which counts at a hundred bases a read."""
-    at = F.when(F.size("ref_pos") > 0, F.sequence(F.lit(0), F.size("ref_pos") - 1)).otherwise(F.array().cast("array<int>"))
-
-    def near(i: Column, step: int) -> Column:
-        return F.when(F.get("ref_pos", i + step) == F.get("ref_pos", i) + step, F.get("ref", i + step))
-
-    def kind(i: Column) -> Column:
-        ch = base_context(F.get("ref", i), near(i, -1), near(i, 1), F.col("conv"), nome)
-        two = F.concat(F.get("ref", i), F.get("base", i))
-        return F.when(ch, F.when(two.isin("CC", "GG"), 1).when(two.isin("CT", "GA"), 2).otherwise(3)).otherwise(0)
-
-    kinds = df.select("read_id", F.filter(F.transform(at, kind), lambda k: k > 0).alias("k"))
-    count = lambda test: F.size(F.filter("k", test)).cast("long")
-    out = kinds.select("read_id", count(lambda k: k == 1).alias("mch"), count(lambda k: k < 3).alias("cov"), count(lambda k: k == 3).alias("other_snp"))
+def aligned_pairs(ref_pos: Column, ref: Column, base: Column) -> Column:
+    """Aligned bases of a read as one string: an upper-case reference base and a lower-case read base for each, ``--`` where
+    the reference goes on without the read. From arrays; loaders may build it from text at once."""
+    at = F.when(F.size(ref_pos) > 0, F.sequence(F.lit(0), F.size(ref_pos) - 1)).otherwise(F.array().cast("array<int>"))
+    gap = lambda i: F.when((i > 0) & (F.get(ref_pos, i) != F.get(ref_pos, i - 1) + 1), "--").otherwise("")
+    return F.array_join(F.transform(at, lambda i: F.concat(gap(i), F.upper(F.get(ref, i)), F.lower(F.get(base, i)))), "")
+
+
+def read_methylation_strings(df: DataFrame, nome: bool = False, pairs: str = "pairs") -> DataFrame:
+    """The same from one row per read: read_id, conv and ``pairs`` (see ``aligned_pairs``).
+
+    A context is a pattern over neighbouring pairs, so levels are counts of matches: nothing is exploded, shuffled or
+    gone through element by element.
+    """
+    before, after = ("(?<=[GAT].)", "(?!G)" if nome else ""), ("(?<!G.)" if nome else "", "(?=[CTA])")
+
+    def count(ga: str, ct: str) -> Column:
+        return F.when(F.col("conv") == "GA", F.regexp_count(pairs, F.lit(f"{before[0]}G{ga}{before[1]}"))).otherwise(F.regexp_count(pairs, F.lit(f"{after[0]}C{ct}{after[1]}"))).cast("long")
+
+    out = df.select("read_id", count("g", "c").alias("mch"), count("[ga]", "[ct]").alias("cov"), count("[^ga-]", "[^ct-]").alias("other_snp"))
     return out.withColumn("frac", F.coalesce(F.try_divide("mch", "cov"), F.lit(0.0)))
 
 
@@ -198,7 +202,7 @@ def trim_slice(seq: Column, b: Column, e: Column, read_type: int) -> tuple[Colum
 
 
 def split_at_cut_sites(df: DataFrame, seq: str = "seq", min_length: int = 30) -> DataFrame:
-    """Parts of reads between cut sites: (begin, end, part_seq), distinct per read, long enough after trimming.
+    """Parts of reads between cut sites: (begin, end, part_seq), distinct per read, long enough after trimming. No shuffle.
 
     ``df`` has read_type 1 or 2 and the sequence; each type has its own sites.
     """
@@ -207,10 +211,16 @@ def split_at_cut_sites(df: DataFrame, seq: str = "seq", min_length: int = 30) ->
         d = df.where(F.col("read_type") == kind)
         # One column a step: an expression inside a lambda would be computed again for every element.
         d = d.withColumn("__sites", sites_in(F.col(seq), kind)).withColumn("__spans", with_ends(F.col("__sites"), F.col(seq)))
-        d = d.withColumn("__s", F.explode(F.array_distinct(span_slices(F.col("__spans"), min_length)))).drop("__sites", "__spans")
-        b, e = trim_slice(F.col(seq), F.col("__s.b"), F.col("__s.e"), kind)
-        outs.append(d.withColumn("begin", b).withColumn("end", e).drop("__s"))
-    out = outs[0].unionByName(outs[1]).where(F.col("end") - F.col("begin") >= min_length).dropDuplicates(["read_id", "read_type", "begin", "end"])
+        d = d.withColumn("__slices", span_slices(F.col("__spans"), min_length)).drop("__sites", "__spans")
+
+        def trimmed(s: Column) -> Column:
+            b, e = trim_slice(F.col(seq), s["b"], s["e"], kind)
+            return F.struct(b.alias("begin"), e.alias("end"))
+
+        # Slices of a read that are equal after trimming are one: they meet in the read's own row.
+        parts = F.array_distinct(F.filter(F.transform("__slices", trimmed), lambda p: p["end"] - p["begin"] >= min_length))
+        outs.append(d.withColumn("__parts", parts).select(*df.columns, F.inline("__parts")))
+    out = outs[0].unionByName(outs[1])
     return out.withColumn("part_seq", F.substring(F.col(seq), F.col("begin") + 1, F.col("end") - F.col("begin")))
 
 

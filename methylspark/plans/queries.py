@@ -166,11 +166,15 @@ _PAIRS = """WITH pairs AS (SELECT read_id, CASE WHEN read_type = 1 THEN 'GA' ELS
 )
 def r3(spark, d):
     """Per-base levels on reads with every seventh base missing from the alignment and every third converted."""
-    v = view(spark, d, "v_reads").withColumn("ref_pos", F.filter(F.sequence(F.lit(1), F.lit(128)), lambda i: i % 7 != 0))
-    v = v.withColumn("ref", F.transform("ref_pos", lambda i: F.substring("seq", i, F.lit(1))))
-    base = F.zip_with("ref_pos", "ref", lambda i, b: F.when(i % 3 == 0, F.translate(b, "CG", "TA")).otherwise(b))
+    v = view(spark, d, "v_reads")
+    pairs = F.col("seq")
+    for b in "ACGT":
+        pairs = F.replace(pairs, F.lit(b), F.lit(b + b.lower()))
+    for a, b in ("Ct", "Ga"):  # \\G: from where the last match ended, so thirds are counted from the read's beginning
+        pairs = F.regexp_replace(pairs, rf"\G((?:.{{6}})*?.{{4}}{a}){a.lower()}", f"$1{b}")
+    v = v.withColumn("pairs", F.regexp_replace(pairs, "(.{12})..", "$1--"))
     conv = R.conversion(F.lit(None).cast("string"), F.col("read_type") == 1)
-    return R.read_methylation_arrays(v.select("read_id", "ref_pos", "ref", base.alias("base"), conv.alias("conv")))
+    return R.read_methylation_strings(v.select("read_id", "pairs", conv.alias("conv")))
 
 
 @register(

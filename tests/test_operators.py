@@ -374,6 +374,7 @@ def test_both_forms_of_read_methylation_agree(spark, nome):
     rows = [(1, "CT", [1, 2, 3, 5, 6], list("CCAGC"), list("CTAGA")), (2, "GA", [1, 2, 3, 4], list("AGGT"), list("AGAT")), (3, "CT", [], [], [])]
     df = spark.createDataFrame(rows, "read_id long, conv string, ref_pos array<int>, ref array<string>, base array<string>")
     flat = df.select("read_id", "conv", F.inline(F.arrays_zip("ref_pos", "ref", "base")))
-    one = {r["read_id"]: tuple(r) for r in R.read_methylation_arrays(df, nome).collect()}
+    text = df.select("read_id", "conv", R.aligned_pairs(F.col("ref_pos"), F.col("ref"), F.col("base")).alias("pairs"))
+    one = {r["read_id"]: tuple(r) for r in R.read_methylation_strings(text, nome).collect()}
     two = {r["read_id"]: tuple(r) for r in R.read_methylation(flat, nome).collect()}
     assert one.pop(3) == (3, 0, 0, 0, 0.0) and one == two
