@@ -68,7 +68,7 @@ def _stream(tokenizer: str, end_id: int, length: int, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from methylspark.llm.tokens import encoder as encoder_of
 
-        encoder, squeeze = encoder_of(tokenizer), pa.Codec("zstd", compression_level=1)
+        encoder, squeeze = encoder_of(tokenizer), pa.Codec("zstd", compression_level=6)
         end, most = np.array([end_id], dtype=dtype), PIECE * length
         path, first, row, at, have = None, -1, -1, 0, 0
         held: list[np.ndarray] = []
@@ -101,7 +101,7 @@ def _cut(length: int, sequences: int, key: int, dtype: str):
     """mapInArrow: pieces with the place of their run in the whole stream -> parts of sequences, with their slots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = pa.Codec("zstd", compression_level=1)
+        squeeze = pa.Codec("zstd", compression_level=3)
         width = np.dtype(dtype).itemsize
         for batch in batches:
             for at, n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
