@@ -4,37 +4,99 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FASTQ = "read_name string, seq string, qual string, path string"
 ALLC = T.StructType([
     T.StructField("chrom", T.StringType()), T.StructField("pos", T.LongType()), T.StructField("strand", T.StringType()), T.StructField("context", T.StringType()),
     T.StructField("mc", T.IntegerType()), T.StructField("cov", T.IntegerType()), T.StructField("sig", T.IntegerType()),
 ])
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """Four-line records. A file is one task (compressed files can't be split); lines stream through in batches."""
-    d = spark.read.option("wholetext", False).option("maxPartitionBytes", 1 << 40).text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
-
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[str] = []
-        name: str | None = None
-        for batch in batches:
-            out: list[tuple] = []
-            for value, file in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if file != name:
-                    held, name = [], file
-                held.append(value)
-                if len(held) == 4:
-                    out.append((held[0][1:].split(" ")[0], held[1], held[3], file))
-                    held = []
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.string()) for k in range(4)], names=["read_name", "seq", "qual", "path"])
-
-    return d.mapInArrow(records, FASTQ)
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], bool, pa.RecordBatch]]:
+    """((path, at), whether it begins here, rows) for each stretch of rows of one split; columns value, path, at."""
+    key = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at, path = batch.column(2).to_numpy(), batch.column(1).dictionary_encode()
+        code = path.indices.to_numpy()
+        starts = [0, *(np.flatnonzero((at[1:] != at[:-1]) | (code[1:] != code[:-1])) + 1).tolist(), len(at)]
+        for a, b in zip(starts, starts[1:]):
+            now = (path.dictionary[int(code[a])].as_py(), int(at[a]))
+            yield now, now != key, batch.slice(a, b - a)
+            key = now
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each split: how many lines it has, the first three and the last three."""
+    key, n, head, tail = None, 0, [], []
+
+    def row() -> pa.RecordBatch:
+        texts = pa.list_(pa.string())
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in ((key[0], pa.string()), (key[1], pa.int64()), (n, pa.int64()), (head, texts), (tail, texts))], names=["path", "at", "n", "head", "tail"])
+
+    for now, fresh, rows in _runs(batches):
+        if fresh:
+            if key is not None:
+                yield row()
+            key, n, head, tail = now, 0, [], []
+        lines = rows.column(0)
+        head = (head + lines.slice(0, 3 - len(head)).to_pylist()) if len(head) < 3 else head
+        tail = (tail + lines.slice(max(0, len(lines) - 3)).to_pylist())[-3:]
+        n += len(lines)
+    if key is not None:
+        yield row()
+
+
+def _record(name: Column, seq: Column, qual: Column, path: Column) -> list[Column]:
+    return [F.regexp_extract(name, "^.?([^ ]*)", 1).alias("read_name"), seq.alias("seq"), qual.alias("qual"), path.alias("path")]
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records that lie in one split; column ``phase`` tells how far into a record the split begins."""
+    held, skip = pa.array([], pa.string()), 0
+    for (path, _), fresh, rows in _runs(batches):
+        if fresh:
+            held, skip = pa.array([], pa.string()), -int(rows.column(3)[0].as_py()) % 4
+        lines = rows.column(0)
+        cut = min(skip, len(lines))
+        skip -= cut
+        lines = pa.concat_arrays([held, lines.slice(cut)])
+        m = len(lines) // 4
+        held = lines.slice(4 * m)
+        names, seqs, quals = (lines.take(pa.array(np.arange(k, 4 * m, 4))) for k in (0, 1, 3))
+        yield pa.RecordBatch.from_arrays([names, seqs, quals, pa.array([path] * m, pa.string())], names=["name", "seq", "qual", "path"])
+
+
+def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Four-line records: read_name (to the first space), seq, qual, path.
+
+    Spark splits plain files at any line. A first pass counts the lines of each split and keeps the three at either end;
+    with the counts, each task knows where records begin in its split, and records that cross splits are put together
+    from the kept lines alone. Compressed files are one split each and need no first pass.
+    """
+    d = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    schema = "name string, seq string, qual string, path string"
+    if all(f.endswith((".gz", ".bz2", ".zst", ".xz")) for f in d.inputFiles()):
+        found = d.withColumn("phase", F.lit(0).cast("long")).mapInArrow(_whole, schema)
+        return found.select(*_record(*map(F.col, ("name", "seq", "qual", "path"))))
+    before = Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    edges = d.mapInArrow(_edges, "path string, at long, n long, head array<string>, tail array<string>").withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    phases = edges.select("path", "at", F.pmod("base", F.lit(4)).alias("phase"))
+    found = d.join(F.broadcast(phases), ["path", "at"]).select("value", "path", "at", "phase")  # a row for each split; lines stay in order
+    inside = found.mapInArrow(_whole, schema).select(*_record(*map(F.col, ("name", "seq", "qual", "path"))))
+    lead = F.least(F.pmod(-F.col("base"), F.lit(4)), F.col("n"))  # lines that belong to a record begun before
+    rest = F.when(F.col("n") > lead, F.pmod(F.col("base") + F.col("n"), F.lit(4))).otherwise(0)  # and to one not ended
+    numbered = lambda lines, first: F.transform(lines, lambda x, k: F.struct((first + k).alias("nr"), x.alias("line")))
+    first = numbered(F.slice("head", F.lit(1), lead.cast("int")), F.col("base"))
+    last = numbered(F.slice("tail", (F.size("tail") - rest + 1).cast("int"), rest.cast("int")), F.col("base") + F.col("n") - rest)
+    cross = edges.select("path", F.inline(F.concat(first, last))).groupBy("path", F.floor(F.col("nr") / 4).alias("k")).agg(F.array_sort(F.collect_list(F.struct("nr", "line"))).alias("x"))
+    cross = cross.where(F.size("x") == 4).select(*_record(F.col("x")[0]["line"], F.col("x")[1]["line"], F.col("x")[3]["line"], F.col("path")))
+    return inside.unionByName(cross)
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:

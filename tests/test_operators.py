@@ -263,6 +263,25 @@ def test_formats(spark, tmp_path):
     assert formats.fetch_region(spark, str(tmp_path / "sites"), "chr1", 10, 20).count() == 10
 
 
+@pytest.mark.parametrize("size", ["64m", "1k", "300", "90"])
+def test_fastq_of_split_files(spark, tmp_path, size):
+    rng = np.random.default_rng(1)
+    want = []
+    for name in ("a.fq", "b.fq"):
+        records = [(f"r{name[0]}{n}", "".join(rng.choice(list("ACGT"), k)), "".join(rng.choice(list("@I+F"), k))) for n, k in enumerate(rng.integers(1, 60, 150).tolist())]
+        (tmp_path / name).write_text("".join(f"@{r} x y\n{s}\n+\n{q}\n" for r, s, q in records))
+        want += records
+    keys = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        got = formats.read_fastq(spark, str(tmp_path))
+        assert sorted(tuple(r)[:3] for r in got.collect()) == sorted(want)
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+
+
 def test_summaries(spark):
     df = spark.createDataFrame([("a", 10, 4, 5)], "cell_id string, R1InputReads int, R1FinalBismarkReads int, R2FinalBismarkReads int")
     assert Y.mc_columns(df).first()["FinalmCReads"] == 9
