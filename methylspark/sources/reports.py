@@ -1,19 +1,51 @@
 """Tool reports as DataFrames: text lines in, one row per file out.
 
-Every parser takes lines (path, line) as ``lines_of`` gives them, so all files of a library are parsed in one pass and
+Every parser takes lines (cell_id, nr, line) as ``lines_of`` gives them, so all files of a library are parsed in one pass and
 small files are read many to a task. Missing values are 0 or null as stated.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def lines_of(spark: SparkSession, path: str) -> DataFrame:
-    """(cell_id, line): the cell is the file name up to its first dot."""
-    d = spark.read.text(path).withColumn("path", F.col("_metadata.file_path"))
-    return d.select(F.substring_index(F.element_at(F.split("path", "/"), -1), ".", 1).alias("cell_id"), F.col("value").alias("line"))
+def lines_of(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(cell_id, nr, line): the cell is the file name up to its first dot, ``nr`` the line's number in its file. Reports are
+    small, so a file is read whole."""
+    d = spark.read.text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
+    name = F.substring_index(F.element_at(F.split("path", "/"), -1), ".", 1)
+    return d.select(name.alias("cell_id"), F.posexplode(F.split("value", "\r?\n")).alias("nr", "line"))
+
+
+def with_read_type(lines: DataFrame) -> DataFrame:
+    """Splits cell names like ``cell-R1`` into cell_id and read_type."""
+    last = F.substring_index("cell_id", "-", -1)
+    return lines.withColumn("read_type", last).withColumn("cell_id", F.expr("substring(cell_id, 1, length(cell_id) - length(substring_index(cell_id, '-', -1)) - 1)"))
+
+
+def by_read_type(stats: DataFrame, read_types: tuple[str, ...] = ("R1", "R2")) -> DataFrame:
+    """One row per cell from (cell_id, read_type, columns): each column once for each read type, named after it."""
+    names = [c for c in stats.columns if c not in ("cell_id", "read_type")]
+    return stats.groupBy("cell_id").agg(*[F.max(F.when(F.col("read_type") == r, F.col(f"`{c}`"))).alias(f"{r}{c}") for r in read_types for c in names])
+
+
+def _tables(lines: DataFrame, keys: list[str], keep: Column) -> DataFrame:
+    """(keys, rows): the lines of each file that ``keep``, in order."""
+    rows = F.transform(F.array_sort(F.collect_list(F.when(keep, F.struct("nr", "line")))), lambda x: x["line"])
+    return lines.groupBy(*keys).agg(rows.alias("rows"))
+
+
+def _row(header: Column, row: Column) -> Column:
+    """A tab-separated row as a map from the header's names; null where either is missing."""
+    names = F.split(header, "\t", -1)
+    return F.when(header.isNotNull() & row.isNotNull(), F.map_from_arrays(names, F.slice(F.concat(F.split(row, "\t", -1), F.array_repeat(F.lit(None).cast("string"), F.size(names))), F.lit(1), F.size(names))))
+
+
+def _long(m: str, name: str) -> Column:
+    return F.expr(f"try_cast({m}['{name}'] as bigint)")
 
 
 def _terms(lines: DataFrame, terms: dict[str, str]) -> DataFrame:
@@ -63,23 +95,36 @@ def single_summary(lines: DataFrame) -> DataFrame:
     return _rates(d, c("ReadsMappedInSE"), c("SEUniqueMappedReads"), c("SEMultiMappedReads"))
 
 
-def duplicate_metrics(lines: DataFrame) -> DataFrame:
-    """Duplicate metrics: the first data row of a tab-separated table after comments. An empty file gives nulls."""
-    d = lines.where(~F.col("line").startswith("#") & (F.trim("line") != ""))
-    head = d.where(F.col("line").startswith("LIBRARY")).select("cell_id", F.split("line", "\t").alias("names")).dropDuplicates(["cell_id"])
-    body = d.where(~F.col("line").startswith("LIBRARY")).groupBy("cell_id").agg(F.first("line").alias("line"))
-    row = lines.select("cell_id").distinct().join(head, "cell_id", "left").join(body, "cell_id", "left")
-    row = row.withColumn("m", F.when(F.col("line").isNotNull(), F.map_from_arrays("names", F.slice(F.split("line", "\t", -1), 1, F.size("names")))))
+def _metrics(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, m: the metrics row of each file, the line after the one that begins with LIBRARY; null in an empty file. What
+    follows (a histogram) doesn't count."""
+    shown = ~F.col("line").startswith("#") & (F.trim("line") != "")
+    d = _tables(lines, keys, shown).withColumn("at", F.array_position(F.transform("rows", lambda x: x.startswith("LIBRARY")), F.lit(True)).cast("int"))
+    head, row = F.when(F.col("at") > 0, F.get("rows", F.col("at") - 1)), F.when(F.col("at") > 0, F.get("rows", F.col("at")))
+    return d.select(*keys, _row(head, row).alias("m"))
 
-    def v(name: str) -> Column:
-        return F.expr(f"try_cast(m['{name}'] as bigint)")
 
+def duplicate_metrics(lines: DataFrame) -> DataFrame:
+    """Duplicate metrics of paired and single reads: FinalReads, DuplicatedReads, PCRDuplicationRate (whole percent). An
+    empty file gives nulls."""
+    row = _metrics(lines, ["cell_id"])
+    v = lambda name: _long("m", name)
     final = v("UNPAIRED_READS_EXAMINED") - v("UNPAIRED_READ_DUPLICATES") + (v("READ_PAIRS_EXAMINED") - v("READ_PAIR_DUPLICATES")) * 2
     dup = v("UNPAIRED_READ_DUPLICATES") + v("READ_PAIR_DUPLICATES") * 2
     out = row.select("cell_id", final.alias("FinalReads"), dup.alias("DuplicatedReads"))
     return out.withColumn("PCRDuplicationRate", ((1 - F.try_divide(F.col("FinalReads"), F.col("FinalReads") + F.col("DuplicatedReads"))) * 100).cast("long"))
 
 
+def read_duplicate_metrics(lines: DataFrame) -> DataFrame:
+    """Duplicate metrics of single reads by read type: MAPQFilteredReads, DuplicatedReads, DuplicationRate (as reported) and
+    FinalBismarkReads; zeros for an empty file."""
+    row = _metrics(with_read_type(lines), ["cell_id", "read_type"])
+    zero = lambda c, t: F.coalesce(c, F.lit(0).cast(t))
+    n, dup = zero(_long("m", "UNPAIRED_READS_EXAMINED"), "long"), zero(_long("m", "UNPAIRED_READ_DUPLICATES"), "long")
+    rate = zero(F.expr("try_cast(m['PERCENT_DUPLICATION'] as double)"), "double")
+    return row.select("cell_id", "read_type", n.alias("MAPQFilteredReads"), dup.alias("DuplicatedReads"), rate.alias("DuplicationRate"), (n - dup).alias("FinalBismarkReads"))
+
+
 def demultiplex_report(lines: DataFrame) -> DataFrame:
     """Adapters of a trimming report: (cell_id, Sequence, Type, Length, Trimmed, TotalPair, Ratio)."""
     total = lines.withColumn("n", F.regexp_extract("line", r"^Total read pairs processed:\s+([\d,]+)", 1)).where("n <> ''")
@@ -140,17 +185,25 @@ CRITICAL = ("n_random_index", "input_plate_size", "pool_id", "tube_label", "emai
 
 
 def plate_info(text: str) -> tuple[dict[str, str], list[dict[str, str]]]:
-    """Key-value pairs and plate rows of a plate-info text: three sections in order, all critical keys, no key or plate twice."""
-    info: dict[str, str] = {}
-    plates: list[dict[str, str]] = []
+    """Critical settings and plate rows of a plate-info text: three sections in order, all critical keys, no key twice.
+
+    A plate row has its own columns, those of [LibraryInfo], ``sample_id_prefix`` (all but the plate's fixed columns, joined
+    by -) and the critical settings. A plate (V1), or a plate and multiplex group (V2), stands once; of rows with one
+    primer_name the first stays.
+    """
+    critical: dict[str, str] = {}
+    library: dict[str, str] = {}
     order: list[str] = []
     header: list[str] = []
+    plates: list[dict[str, str]] = []
     for raw in text.splitlines():
         line = raw.split("#")[0].strip()
         if not line:
             continue
         if line.startswith("["):
             order.append(line.strip("[]"))
+            if tuple(order) != SECTIONS[: len(order)]:
+                raise ValueError(f"sections must be {', '.join(SECTIONS)}, in this order")
         elif order and order[-1] == "PlateInfo":
             row = line.replace(",", " ").split()
             if not header:
@@ -158,18 +211,33 @@ def plate_info(text: str) -> tuple[dict[str, str], list[dict[str, str]]]:
             else:
                 plates.append(dict(zip(header, row)))
         else:
-            key, _, value = (x.strip() for x in line.partition("="))
-            if key in info:
+            key, sep, value = (x.strip() for x in line.partition("="))
+            if not sep or not order:
+                raise ValueError(f"not understood: {line}")
+            value = value if key == "email" else "".join(c if c.isascii() and c.isalnum() else "_" for c in value)
+            if key in critical or key in library:
                 raise ValueError(f"key {key} appears twice")
-            info[key] = value if key == "email" else "".join(c if c.isalnum() else "_" for c in value)
+            if order[-1] == "CriticalInfo" and key not in CRITICAL:
+                raise ValueError(f"unknown key {key}")
+            (critical if order[-1] == "CriticalInfo" else library)[key] = value
     if tuple(order) != SECTIONS:
         raise ValueError(f"sections must be {', '.join(SECTIONS)}, in this order")
-    if missing := [k for k in CRITICAL if k not in info]:
+    if missing := [k for k in CRITICAL if k not in critical]:
         raise ValueError(f"missing {', '.join(missing)}")
-    ids = [p["plate_id"] for p in plates]
-    if len(ids) != len(set(ids)):
-        raise ValueError("plate_id repeats")
-    return info, plates
+    if twice := set(header) & (library.keys() | critical.keys()) | library.keys() & critical.keys():
+        raise ValueError(f"key {', '.join(sorted(twice))} appears twice")
+    if critical["n_random_index"] not in ("8", "384"):
+        raise ValueError(f"n_random_index must be 8 or 384, got {critical['n_random_index']}")
+    fixed = 2 if critical["n_random_index"] == "8" else 3
+    unique = header[: fixed - 1]
+    if len({tuple(p.get(c) for c in unique) for p in plates}) != len(plates):
+        raise ValueError(f"{', '.join(unique)} repeats")
+    out: dict[str, dict[str, str]] = {}
+    for p in plates:
+        more = [*library.values(), *(p.get(c, "") for c in header[fixed:])]
+        row = p | library | {"sample_id_prefix": "-".join(more)} | critical
+        out.setdefault(row.get("primer_name") or str(len(out)), row)
+    return critical, list(out.values())
 
 
 #: Terms of the bisulfite aligner's report; values are kept as text.
@@ -190,11 +258,48 @@ def bisulfite_report(lines: DataFrame) -> DataFrame:
 
 
 def trim_table(lines: DataFrame) -> DataFrame:
-    """Trimming statistics: the last data row of a tab-separated table, as (cell_id, metric, value)."""
-    d = lines.where(F.col("line").contains("\t"))
-    table = d.groupBy("cell_id").agg(F.max(F.when(F.col("line").startswith("status"), F.col("line"))).alias("head"), F.max(F.when(~F.col("line").startswith("status"), F.col("line"))).alias("row"))
-    pairs = F.arrays_zip(F.split("head", "\t").alias("metric"), F.split("row", "\t").alias("value"))
-    return table.where("head is not null and row is not null").select("cell_id", F.inline(pairs)).withColumn("value", F.expr("try_cast(value as bigint)")).where("value is not null")
+    """Trimming statistics of one pass: the row below the header of a tab-separated table, as (cell_id, metric, value)."""
+    d = _tables(lines, ["cell_id"], F.col("line").contains("\t")).withColumn("m", _row(F.get("rows", F.lit(0)), F.get("rows", F.lit(1))))
+    out = d.where("m is not null").select("cell_id", F.explode("m").alias("metric", "value"))
+    return out.withColumn("value", F.expr("try_cast(value as bigint)")).where("value is not null")
+
+
+def trim_stats(lines: DataFrame) -> DataFrame:
+    """Trimming statistics of two passes, stacked in one table (header, first row, header, second row), by read type: what
+    goes in and its adapters from the first, quality trimming and what comes out from the second."""
+    d = _tables(with_read_type(lines), ["cell_id", "read_type"], F.col("line").contains("\t"))
+    d = d.withColumn("a", _row(F.get("rows", F.lit(0)), F.get("rows", F.lit(1)))).withColumn("b", _row(F.get("rows", F.lit(2)), F.get("rows", F.lit(3))))
+    pick = {"InputReads": ("a", "in_reads"), "InputReadsBP": ("a", "in_bp"), "WithAdapters": ("a", "w/adapters"), "QualTrimBP": ("b", "qualtrim_bp"), "TrimmedReads": ("b", "out_reads"), "TrimmedReadsBP": ("b", "out_bp")}
+    out = d.select("cell_id", "read_type", *[_long(m, n).alias(c) for c, (m, n) in pick.items()])
+    return out.withColumn("TrimmedReadsRate", F.try_divide("TrimmedReads", "InputReads"))
+
+
+def adapter_stats(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of a report on several adapters that ends with a two-line table: (cell_id, read_type, InputReads, QualTrimBP,
+    TrimmedReads, TrimmedReadsBP, TrimmedReadsRate), and (cell_id, read_type, adapter, trimmed)."""
+    d = _tables(with_read_type(lines), ["cell_id", "read_type"], F.trim("line") != "")
+    n = F.size("rows")
+    d = d.withColumn("m", _row(F.get("rows", n - 2), F.get("rows", n - 1))).withColumn("text", F.array_join("rows", "\n"))
+    total = F.regexp_replace(F.regexp_extract("text", r"=== Summary ===\n[^\n]*?([\d,]+)(?:\n|$)", 1), ",", "")
+    out = d.select("cell_id", "read_type", total.try_cast("bigint").alias("InputReads"), _long("m", "qualtrim_bp").alias("QualTrimBP"), _long("m", "out_reads").alias("TrimmedReads"), _long("m", "out_bp").alias("TrimmedReadsBP"))
+    pattern = r"=== Adapter ([^=\n]*?) *===\n[^\n]*?Trimmed: (\d+) times"
+    names, counts = (F.regexp_extract_all("text", F.lit(pattern), F.lit(k)) for k in (1, 2))
+    adapters = d.select("cell_id", "read_type", F.inline(F.arrays_zip(names.alias("adapter"), counts.alias("trimmed")))).withColumn("trimmed", F.col("trimmed").cast("long"))
+    return out.withColumn("TrimmedReadsRate", F.try_divide("TrimmedReads", "InputReads")), adapters
+
+
+#: Parsers of cell reports by name; a caller may add its own: lines (cell_id, nr, line) in, one row per cell out.
+PARSERS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "paired_summary": paired_summary, "single_summary": single_summary, "duplicate_metrics": duplicate_metrics, "read_profile": read_profile, "feature_summary": feature_summary,
+    "trim_stats": trim_stats, "read_duplicate_metrics": read_duplicate_metrics, "bisulfite_report": bisulfite_report,
+}
+
+
+def parse_reports(spark: SparkSession, path: str | list[str], parser: str | Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All reports below a path through one parser, by name or given."""
+    if isinstance(parser, str) and parser not in PARSERS:
+        raise ValueError(f"parser must be one of {', '.join(PARSERS)}, got {parser}")
+    return (PARSERS[parser] if isinstance(parser, str) else parser)(lines_of(spark, path))
 
 
 def fixed_width(lines: DataFrame, header: str, names: list[str]) -> DataFrame:

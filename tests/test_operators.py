@@ -220,13 +220,16 @@ def test_plate_info():
     text = "[CriticalInfo]\nn_random_index=8\ninput_plate_size=384\npool_id=P-1\ntube_label=t\nemail=a@b.c\n[LibraryInfo]\nlib=x\n[PlateInfo]\nplate_id primer_quarter\nA Set1_Q1\nB Set1_Q2\n"
     info, plates = reports.plate_info(text)
     assert info["pool_id"] == "P_1" and info["email"] == "a@b.c" and [p["plate_id"] for p in plates] == ["A", "B"]
+    assert plates[0]["sample_id_prefix"] == "x" and plates[0]["lib"] == "x" and plates[0]["tube_label"] == "t"
+    v2 = text.replace("=8", "=384").replace("plate_id primer_quarter\nA Set1_Q1\nB Set1_Q2", "plate_id multiplex_group primer_name note\nA 1 B1 n1\nA 2 B1 n2\nA 3 B2 n3")
+    assert [(p["multiplex_group"], p["sample_id_prefix"]) for p in reports.plate_info(v2)[1]] == [("1", "x-n1"), ("3", "x-n3")]
     for bad in (text.replace("lib=x", "pool_id=y"), text.replace("B Set", "A Set"), text.replace("email=a@b.c\n", ""), text.replace("[LibraryInfo]\n", "")):
         with pytest.raises(ValueError):
             reports.plate_info(bad)
 
 
 def lines(spark, **files):
-    return spark.createDataFrame([(c, x) for c, t in files.items() for x in t.split("\n")], "cell_id string, line string")
+    return spark.createDataFrame([(c.replace("_", "-"), n, x) for c, t in files.items() for n, x in enumerate(t.split("\n"))], "cell_id string, nr int, line string").repartition(3)
 
 
 def test_alignment_summary(spark):
@@ -237,7 +240,7 @@ def test_alignment_summary(spark):
 
 
 def test_duplicate_metrics(spark):
-    text = "## METRICS\nLIBRARY\tUNPAIRED_READS_EXAMINED\tREAD_PAIRS_EXAMINED\tUNPAIRED_READ_DUPLICATES\tREAD_PAIR_DUPLICATES\nlib\t10\t20\t2\t5\n"
+    text = "## METRICS\nLIBRARY\tUNPAIRED_READS_EXAMINED\tREAD_PAIRS_EXAMINED\tUNPAIRED_READ_DUPLICATES\tREAD_PAIR_DUPLICATES\nlib\t10\t20\t2\t5\n\n## HISTOGRAM\tx\nBIN\tVALUE\n1.0\t1.2\n2.0\t1.3"
     r = {x["cell_id"]: x for x in reports.duplicate_metrics(lines(spark, a=text, b="# empty")).collect()}
     assert (r["a"]["FinalReads"], r["a"]["DuplicatedReads"], r["a"]["PCRDuplicationRate"]) == (38, 12, 24)
     assert r["b"]["FinalReads"] is None
@@ -252,6 +255,14 @@ def test_other_reports(spark):
     assert reports.flat_ini("[a]\nx=1\n[b]\nx=2\ny=3\n") == {"x": "2", "y": "3"}
 
 
+def test_reports_by_name(spark, tmp_path):
+    (tmp_path / "c1.txt").write_text("Status\tx\nAssigned\t3\nUnassigned_A\t1\n")
+    assert reports.parse_reports(spark, str(tmp_path), "feature_summary").first()["Assigned"] == 3
+    assert reports.parse_reports(spark, str(tmp_path), lambda d: d.where("nr = 1")).first()["line"] == "Assigned\t3"
+    with pytest.raises(ValueError):
+        reports.parse_reports(spark, str(tmp_path), "nothing")
+
+
 def test_formats(spark, tmp_path):
     (tmp_path / "c1.fq").write_text("@r1 x\nACGT\n+\nIIII\n@r2\nGG\n+\nII\n")
     assert [tuple(r)[:3] for r in formats.read_fastq(spark, str(tmp_path / "c1.fq")).collect()] == [("r1", "ACGT", "IIII"), ("r2", "GG", "II")]
@@ -305,6 +316,17 @@ def test_streaming_matches_batch(spark, tmp_path):
 def test_bisulfite_and_trim_reports(spark):
     r = {x["cell_id"]: x for x in reports.bisulfite_report(lines(spark, a="Sequences analysed in total:\t120\nMapping efficiency:\t45.0% \na:b:c", b="x")).collect()}
     assert (r["a"]["TotalReads"], r["a"]["MappingRate"], r["a"]["OT"]) == ("120", "45.0%", None) and "b" not in r
+    two = "status\tin_reads\tin_bp\ttoo_short\ttoo_long\ttoo_many_n\tout_reads\tw/adapters\tqualtrim_bp\tout_bp\nOK\t1490\t213724\t0\t0\t0\t1490\t4\t0\t213712\nstatus\tin_reads\tin_bp\ttoo_short\ttoo_long\ttoo_many_n\tout_reads\tw/adapters\tqualtrim_bp\tout_bp\nOK\t1490\t213712\t0\t0\t0\t1482\t0\t1300\t182546"
+    t = reports.trim_stats(lines(spark, a_b_R1=two, a_b_R2=two.replace("1482", "9"))).where("read_type = 'R1'").first()
+    assert tuple(t)[:8] == ("a-b", "R1", 1490, 213724, 4, 1300, 1482, 182546) and t["TrimmedReadsRate"] == 1482 / 1490
+    wide = reports.by_read_type(reports.trim_stats(lines(spark, a_b_R1=two, a_b_R2=two.replace("1482", "9")))).first()
+    assert (wide["R1TrimmedReads"], wide["R2TrimmedReads"]) == (1482, 9)
+    several = "=== Summary ===\n\nTotal reads processed:   1,490\n\n=== Adapter Tn5 ===\n\nSequence: ACGT; Type: regular 3'; Length: 4; Trimmed: 12 times\n\n=== Adapter polyA ===\n\nSequence: AAA; Type: x; Length: 3; Trimmed: 7 times\nstatus\tout_reads\tqualtrim_bp\tout_bp\nOK\t1400\t30\t999\n"
+    total, adapters = reports.adapter_stats(lines(spark, c_R2=several))
+    assert tuple(total.first())[:6] == ("c", "R2", 1490, 30, 1400, 999) and sorted((r["adapter"], r["trimmed"]) for r in adapters.collect()) == [("Tn5", 12), ("polyA", 7)]
+    text = "# x\nLIBRARY\tUNPAIRED_READS_EXAMINED\tUNPAIRED_READ_DUPLICATES\tPERCENT_DUPLICATION\nlib\t10\t4\t0.4\n\nBIN\tV\n1\t2"
+    got = sorted(map(tuple, reports.read_duplicate_metrics(lines(spark, a_R1=text, a_R2="# empty")).collect()))
+    assert got == [("a", "R1", 10, 4, 0.4, 6), ("a", "R2", 0, 0, 0.0, 0)]
     t = {x["metric"]: x["value"] for x in reports.trim_table(lines(spark, a="status\tin_reads\tout_reads\nOK\t10\t8")).collect()}
     assert t == {"in_reads": 10, "out_reads": 8}
 
