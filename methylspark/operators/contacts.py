@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from methylspark.operators.intervals import outside
+
 KINDS = ("cis", "ciscut", "cis_multi", "ciscut_multi", "trans", "transcut", "trans_multi", "transcut_multi", "chimeric", "no")
 #: Of several types between two groups the first of these counts; a chimeric relation is no contact.
 PRIORITY = ("ciscut", "transcut", "chimeric", "cis", "trans")
@@ -234,6 +236,34 @@ def contact_matrix(df: DataFrame, resolution: int, keys: list[str], min_distance
     return d.groupBy(*keys, F.col("chrom1").alias("chrom"), F.least(a, b).alias("bin1"), F.greatest(a, b).alias("bin2")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def filter_contacts(
+    df: DataFrame, blacklist: DataFrame | None = None, pairs: DataFrame | None = None, min_distance: int = 2500, resolution: int = 10_000, remove_duplicates: bool = False, width: int = 1 << 16
+) -> DataFrame:
+    """Contacts fit for a matrix. ``df``: keys such as cell_id, chrom1, start1, chrom2, start2.
+
+    Those with an anchor in an interval of ``blacklist`` (chrom, start, end) go, those whose anchors lie in two bins of
+    ``resolution`` that a pair of intervals of ``pairs`` (chrom1, bstart1, bend1, chrom2, bstart2, bend2) covers in either order,
+    and those on one chromosome that are not more than ``min_distance`` apart; with ``remove_duplicates`` all but one of those
+    with equal anchors in a cell.
+    """
+    near = (F.col("chrom1") == F.col("chrom2")) & (F.abs(F.col("start1") - F.col("start2")) <= min_distance)
+    d = df.where(~near)
+    if blacklist is not None:
+        b = blacklist.select(F.col("chrom").alias("__chrom"), F.col("start").alias("__start"), F.col("end").alias("__end"))
+        for n in (1, 2):
+            d = outside(d, b, (f"chrom{n}", f"start{n}"), ("__chrom", "__start", "__end"), width)
+    if pairs is not None:
+        bins = lambda a, b: F.sequence(F.floor(F.col(a) / resolution), F.floor((F.col(b) - 1) / resolution))
+        p = pairs.select(F.col("chrom1").alias("c1"), F.explode(bins("bstart1", "bend1")).alias("b1"), F.col("chrom2").alias("c2"), "bstart2", "bend2")
+        p = p.select("c1", "b1", "c2", F.explode(bins("bstart2", "bend2")).alias("b2"))
+        p = p.unionByName(p.select(F.col("c2").alias("c1"), F.col("b2").alias("b1"), F.col("c1").alias("c2"), F.col("b1").alias("b2"))).distinct()
+        on = (F.col("chrom1") == F.col("c1")) & (F.col("chrom2") == F.col("c2")) & (F.floor(F.col("start1") / resolution) == F.col("b1")) & (F.floor(F.col("start2") / resolution) == F.col("b2"))
+        d = d.join(p, on, "left_anti")
+    if remove_duplicates:
+        d = d.dropDuplicates([c for c in ("cell_id",) if c in d.columns] + ["chrom1", "start1", "chrom2", "start2"])
+    return d
+
+
 def with_enough_contacts(contacts: DataFrame, counts: DataFrame, column: str = "CisLongContact", least: int = 50_000) -> DataFrame:
     """Contacts of cells that have more than ``least``."""
     return contacts.join(counts.where(F.col(column) > least).select("cell_id"), "cell_id", "left_semi")

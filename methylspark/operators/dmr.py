@@ -88,3 +88,19 @@ def covered_in_all(sites: DataFrame, group: str, groups: list[str]) -> DataFrame
     return sites.groupBy("chrom", "pos").agg(*[F.sum(F.when(F.col(group) == g, F.col("cov")).otherwise(0)).alias(f"c{n}") for n, g in enumerate(groups)]).where(
         " and ".join(f"c{n} > 0" for n in range(len(groups)))
     ).select("chrom", "pos")
+
+
+def call_multigroup_regions(dml: DataFrame, p_threshold: float = 0.001, min_cg: int = 1, min_len: int = 1, sig_ratio: float = 0.5, gap: int = 250) -> DataFrame:
+    """From tests of single sites over several groups (chrom, pos, stat, pval) to regions: the FDR alone decides, and there
+    are no group means."""
+    d = indexed(bh_fdr(dml, ["chrom"])).withColumn("sig", F.col("fdr") < p_threshold)
+    none = F.lit(None).cast("double")
+    out = regions(d.withColumn("mu1", none).withColumn("mu2", none), gap).drop("mu1", "mu2", "diff")
+    return select_regions(out, min_cg, min_len, sig_ratio, None)
+
+
+def tested_regions(df: DataFrame, q_threshold: float = 0.05, min_cg: int = 5, chroms: list[str] | None = None) -> DataFrame:
+    """Regions that an external model has tested whole (chrom, start, end, n_cg, beta, stat, pval): FDR over all chromosomes,
+    and ``selected_dmr`` by FDR and number of sites; regions on chromosomes not listed go."""
+    d = df if chroms is None else df.where(F.col("chrom").isin(chroms))
+    return bh_fdr(d, []).withColumn("selected_dmr", (F.col("fdr") < q_threshold) & (F.col("n_cg") >= min_cg))

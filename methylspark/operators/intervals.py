@@ -34,6 +34,14 @@ def not_overlapping(a: DataFrame, b: DataFrame, a_cols: tuple[str, str, str], b_
     return a.join(hit, key, "left_anti")
 
 
+def outside(a: DataFrame, b: DataFrame, point: tuple[str, str], b_cols: tuple[str, str, str], width: int) -> DataFrame:
+    """Rows of ``a`` whose ``point`` (chromosome, position) lies in no interval of ``b``. A point has one bin, so rows need no key."""
+    (chrom, pos), (bc, bs, be) = point, b_cols
+    bins = b.withColumn("__bin", F.explode(binned(F.col(bs), F.col(be), width)))
+    on = (F.col(chrom) == F.col(bc)) & (F.floor(F.col(pos) / width) == F.col("__bin")) & (F.col(pos) >= F.col(bs)) & (F.col(pos) < F.col(be))
+    return a.join(bins, on, "left_anti")
+
+
 #: How a value is carried from tile to tile.
 _CARRY = {"sum": F.sum, "max": F.max, "min": F.min}
 

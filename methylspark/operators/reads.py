@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,6 +95,97 @@ def read_methylation_strings(df: DataFrame, nome: bool = False, pairs: str = "pa
     return out.withColumn("frac", F.coalesce(F.try_divide("mch", "cov"), F.lit(0.0)))
 
 
+def pairs_of_alignments(seq: Column, cigar: Column, md: Column) -> Column:
+    """Aligned pairs (see ``aligned_pairs``) of alignments from sequence, CIGAR and MD tag; null where one is missing or they
+    disagree. The reference isn't read. In Arrow batches: the two run-length codes are walked through together."""
+
+    @F.arrow_udf("string")
+    def walk(seqs: pa.Array, cigars: pa.Array, tags: pa.Array) -> pa.Array:
+        out = []
+        for s, c, m in zip(seqs.to_pylist(), cigars.to_pylist(), tags.to_pylist()):
+            try:
+                out.append(None if s is None or c is None or m is None else _pairs(s, c, m))
+            except (IndexError, ValueError):
+                out.append(None)
+        return pa.array(out, pa.string())
+
+    return walk(seq, cigar, md)
+
+
+def _pairs(seq: str, cigar: str, md: str) -> str:
+    ref: list[str | None] = []  # reference bases of aligned positions; None where they equal the read's
+    for number, letters in re.findall(r"(\d+)|(\^?[A-Za-z]+)", md):
+        if number:
+            ref += [None] * int(number)
+        elif letters[0] != "^":  # deleted bases have no pair
+            ref += letters.upper()
+    out, at, k = [], 0, 0
+    for n, op in ((int(n), op) for n, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar)):
+        if op in "M=X":
+            out += [(r or b.upper()) + b.lower() for r, b in zip(ref[k : k + n], seq[at : at + n], strict=True)]
+            at, k = at + n, k + n
+        elif op in "IS":
+            at += n
+        elif op in "DN" and out:
+            out.append("--")
+    if k != len(ref) or at != len(seq):
+        raise ValueError("sequence, CIGAR and MD tag disagree")
+    return "".join(out)
+
+
+def spliced_methylation(df: DataFrame, nome: bool = False, pairs: str = "pairs") -> DataFrame:
+    """Levels of reads of a spliced aligner, by their strand: read_id, reverse and ``pairs`` -> mch, cov, other_snp, frac.
+
+    Reverse reads count C before A, C or T, others G behind A, T or G. NOMe: a C behind G, or a G before C, doesn't count,
+    and neither does one whose neighbour there isn't known.
+    """
+    ct, ga = ("(?<=[ACTN].)" if nome else "", "(?=[ACT])"), ("(?<=[ATG].)", "(?=[AGTN])" if nome else "")
+
+    def count(c: str, g: str) -> Column:
+        return F.when(F.col("reverse"), F.regexp_count(pairs, F.lit(f"{ct[0]}C{c}{ct[1]}"))).otherwise(F.regexp_count(pairs, F.lit(f"{ga[0]}G{g}{ga[1]}"))).cast("long")
+
+    out = df.select("read_id", count("c", "g").alias("mch"), count("[ct]", "[ga]").alias("cov"), count("[^ct-]", "[^ga-]").alias("other_snp"))
+    return out.withColumn("frac", F.coalesce(F.try_divide("mch", "cov"), F.lit(0.0)))
+
+
+def adapter_cut(seq: Column, adapter: str, overlap: int = 6, errors: float = 0.1) -> Column:
+    """Length to keep before a 3' adapter: up to where the adapter, or a beginning of it of ``overlap`` bases at least that
+    ends the read, begins first, with a share of ``errors`` mismatches at most; the whole length where there is none.
+
+    Every place of the read is compared base by base, in one expression; N in the adapter fits any base.
+    """
+    n = F.length(seq)
+    starts = F.when(n >= overlap, F.sequence(F.lit(0), n - overlap)).otherwise(F.array().cast("array<int>"))
+
+    def wrong(i: Column) -> Column:
+        misses = [F.when((i + k < n) & (F.substring(seq, i + k + 1, F.lit(1)) != b), 1).otherwise(0) for k, b in enumerate(adapter) if b != "N"]
+        return reduce(lambda a, b: a + b, misses)
+
+    fits = F.filter(starts, lambda i: wrong(i) <= F.floor(F.least(n - i, F.lit(len(adapter))) * errors))
+    return F.coalesce(F.array_min(fits), n)
+
+
+def trim_pairs(
+    df: DataFrame, adapters: tuple[str, str] = ("AGATCGGAAGAGCACACGTCTGAAC", "AGATCGGAAGAGCGTCGTGTAGGGA"), quality: int = 20, left: int = 10, right: int = 10, least: int = 30, overlap: int = 6
+) -> DataFrame:
+    """Read pairs trimmed in one step: adapter, then 3' quality, then fixed cuts on both ends, then the length filter, which
+    drops a pair only if both reads are short. df: seq1, qual1, seq2, qual2 (qualities as characters from !)."""
+    out = df
+    for r, adapter in zip("12", adapters):
+        s, q = f"seq{r}", f"qual{r}"
+        out = out.withColumn("__n", adapter_cut(F.col(s), adapter, overlap))
+        out = out.withColumn(s, F.substring(F.col(s), F.lit(1), F.col("__n"))).withColumn(q, F.substring(F.col(q), F.lit(1), F.col("__n")))
+        out = out.withColumn("__n", quality_cut(F.transform(F.filter(F.split(q, ""), lambda c: c != ""), lambda c: F.ascii(c) - 33), quality))
+        out = out.withColumn(s, F.substring(F.col(s), F.lit(1), F.col("__n"))).withColumn(q, F.substring(F.col(q), F.lit(1), F.col("__n")))
+        out = out.withColumn(s, fixed_trim(F.col(s), left, right)).withColumn(q, fixed_trim(F.col(q), left, right))
+    return keep_pairs(out.drop("__n"), least)
+
+
+def contact_read_type(flag: Column, st: Column) -> Column:
+    """1 or 2: by the mate bits of the flag, else by the split tag (F1, S2, ...)."""
+    return F.when(flag.bitwiseAND(64) != 0, 1).when(flag.bitwiseAND(128) != 0, 2).otherwise(F.when(F.substring(st, 2, 1) == "1", 1).otherwise(2))
+
+
 def call_string_level(df: DataFrame, call: str = "xm") -> DataFrame:
     """mC level of bisulfite call strings: X and H methylated, x and h not."""
     mc = count_letters(F.col(call), "XH")
@@ -127,9 +222,13 @@ def parent_level(df: DataFrame, name: str = "read_name") -> DataFrame:
     return out.withColumn("frac", F.floor(100 * F.col("mc") / (F.col("cov") + 0.001)).cast("long"))
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """How many reads have each (mc percentage, coverage)."""
-    return df.groupBy(F.floor(100 * F.col("frac")).cast("long").alias("mc_frac"), F.col("cov")).agg(F.count(F.lit(1)).alias("count"))
+def profile(df: DataFrame, seed: bool = False) -> DataFrame:
+    """How many reads have each (mc percentage, coverage). ``seed``: (50, 50) is there even if no read has it, as DNA profiles
+    are written."""
+    d = df.select(F.floor(100 * F.col("frac")).cast("long").alias("mc_frac"), F.col("cov").cast("long").alias("cov"), F.lit(1).alias("n"))
+    if seed:
+        d = d.unionByName(df.sparkSession.createDataFrame([(50, 50, 0)], "mc_frac long, cov long, n int"))
+    return d.groupBy("mc_frac", "cov").agg(F.sum("n").alias("count"))
 
 
 def split_ends(df: DataFrame, seq: str = "seq", trim: int = 0, left: int = 40, right: int = 40, middle: int = 30) -> DataFrame:

@@ -128,3 +128,61 @@ def durations(jobs: DataFrame, start: str = "start", end: str = "end", code: str
     """Jobs and seconds by return code, from times like 13:05:59-12/31/24."""
     t = {c: F.unix_timestamp(F.to_timestamp(c, "HH:mm:ss-MM/dd/yy")) for c in (start, end)}
     return jobs.groupBy(code).agg(F.count(F.lit(1)).alias("n"), F.min(t[end] - t[start]).alias("least"), F.avg(t[end] - t[start]).alias("mean"), F.max(t[end] - t[start]).alias("most"))
+
+
+def four_m_columns(df: DataFrame, genes: DataFrame | None = None) -> DataFrame:
+    """Contacts and RNA in one library: the columns of both modes; the share of RNA goes by deduplicated reads."""
+    out = m3c_columns(df)
+    if genes is not None:
+        out = out.join(genes, "cell_id", "left")
+    out = out.withColumn("DNAReadsYield", F.try_divide(F.col("FinalDNAReads"), F.col("CellInputReadPairs") * 2)).withColumn("RNAReadsYield", _ratio("FinalRNAReads", "CellInputReadPairs"))
+    return out.withColumn("RNA/(DNA+RNA)", F.coalesce("FinalRNAReads", F.lit(0)) / (F.coalesce("R1DeduppedReads", F.lit(0)) + 1))
+
+
+#: What each mode adds to the statistics of its cells.
+MODES = {"mc": mc_columns, "mct": mct_columns, "m3c": m3c_columns, "4m": four_m_columns}
+
+
+def mapping_summary(mode: str, tables: list[DataFrame], positions: dict[str, Column] | None = None, genes: DataFrame | None = None) -> DataFrame:
+    """The summary of a library: the cells' statistics side by side, plate positions before them, the mode's columns behind.
+
+    ``positions``: columns over cell_id (``position_v1`` or ``position_v2``); if any cell's name is malformed no cell has any.
+    ``genes``: (cell_id, GenesDetected), for the modes with RNA.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {', '.join(MODES)}, got {mode}")
+    out = assemble(tables)
+    if positions is not None:
+        named = positions_or_none(out.select("cell_id"), positions)
+        out = named.join(out, "cell_id")
+    return MODES[mode](out, genes) if genes is not None and mode in ("mct", "4m") else MODES[mode](out)
+
+
+def with_gene_info(counts: DataFrame, genes: DataFrame) -> DataFrame:
+    """Counts summed over files by cell and gene, with the gene's columns."""
+    return counts.groupBy("cell_id", "gene_id").agg(F.sum("n").alias("n")).join(genes, "gene_id", "left")
+
+
+def unique_reads(df: DataFrame, key: str = "cell_id", read: str = "pair_id") -> DataFrame:
+    """Reads of each cell, however many alignments they have. Two aggregates, so that no cell's reads meet in one task."""
+    return df.groupBy(key, read).agg(F.lit(1).alias("one")).groupBy(key).agg(F.count("one").alias("n"))
+
+
+def assign_clusters(df: DataFrame, clusters: DataFrame, key: str = "cell_id") -> DataFrame:
+    """``df`` with the cluster of each row's cell; rows without one go. A cell without a cluster name counts as having none."""
+    return df.join(clusters.where(F.col("cluster").isNotNull()), key)
+
+
+def cluster_counts(df: DataFrame, per: float = 1.0) -> DataFrame:
+    """Rows of each cluster, in units of ``per``."""
+    return df.groupBy("cluster").agg((F.count(F.lit(1)) / F.lit(per)).alias("n"))
+
+
+def report_totals(cells: DataFrame, reads: str, plate: str = "Plate", positions: int = 384) -> DataFrame:
+    """One row: cells, their reads and mean, and how many cells the plates could hold."""
+    return cells.agg(F.count(F.lit(1)).alias("cells"), F.sum(reads).alias("reads"), F.avg(reads).alias("mean_reads"), (F.count_distinct(plate) * positions).alias("capacity"))
+
+
+def unfinished(jobs: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Jobs that have not succeeded yet: (key)."""
+    return jobs.select(key).distinct().join(done.select(key), key, "left_anti")

@@ -17,6 +17,7 @@ from methylspark.operators import reads as R
 from methylspark.operators import sites as S
 from methylspark.operators import summary as Y
 from methylspark.plans.carriers import oracle, view
+from methylspark.sources import formats, reports
 from methylspark.streaming import cells as ST
 
 PATTERNS = {"CHN": "mCH", "CGN": "mCG", "CCC": "mCCC"}
@@ -105,9 +106,11 @@ def f2(spark, d):
     return R.min_mapq(view(spark, d, "v_align"), 10).select("seq", "mapq")
 
 
-@register("f3_strand_flag", oracle("SELECT seq, CASE WHEN yz = '+' THEN flag - (flag & 16) ELSE flag | 16 END AS flag FROM v_align", "v_align"))
+@register("f3_strand_flag", oracle("SELECT seq, CASE WHEN yz = '+' THEN f - (f & m) ELSE f | m END AS flag FROM (SELECT seq, yz, f, CASE WHEN f % 2 = 1 THEN 48 ELSE 16 END AS m FROM (SELECT seq, yz, flag + CAST(seq % 2 AS INT) + CASE WHEN seq % 4 < 2 THEN 32 ELSE 0 END AS f FROM v_align) a) b", "v_align"))
 def f3(spark, d):
-    return view(spark, d, "v_align").select("seq", R.strand_flag(F.col("flag"), F.col("yz")).alias("flag"))
+    """Half the reads are paired, and half have a reverse mate."""
+    v = view(spark, d, "v_align").withColumn("flag", F.col("flag") + (F.col("seq") % 2).cast("int") + F.when(F.col("seq") % 4 < 2, 32).otherwise(0))
+    return v.select("seq", R.strand_flag(F.col("flag"), F.col("yz")).alias("flag"))
 
 
 @register("f4_to_fastq", oracle("SELECT read_id, concat('@', CAST(read_id AS VARCHAR), '_', CAST(read_type AS VARCHAR), chr(10), seq, chr(10), '+', chr(10), repeat('I', length(seq))) AS record FROM v_reads", "v_reads"))
@@ -130,9 +133,34 @@ def f5(spark, d):
     return R.select_reads(R.call_string_level(view(spark, d, "v_calls")), "dna", max_rate=0.5, min_cov=3).groupBy("cell_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("f7_select_rna_reads", oracle(f"WITH {_LEVEL} SELECT cell_id, count(*) AS n FROM lf WHERE frac >= 5.5e-1 AND cov >= 3 GROUP BY cell_id", "v_calls", "v_reads"))
+@register("f7_select_rna_reads", oracle(f"WITH {_LEVEL} SELECT cell_id, count(*) AS n FROM lf WHERE frac >= 4.5e-1 AND cov >= 3 GROUP BY cell_id", "v_calls", "v_reads"))
 def f7(spark, d):
-    return R.select_reads(R.call_string_level(view(spark, d, "v_calls")), "rna", min_rate=0.55, min_cov=3).groupBy("cell_id").agg(F.count(F.lit(1)).alias("n"))
+    return R.select_reads(R.call_string_level(view(spark, d, "v_calls")), "rna", min_rate=0.45, min_cov=3).groupBy("cell_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "r5_spliced_reads",
+    oracle(
+        """WITH b AS (SELECT read_id, cell_id, read_type = 1 AS rev, i, substring(seq, i, 1) AS r, CASE WHEN i % 4 = 0 THEN translate(substring(seq, i, 1), 'CGAT', 'TACG') ELSE substring(seq, i, 1) END AS b,
+        CASE WHEN i <> 65 THEN substring(seq, i - 1, 1) ELSE '' END AS p, CASE WHEN i <> 64 THEN substring(seq, i + 1, 1) ELSE '' END AS n FROM v_reads, range(1, 129) t(i)),
+        c AS (SELECT *, CASE WHEN rev THEN r = 'C' AND n IN ('A','C','T') ELSE r = 'G' AND i > 1 AND p IN ('A','T','G') END AS ch FROM b),
+        g AS (SELECT read_id, cell_id, count(*) FILTER (ch AND b = r) AS mch, count(*) FILTER (ch AND (b = r OR concat(r, b) IN ('CT','GA'))) AS cov, count(*) FILTER (ch AND NOT (b = r OR concat(r, b) IN ('CT','GA'))) AS other_snp FROM c GROUP BY 1, 2)
+        SELECT read_id, mch, cov, other_snp, coalesce(CAST(mch AS DOUBLE) / nullif(cov, 0), 0e0) AS frac FROM g""",
+        "v_reads",
+    ),
+)
+def r5(spark, d):
+    """Reads with MD tags, 3 bases clipped and 10 skipped; they differ from the reference at every fourth base."""
+    v = view(spark, d, "v_reads")
+    changed = F.array_join(F.transform(F.split("seq", ""), lambda b, i: F.when((i + 1) % 4 == 0, F.translate(b, "CGAT", "TACG")).otherwise(b)), "")
+    md = F.concat(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(32)), lambda k: F.concat(F.lit("3"), F.substring("seq", 4 * k, F.lit(1)))), ""), F.lit("0"))
+    v = v.withColumn("pairs", R.pairs_of_alignments(F.concat(F.lit("ACG"), changed), F.lit("3S64M10N64M"), md)).withColumn("reverse", F.col("read_type") == 1)
+    return R.spliced_methylation(v)
+
+
+@register("a1_seeded_profile", oracle(f"WITH {_LEVEL}, p AS (SELECT CAST(floor(100 * frac) AS BIGINT) AS mc_frac, CAST(cov AS BIGINT) AS cov, 1 AS n FROM lf UNION ALL SELECT 50, 50, 0) SELECT mc_frac, cov, CAST(sum(n) AS BIGINT) AS count FROM p GROUP BY ALL", "v_calls", "v_reads"))
+def a1_seeded(spark, d):
+    return R.profile(R.call_string_level(view(spark, d, "v_calls")), seed=True)
 
 
 @register("a1_read_profile", oracle(f"WITH {_LEVEL} SELECT CAST(floor(100 * frac) AS BIGINT) AS mc_frac, CAST(cov AS BIGINT) AS cov, count(*) AS count FROM lf GROUP BY ALL", "v_calls", "v_reads"))
@@ -443,7 +471,7 @@ def c15(spark, d):
 
 @register("a12_unique_reads", oracle("SELECT cell_id, count(DISTINCT pair_id) AS n FROM v_align GROUP BY cell_id", "v_align"))
 def a12(spark, d):
-    return view(spark, d, "v_align").groupBy("cell_id").agg(F.count_distinct("pair_id").alias("n"))
+    return Y.unique_reads(view(spark, d, "v_align"))
 
 
 # Sites
@@ -519,12 +547,12 @@ def a17(spark, d):
 
 @register("s23_region_fetch", oracle("SELECT sample, chrom, pos, mc, cov FROM v_allc WHERE chrom = 'chr1' AND pos >= 1000 AND pos < 5000", "v_allc"))
 def s23(spark, d):
-    return view(spark, d, "v_allc").where("chrom = 'chr1' and pos >= 1000 and pos < 5000").select("sample", "chrom", "pos", "mc", "cov")
+    return formats.in_region(view(spark, d, "v_allc"), "chr1", 1000, 5000).select("sample", "chrom", "pos", "mc", "cov")
 
 
-@register("j11_site_matrix", oracle("SELECT chrom, pos, " + ", ".join(f"CAST(sum(CASE WHEN sample = 's{k}' THEN {c} ELSE 0 END) AS BIGINT) AS s{k}_{c}" for k in range(3) for c in ("mc", "cov")) + " FROM v_allc GROUP BY chrom, pos", "v_allc"))
+@register("j11_site_matrix", oracle("SELECT chrom, pos, " + ", ".join(f"CAST(sum(CASE WHEN sample = 's{k}' THEN {c} ELSE 0 END) AS BIGINT) AS s{k}_{c}" for k in range(6) for c in ("mc", "cov")) + " FROM v_allc GROUP BY chrom, pos", "v_allc"))
 def j11(spark, d):
-    return S.site_matrix(view(spark, d, "v_allc"), ["s0", "s1", "s2"])
+    return S.site_matrix(view(spark, d, "v_allc"), [f"s{k}" for k in range(6)])
 
 
 @register("f12_covered_in_all", oracle("SELECT chrom, pos FROM v_allc GROUP BY chrom, pos HAVING sum(CASE WHEN sample < 's3' THEN cov ELSE 0 END) > 0 AND sum(CASE WHEN sample >= 's3' THEN cov ELSE 0 END) > 0", "v_allc"))
@@ -541,17 +569,36 @@ def w10(spark, d):
 @register(
     "a20_pileup",
     oracle(
-        """SELECT cell_id, 'chr1' AS chrom, (read_id % 50) * 10 + i - 1 AS pos, CASE WHEN read_type = 1 THEN '-' ELSE '+' END AS strand, CAST(sum(CASE WHEN i % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS mc, count(*) AS cov
-        FROM v_reads, range(1, 129) t(i) WHERE substring(seq, i, 1) = CASE WHEN read_type = 1 THEN 'G' ELSE 'C' END GROUP BY ALL""",
+        """WITH b AS (SELECT cell_id, read_id, read_type = 1 AS rev, (read_id % 50) * 10 + i - 1 AS pos, i, substring(seq, i, 1) AS r, concat('NN', seq, 'NN') AS ref FROM v_reads, range(1, 129) t(i) WHERE read_id % 7 <> 0 AND i % 11 <> 0),
+        c AS (SELECT cell_id, pos, rev, CASE WHEN i % 2 = 0 THEN 1 ELSE 0 END AS mc, CASE WHEN rev THEN translate(reverse(substring(ref, i, 3)), 'ACGT', 'TGCA') ELSE substring(ref, i + 2, 3) END AS context FROM b WHERE r = CASE WHEN rev THEN 'G' ELSE 'C' END),
+        g AS (SELECT cell_id, pos, rev, context, sum(mc) AS mc, count(*) AS cov FROM c GROUP BY ALL)
+        SELECT cell_id, 'chr1' AS chrom, pos, CASE WHEN rev THEN '-' ELSE '+' END AS strand, CAST(sum(mc) AS BIGINT) AS mc, CAST(sum(cov) AS BIGINT) AS cov, min_by(context, {'n': -cov, 'c': context}) AS context FROM g GROUP BY cell_id, pos, rev""",
         "v_reads",
     ),
 )
 def a20(spark, d):
-    """Reads over their own sequence as reference; odd bases are converted."""
+    """Reads over their own sequence as reference; odd bases are converted, every eleventh is deleted, and after the second
+    stands an inserted base. One read in seven has a low mapping quality."""
     v = view(spark, d, "v_reads").withColumn("reverse", F.col("read_type") == 1)
-    converted = F.array_join(F.transform(F.split("seq", ""), lambda b, i: F.when((i + 1) % 2 == 0, b).otherwise(F.when(F.col("reverse"), F.translate(b, "G", "A")).otherwise(F.translate(b, "C", "T")))), "")
-    v = v.select("cell_id", F.lit("chr1").alias("chrom"), ((F.col("read_id") % 50) * 10).alias("pos_start"), "reverse", F.col("seq").alias("ref"), converted.alias("seq"))
-    return S.pileup(v, ["cell_id"])
+    read = lambda b, i: F.when((i + 1) % 11 == 0, "-").when((i + 1) % 2 == 0, b).otherwise(F.when(F.col("reverse"), F.translate(b, "G", "A")).otherwise(F.translate(b, "C", "T")))
+    seq = F.array_join(F.transform(F.split("seq", ""), read), "")
+    put = lambda c, x: F.concat(F.substring(c, F.lit(1), F.lit(2)), F.lit(x), F.substring(c, F.lit(3), F.lit(200)))
+    v = v.select("cell_id", F.lit("chr1").alias("chrom"), ((F.col("read_id") % 50) * 10).alias("pos_start"), "reverse", put(F.col("seq"), "-").alias("ref"), put(seq, "T").alias("seq"), F.when(F.col("read_id") % 7 == 0, 3).otherwise(30).alias("mapq"))
+    return S.pileup(v, ["cell_id"], min_mapq=10)
+
+
+@register(
+    "w10_paired_duplicates",
+    oracle(
+        """WITH m AS (SELECT *, CASE WHEN seq % 3 > 0 THEN pos_end // 1000 END AS mate_pos, CASE WHEN seq % 3 > 0 THEN flag & 16 END AS mate_strand FROM v_align),
+        k AS (SELECT *, row_number() OVER (PARTITION BY cell_id, chrom, pos_start, flag & 16, mate_pos, mate_strand ORDER BY ref_len DESC, seq) AS r, max(CASE WHEN mate_pos IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY cell_id, chrom, pos_start, flag & 16) AS pairs FROM m)
+        SELECT cell_id, seq FROM k WHERE r = 1 AND (mate_pos IS NOT NULL OR pairs = 0)""",
+        "v_align",
+    ),
+)
+def w10_paired(spark, d):
+    v = view(spark, d, "v_align").withColumn("strand", F.col("flag").bitwiseAND(16)).withColumn("mate_pos", F.when(F.col("seq") % 3 > 0, F.floor(F.col("pos_end") / 1000))).withColumn("mate_strand", F.when(F.col("seq") % 3 > 0, F.col("strand")))
+    return S.remove_duplicates(v, ["cell_id", "chrom", "pos_start", "strand"], "ref_len", "seq", ["mate_pos", "mate_strand"]).select("cell_id", "seq")
 
 
 # Intervals and regions
@@ -578,9 +625,9 @@ def a13(spark, d):
     return Y.genes_detected(I.count_features(view(spark, d, "v_align").withColumnRenamed("seq", "read_id"), _genes(spark, d)))
 
 
-@register("f10_blacklist", oracle("SELECT a.seq FROM v_align a WHERE NOT EXISTS (SELECT 1 FROM v_gene g WHERE g.gene_id % 5 = 0 AND a.chrom = g.chrom AND a.pos_start < g.g_end AND g.g_start < a.pos_end)", "v_align", "v_gene"))
+@register("f10_blacklist", oracle("SELECT a.seq FROM v_align a WHERE NOT EXISTS (SELECT 1 FROM v_gene g WHERE g.g_end - g.g_start >= 1600 AND a.chrom = g.chrom AND a.pos_start < g.g_end AND g.g_start < a.pos_end)", "v_align", "v_gene"))
 def f10(spark, d):
-    return I.not_overlapping(view(spark, d, "v_align"), _genes(spark, d).where("gene_id % 5 = 0"), ("chrom", "pos_start", "pos_end"), ("g_chrom", "g_start", "g_end"), 2048, "seq").select("seq")
+    return I.not_overlapping(view(spark, d, "v_align"), _genes(spark, d).where("g_end - g_start >= 1600"), ("chrom", "pos_start", "pos_end"), ("g_chrom", "g_start", "g_end"), 2048, "seq").select("seq")
 
 
 _DEPTH = """ev AS (SELECT chrom, cluster, frag_start AS pos, 1 AS s FROM v_frag UNION ALL SELECT chrom, cluster, frag_end, -1 FROM v_frag),
@@ -601,7 +648,7 @@ def k4(spark, d):
 
 @register("a23_fragments_per_cluster", oracle("SELECT cluster, CAST(count(*) AS DOUBLE) / 1e6 AS millions FROM v_frag GROUP BY 1", "v_frag"))
 def a23(spark, d):
-    return view(spark, d, "v_frag").groupBy("cluster").agg((F.count(F.lit(1)) / F.lit(1e6)).alias("millions"))
+    return Y.cluster_counts(view(spark, d, "v_frag"), 1e6).withColumnRenamed("n", "millions")
 
 
 @register("w9_tiles", oracle("SELECT chrom, t.s AS start, least(t.s + 5000, size) AS \"end\" FROM (SELECT chrom, max(g_end) AS size FROM v_gene GROUP BY 1) z, range(0, 100000000, 5000) t(s) WHERE t.s < size", "v_gene"))
@@ -713,27 +760,32 @@ def f13(spark, d):
 @register(
     "j4_summary_assembly",
     oracle(
-        """WITH a AS (SELECT cell_id, count(*) AS n_parts FROM v_align WHERE mapq > 10 GROUP BY 1), b AS (SELECT cell_id, count(*) AS n_reads FROM v_reads WHERE read_id % 3 = 0 GROUP BY 1), c AS (SELECT concat('cell', CAST(cell_no % 12 AS VARCHAR)) AS cell_id, CAST(sum(input_reads) AS BIGINT) AS input FROM v_cell GROUP BY 1)
+        """WITH a AS (SELECT cell_id, count(*) AS n_parts FROM v_align WHERE mapq > 10 GROUP BY 1), b AS (SELECT cell_id, count(*) AS n_reads FROM v_reads GROUP BY 1), c AS (SELECT concat('cell', CAST(cell_no % 12 AS VARCHAR)) AS cell_id, CAST(sum(input_reads) AS BIGINT) AS input FROM v_cell GROUP BY 1)
         SELECT cell_id, n_parts, n_reads, input FROM a FULL JOIN b USING (cell_id) FULL JOIN c USING (cell_id)""",
         "v_align", "v_reads", "v_cell",
     ),
 )
 def j4(spark, d):
     a = view(spark, d, "v_align").where("mapq > 10").groupBy("cell_id").agg(F.count(F.lit(1)).alias("n_parts"))
-    b = view(spark, d, "v_reads").where("read_id % 3 = 0").groupBy("cell_id").agg(F.count(F.lit(1)).alias("n_reads"))
+    b = view(spark, d, "v_reads").groupBy("cell_id").agg(F.count(F.lit(1)).alias("n_reads"))
     c = view(spark, d, "v_cell").groupBy(F.concat(F.lit("cell"), (F.col("cell_no") % 12).cast("string")).alias("cell_id")).agg(F.sum("input_reads").alias("input"))
     return Y.assemble([a, b, c])
 
 
 @register("a21_report_totals", oracle('SELECT count(*) AS cells, CAST(sum(input_reads) AS BIGINT) AS reads, avg(input_reads) AS mean_reads, count(DISTINCT split_part(cell_id,\'-\',1)) * 384 AS capacity FROM v_cell', "v_cell"))
 def a21(spark, d):
-    return _cells(spark, d).agg(F.count(F.lit(1)).alias("cells"), F.sum("input_reads").alias("reads"), F.avg("input_reads").alias("mean_reads"), (F.count_distinct("Plate") * 384).alias("capacity"))
+    return Y.report_totals(_cells(spark, d), "input_reads")
 
 
-@register("a22_job_report", "SELECT event_type AS return_code, count(*) AS n, min(user_id) AS least, max(user_id) AS most, avg(user_id) AS mean FROM events GROUP BY 1")
+@register(
+    "a22_job_report",
+    """SELECT event_type AS return_code, count(*) AS n, min(s) AS least, avg(s) AS mean, max(s) AS most FROM (SELECT event_type, CAST(epoch(date_trunc('second', ts) + to_seconds(user_id * 37 % 100000)) - epoch(date_trunc('second', ts)) AS BIGINT) AS s FROM events) t GROUP BY 1""",
+)
 def a22(spark, d):
-    e = spark.read.parquet(f"{d}/events.parquet")
-    return e.groupBy(F.col("event_type").alias("return_code")).agg(F.count(F.lit(1)).alias("n"), F.min("user_id").alias("least"), F.max("user_id").alias("most"), F.avg("user_id").alias("mean"))
+    """X18 too: begin and end as schedulers write them."""
+    e = spark.read.parquet(f"{d}/events.parquet").select(F.date_trunc("second", F.col("ts").cast("timestamp")).alias("t"), (F.col("user_id") * 37 % 100000).alias("s"), F.col("event_type").alias("return_code"))
+    stamp = lambda t: F.date_format(t, "HH:mm:ss-MM/dd/yy")
+    return Y.durations(e.select("return_code", stamp(F.col("t")).alias("start"), stamp(F.timestamp_seconds(F.unix_timestamp("t") + F.col("s"))).alias("end")))
 
 
 @register("o7_distinct_labels", oracle("SELECT DISTINCT split_part(cell_id,'-',1) AS plate, split_part(cell_id,'-',2) AS grp FROM v_cell", "v_cell"))
@@ -751,7 +803,7 @@ def o8(spark, d):
 @register("o9_not_finished", oracle("SELECT DISTINCT pair_id FROM v_align WHERE pair_id NOT IN (SELECT pair_id FROM v_align WHERE mapq = 60)", "v_align"))
 def o9(spark, d):
     v = view(spark, d, "v_align")
-    return v.select("pair_id").distinct().join(v.where("mapq = 60").select("pair_id"), "pair_id", "left_anti")
+    return Y.unfinished(v, v.where("mapq = 60"), "pair_id")
 
 
 @register("o10_lanes", "SELECT s_suppkey, lane FROM supplier, range(1, 5) t(lane)")
@@ -798,16 +850,19 @@ def f9(spark, d):
     return C.with_enough_contacts(v, counts, least=190).groupBy("cell_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("f16_no_unread_bases", oracle("SELECT sample, count(*) AS n FROM v_allc WHERE context NOT LIKE '%G%' GROUP BY 1", "v_allc"))
+@register("f16_no_unread_bases", oracle("SELECT sample, count(*) AS n FROM (SELECT sample, CASE WHEN cov < 10 THEN concat(context[1:2], 'N') ELSE context END AS context FROM v_allc) t WHERE context NOT LIKE '%N%' GROUP BY 1", "v_allc"))
 def f16(spark, d):
-    return view(spark, d, "v_allc").where(~F.col("context").contains("G")).groupBy("sample").agg(F.count(F.lit(1)).alias("n"))
+    """The last base of thinly covered sites counts as unread."""
+    v = view(spark, d, "v_allc").withColumn("context", F.when(F.col("cov") < 10, F.concat(F.substring("context", 1, 2), F.lit("N"))).otherwise(F.col("context")))
+    return S.read_contexts(v).groupBy("sample").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("j6_reads_by_cluster", oracle("SELECT CAST(k.c AS VARCHAR) AS cluster, count(*) AS n FROM v_align a JOIN (SELECT concat('cell', CAST(i AS VARCHAR)) AS cell_id, i % 3 AS c FROM range(0, 6) t(i)) k ON a.cell_id = k.cell_id GROUP BY 1", "v_align"))
 def j6(spark, d):
     """J7 too: reads of cells without a cluster go."""
     clusters = spark.range(6).select(F.concat(F.lit("cell"), F.col("id").cast("string")).alias("cell_id"), (F.col("id") % 3).cast("string").alias("cluster"))
-    return view(spark, d, "v_align").join(F.broadcast(clusters), "cell_id").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    clusters = clusters.unionByName(spark.createDataFrame([("cell7", None)], "cell_id string, cluster string"))
+    return Y.cluster_counts(Y.assign_clusters(view(spark, d, "v_align"), clusters)).withColumn("n", F.col("n").cast("long"))
 
 
 @register(
@@ -854,10 +909,16 @@ def a10(spark, d):
     return Y.rna_summary(f, v.groupBy("cell_id").agg(F.count_distinct("pair_id").alias("mapped")))
 
 
-@register("x7_positions_or_none", oracle("SELECT cell_id, CAST(NULL AS VARCHAR) AS \"Plate\" FROM (SELECT cell_id FROM v_cell UNION ALL SELECT 'bad') t", "v_cell"))
+@register(
+    "x7_positions_or_none",
+    oracle("SELECT cell_id, 'all' AS \"of\", split_part(cell_id,'-',1) AS \"Plate\", CAST(ascii(split_part(cell_id,'-',4)) - 65 AS BIGINT) AS \"Row384\" FROM v_cell UNION ALL SELECT cell_id, 'one bad', NULL, NULL FROM (SELECT cell_id FROM v_cell UNION ALL SELECT 'bad') t", "v_cell"),
+)
 def x7(spark, d):
-    cells = view(spark, d, "v_cell").select("cell_id").unionByName(spark.createDataFrame([("bad",)], "cell_id string"))
-    return Y.positions_or_none(cells, X.position_v2(F.col("cell_id"))).select("cell_id", "Plate")
+    """With good names only, and with a bad one among them."""
+    cells = view(spark, d, "v_cell").select("cell_id")
+    mixed = cells.unionByName(spark.createDataFrame([("bad",)], "cell_id string"))
+    outs = [Y.positions_or_none(c, X.position_v2(F.col("cell_id"))).select("cell_id", F.lit(n).alias("of"), "Plate", "Row384") for n, c in (("all", cells), ("one bad", mixed))]
+    return outs[0].unionByName(outs[1])
 
 
 @register("o6_union_lanes", "SELECT 1 AS lane, count(*) AS n FROM lineitem WHERE l_linenumber <= 3 UNION ALL SELECT 2, count(*) FROM lineitem WHERE l_linenumber > 3")
@@ -879,4 +940,302 @@ def c17(spark, d):
     return C.embed(C.contact_matrix(view(spark, d, "v_contact"), 50_000, ["cell_id"]), dims=3)
 
 
-del Window
+# Reports, made from the tables line by line and then parsed
+
+
+def _orders_sql(body: str) -> str:
+    return f"SELECT concat('c', CAST(o_orderkey AS VARCHAR)) AS cell_id, {body} FROM (SELECT o_orderkey, o_orderkey % 97 AS a, o_orderkey % 89 AS b, o_custkey % 83 AS c, o_custkey % 79 AS e FROM orders) t"
+
+
+def _numbers(spark, d) -> DataFrame:
+    return spark.read.parquet(f"{d}/orders.parquet").selectExpr("concat('c', CAST(o_orderkey AS STRING)) AS cell_id", "o_orderkey % 97 AS a", "o_orderkey % 89 AS b", "o_custkey % 83 AS c", "o_custkey % 79 AS e")
+
+
+def _as_lines(df: DataFrame, *lines: str) -> DataFrame:
+    return df.select("cell_id", F.posexplode(F.array(*map(F.expr, lines))).alias("nr", "line"))
+
+
+@register(
+    "s11_paired_summary",
+    _orders_sql("""2 * (a + b) + c AS total, 2 * a + 2 * e + b AS "UniqueMappedReads", 2 * b + c AS "MultiMappedReads", a AS "PEUniqueMappedReadPairs", b AS "SEUniqueMappedReads", c AS "ReadsMappedInSE" """).replace("2 * (a + b) + c AS total, ", ""),
+)
+def s11(spark, d):
+    text = _as_lines(
+        _numbers(spark, d), "'HISAT2 summary stats:'", "concat('\tTotal pairs: ', a + b)", "concat('\t\tAligned concordantly 1 time: ', a, ' (1.00%)')", "concat('\t\tAligned concordantly >1 times: ', b, ' (2.00%)')",
+        "concat('\t\tAligned discordantly 1 time: ', e, ' (0.10%)')", "concat('\tTotal unpaired reads: ', c)", "concat('\t\tAligned 1 time: ', b, ' (3.00%)')", "concat('\t\tAligned >1 times: ', c, ' (3.00%)')", "'\tOverall alignment rate: 90.0%'",
+    )
+    return reports.paired_summary(text).select("cell_id", "UniqueMappedReads", "MultiMappedReads", "PEUniqueMappedReadPairs", "SEUniqueMappedReads", "ReadsMappedInSE")
+
+
+@register("s12_single_summary", _orders_sql('a + b + c AS "ReadsMappedInSE", a AS "UniqueMappedReads", b AS "MultiMappedReads"'))
+def s12(spark, d):
+    text = _as_lines(_numbers(spark, d), "'HISAT2 summary stats:'", "concat('\tTotal reads: ', a + b + c)", "concat('\t\tAligned 0 time: ', c, ' (1%)')", "concat('\t\tAligned 1 time: ', a, ' (1%)')", "concat('\t\tAligned >1 times: ', b, ' (1%)')")
+    return reports.single_summary(text).select("cell_id", "ReadsMappedInSE", "UniqueMappedReads", "MultiMappedReads")
+
+
+_PICARD = ("'## htsjdk.samtools.metrics.StringHeader'", "'LIBRARY\tUNPAIRED_READS_EXAMINED\tREAD_PAIRS_EXAMINED\tUNPAIRED_READ_DUPLICATES\tREAD_PAIR_DUPLICATES\tPERCENT_DUPLICATION'",
+           "concat_ws('\t', 'lib', a + c, b + e, c, e, '0.25')", "''", "'## HISTOGRAM\tjava.lang.Double'", "'BIN\tVALUE'", "concat('1.0\t', a)")
+
+
+@register("s13_duplicate_metrics", _orders_sql("""a + 2 * b AS "FinalReads", c + 2 * e AS "DuplicatedReads", CAST(trunc((1 - CAST(a + 2 * b AS DOUBLE) / nullif(a + 2 * b + c + 2 * e, 0)) * 100) AS BIGINT) AS "PCRDuplicationRate" """))
+def s13(spark, d):
+    return reports.duplicate_metrics(_as_lines(_numbers(spark, d), *_PICARD))
+
+
+@register("s14_read_duplicate_metrics", _orders_sql("""'R1' AS read_type, a + c AS "MAPQFilteredReads", c AS "DuplicatedReads", 0.25e0 AS "DuplicationRate", a AS "FinalBismarkReads" """))
+def s14(spark, d):
+    text = _as_lines(_numbers(spark, d), *_PICARD).withColumn("cell_id", F.concat("cell_id", F.lit("-R1")))
+    return reports.read_duplicate_metrics(text)
+
+
+_TRIM = "status\tin_reads\tin_bp\ttoo_short\ttoo_long\ttoo_many_n\tout_reads\tw/adapters\tqualtrim_bp\tout_bp"
+
+
+@register("s15_trim_table", _orders_sql("'out_reads' AS metric, b AS value") + " UNION ALL " + _orders_sql("'in_reads' AS metric, a AS value"))
+def s15(spark, d):
+    return reports.trim_table(_as_lines(_numbers(spark, d), f"'{_TRIM}'", "concat_ws('\t', 'OK', a, a, 0, 0, 0, b, c, e, 9)")).where("metric in ('in_reads', 'out_reads')")
+
+
+@register("s16_trim_stats", _orders_sql("""a + 1 AS "R1InputReads", 150 * a AS "R1InputReadsBP", c AS "R1WithAdapters", e AS "R1QualTrimBP", b AS "R1TrimmedReads", 90 * b AS "R1TrimmedReadsBP", CAST(b AS DOUBLE) / (a + 1) AS "R1TrimmedReadsRate" """))
+def s16(spark, d):
+    text = _as_lines(_numbers(spark, d), f"'{_TRIM}'", "concat_ws('\t', 'OK', a + 1, 150 * a, 0, 0, 0, a + 1, c, 0, 140 * a)", f"'{_TRIM}'", "concat_ws('\t', 'OK', a + 1, 140 * a, 0, 0, 0, b, 0, e, 90 * b)")
+    return reports.by_read_type(reports.trim_stats(text.withColumn("cell_id", F.concat("cell_id", F.lit("-R1")))), ("R1",))
+
+
+_ADAPTERS = ("'=== Summary ==='", "''", "concat('Total reads processed:      1,', lpad(a, 3, '0'))", "'=== Adapter Tn5 ==='", "''", "concat('Sequence: ACGT; Type: regular 3\\'; Length: 4; Trimmed: ', b, ' times')",
+             "'=== Adapter polyA ==='", "''", "concat('Sequence: AAAA; Type: regular 3\\'; Length: 4; Trimmed: ', c, ' times')", f"'{_TRIM}'", "concat_ws('\t', 'OK', 1, 1, 0, 0, 0, b, 0, e, 7)")
+
+
+@register("s17_adapter_stats", _orders_sql("""'R2' AS read_type, 1000 + a AS "InputReads", e AS "QualTrimBP", b AS "TrimmedReads", CAST(7 AS BIGINT) AS "TrimmedReadsBP", CAST(b AS DOUBLE) / (1000 + a) AS "TrimmedReadsRate", b AS "Tn5", c AS "polyA" """))
+def s17(spark, d):
+    total, adapters = reports.adapter_stats(_as_lines(_numbers(spark, d), *_ADAPTERS).withColumn("cell_id", F.concat("cell_id", F.lit("-R2"))))
+    wide = adapters.groupBy("cell_id").agg(*[F.max(F.when(F.col("adapter") == a, F.col("trimmed"))).alias(a) for a in ("Tn5", "polyA")])
+    return total.join(wide, "cell_id")
+
+
+@register("s18_bisulfite_report", _orders_sql("""CAST(a AS VARCHAR) AS "TotalReads", concat(CAST(b AS VARCHAR), '.5%') AS "MappingRate", CAST(c AS VARCHAR) AS "UniqueMappedReads", CAST(e AS VARCHAR) AS "OT", CAST(NULL AS VARCHAR) AS "CTOB" """))
+def s18(spark, d):
+    text = _as_lines(_numbers(spark, d), "concat('Sequences analysed in total:\t', a)", "concat('Number of alignments with a unique best hit from the different alignments:\t', c)", "concat('Mapping efficiency:\t', b, '.5%  ')", "concat('CT/CT:\t', e, '\t((converted) top strand)')", "'x:y:z'")
+    return reports.bisulfite_report(text).select("cell_id", "TotalReads", "MappingRate", "UniqueMappedReads", "OT", "CTOB")
+
+
+@register("s19_feature_summary", _orders_sql("""a AS "Assigned", b + c AS "Unassigned_Total", CAST(trunc(a / (a + b + c + 1e-5) * 100) AS BIGINT) AS "AssignedRNAReadsRate" """))
+def s19(spark, d):
+    return reports.feature_summary(_as_lines(_numbers(spark, d), "'Status\tx.bam'", "concat('Assigned\t', a)", "concat('Unassigned_NoFeatures\t', b)", "concat('Unassigned_Ambiguity\t', c)"))
+
+
+@register("s21_read_profile", _orders_sql("""'DNA' AS mode, CASE WHEN e >= 3 THEN a ELSE 0 END AS "FinalReads", CASE WHEN e >= 3 THEN a ELSE 0 END / (a + b + c + 1e-4) AS "SelectedReadsRatio" """))
+def s21(spark, d):
+    text = _as_lines(_numbers(spark, d), "'#mode=dna'", "'#mc_rate_max_threshold=0.5'", "'#cov_min_threshold=3'", "'mc_frac,cov,count'", "concat_ws(',', 50, e, a)", "concat_ws(',', 51, 9, b)", "concat_ws(',', 10, 2, c)")
+    return reports.read_profile(text)
+
+
+@register(
+    "s10_demultiplex_report",
+    _orders_sql("""'ACGT' AS "Sequence", concat('anchored 5', chr(39)) AS "Type", CAST(4 AS BIGINT) AS "Length", b AS "Trimmed", 1000 + a AS "TotalPair", CAST(b AS DOUBLE) / (1000 + a) AS "Ratio" """),
+)
+def s10(spark, d):
+    return reports.demultiplex_report(_as_lines(_numbers(spark, d), "concat('Total read pairs processed:            1,', lpad(a, 3, '0'))", "concat('Sequence: ACGT; Type: anchored 5\\'; Length: 4; Trimmed: ', b, ' times')"))
+
+
+@register("s27_fixed_width", "SELECT CAST(o_orderkey AS VARCHAR) AS \"JOBID\", o_orderstatus AS \"STATE\", o_orderpriority AS \"TIME\" FROM orders")
+def s27(spark, d):
+    head = "JOBID     STATE  TIME"
+    text = spark.read.parquet(f"{d}/orders.parquet").select(F.concat(F.rpad(F.col("o_orderkey").cast("string"), 10, " "), F.rpad("o_orderstatus", 7, " "), "o_orderpriority").alias("line"))
+    return reports.fixed_width(text, head, ["JOBID", "STATE", "TIME"])
+
+
+# Names, sheets, cells and trimming
+
+
+@register(
+    "s4_cell_fastqs",
+    "SELECT concat('cell', CAST(c_custkey % 50 AS VARCHAR)) AS cell_id, concat('/d/cell', CAST(c_custkey % 50 AS VARCHAR), '-R1.fq.gz') AS \"R1\", CASE WHEN max(c_custkey // 50 % 2) > 0 THEN concat('/d/cell', CAST(c_custkey % 50 AS VARCHAR), '_r2.fastq') END AS \"R2\" FROM customer GROUP BY c_custkey % 50",
+)
+def s4(spark, d):
+    """Names of both kinds, trimmed files and others among them."""
+    cell = F.concat(F.lit("/d/cell"), (F.col("c_custkey") % 50).cast("string"))
+    names = F.array(F.concat(cell, F.lit("-R1.fq.gz")), F.when(F.floor(F.col("c_custkey") / 50) % 2 > 0, F.concat(cell, F.lit("_r2.fastq"))).otherwise(F.concat(cell, F.lit("-R2.trimmed.fq.gz"))), F.concat(cell, F.lit(".bam")))
+    return D.pair_reads(D.cell_fastqs(spark.read.parquet(f"{d}/customer.parquet").select(F.explode(names).alias("path"))))
+
+
+@register(
+    "s2_v1_names",
+    "SELECT c_custkey, CASE WHEN ok THEN concat(a, '-', b, '-', p) END AS uid FROM (SELECT *, a <> b AND regexp_matches(p, '^[A-H]([1-9]|1[0-2])$') AS ok FROM (SELECT c_custkey, concat('P', CAST(c_custkey % 5 AS VARCHAR)) AS a, concat('P', CAST(c_nationkey % 5 AS VARCHAR)) AS b, concat(substring('ABCDEFGHIJ', CAST(c_custkey % 10 + 1 AS INT), 1), CAST(c_custkey % 14 AS VARCHAR)) AS p FROM customer) t) u",
+)
+def s2(spark, d):
+    v = spark.read.parquet(f"{d}/customer.parquet").selectExpr("c_custkey", "concat('/d/x-P', c_custkey % 5, '-P', c_nationkey % 5, '-', substring('ABCDEFGHIJ', CAST(c_custkey % 10 + 1 AS INT), 1), c_custkey % 14, '_S1_L001_R1_001.fastq.gz') AS path")
+    return v.select("c_custkey", D.parse_fastq_name(F.col("path"), "V1")["uid"].alias("uid"))
+
+
+@register(
+    "x5_plate_position_v1",
+    "SELECT c_custkey, concat('X', CAST(c_custkey % 3 AS VARCHAR)) AS \"Plate\", p AS \"PCRIndex\", concat('AD00', CAST(i AS VARCHAR)) AS \"RandomIndex\" FROM (SELECT c_custkey, [1,2,4,6][CAST(c_custkey % 4 + 1 AS INT)] AS i, concat(substring('ABCDEFGH', CAST(c_custkey % 8 + 1 AS INT), 1), CAST(c_custkey % 12 + 1 AS VARCHAR)) AS p FROM customer) t",
+)
+def x5(spark, d):
+    v = spark.read.parquet(f"{d}/customer.parquet").selectExpr("c_custkey", "concat('X', c_custkey % 3, '-Y-', substring('ABCDEFGH', CAST(c_custkey % 8 + 1 AS INT), 1), c_custkey % 12 + 1, '-AD00', element_at(array(1, 2, 4, 6), CAST(c_custkey % 4 + 1 AS INT))) AS cell_id")
+    at = X.position_v1(F.col("cell_id"))
+    return v.select("c_custkey", *[at[n].alias(n) for n in ("Plate", "PCRIndex", "RandomIndex")])
+
+
+_PRIMERS = [(f"{r}{c}", "".join("ACGT"[(n * 7 + k * k) % 4] for k in range(8)), "".join("ACGT"[(n * 5 + k) % 4] for k in range(8))) for n, (r, c) in enumerate((r, c) for r in "ABCDEFGHIJKLMNOP" for c in range(1, 25))]
+
+
+@register(
+    "j3_sample_sheet",
+    f"WITH primers(primer_name, i7, i5) AS (VALUES {', '.join(map(repr, _PRIMERS))}), p AS (SELECT concat('P ', CAST(c_custkey % 100 AS VARCHAR)) AS plate, CAST(c_custkey % 6 + 1 AS VARCHAR) AS g, concat(substring('ABCDEFGHIJKLMNOP', CAST(c_custkey % 16 + 1 AS INT), 1), CAST(c_custkey % 24 + 1 AS VARCHAR)) AS primer_name FROM customer)"
+    " SELECT lane AS \"Lane\", concat('lib-', replace(plate, ' ', '_'), '-', g, '-', primer_name) AS \"Sample_ID\", i7 AS \"index\", translate(reverse(i5), 'ACGT', 'TGCA') AS index2 FROM p JOIN primers USING (primer_name), range(1, 5) t(lane)",
+)
+def j3(spark, d):
+    """T-10 and O10 too: the sheet with reversed i5, once a lane."""
+    v = spark.read.parquet(f"{d}/customer.parquet").selectExpr("concat('P ', c_custkey % 100) AS plate_id", "CAST(c_custkey % 6 + 1 AS STRING) AS multiplex_group", "concat(substring('ABCDEFGHIJKLMNOP', CAST(c_custkey % 16 + 1 AS INT), 1), c_custkey % 24 + 1) AS primer_name", "'lib' AS sample_id_prefix", "'t' AS tube_label", "'e' AS email")
+    primers = spark.createDataFrame(_PRIMERS, "primer_name string, i7 string, i5 string")
+    return D.sample_sheets(v, primers, "V2")["novaseq.V1.5"].select(F.col("Lane").cast("long").alias("Lane"), "Sample_ID", "index", "index2")
+
+
+@register(
+    "j2_demultiplex_by_group",
+    oracle(
+        f"WITH codes(index_name, barcode, g) AS (VALUES {', '.join(repr((n, b, g)) for g in (1, 2) for n, b in _CODES[g::3])}) SELECT read_id, index_name FROM (SELECT *, read_id % 2 + 1 AS g FROM v_reads) r LEFT JOIN codes ON substring(seq, 1, 3) = barcode AND codes.g = r.g", "v_reads",
+    ),
+)
+def j2(spark, d):
+    v = view(spark, d, "v_reads").withColumn("multiplex_group", (F.col("read_id") % 2 + 1).cast("int"))
+    codes = spark.createDataFrame([(n, b, g) for g in (1, 2) for n, b in _CODES[g::3]], "index_name string, barcode string, multiplex_group int")
+    return D.demultiplex(v, codes, 3, by_group=D.barcode_groups(v)).select("read_id", "index_name")
+
+
+@register(
+    "t1_quality_cut",
+    oracle(
+        """WITH q AS (SELECT read_id, i, ascii(substring(md5(CAST(read_id AS VARCHAR)), i, 1)) % 42 AS q FROM v_reads, range(1, 33) t(i)),
+        s AS (SELECT *, sum(q - 20) OVER (PARTITION BY read_id ORDER BY i DESC) AS run FROM q),
+        stop AS (SELECT *, max(CASE WHEN run > 0 THEN i ELSE 0 END) OVER (PARTITION BY read_id) AS last FROM s)
+        SELECT read_id, CAST(coalesce(max_by(i, {'m': -run, 'i': i}) FILTER (i > last AND run < 0) - 1, 32) AS INT) AS n FROM stop GROUP BY 1""",
+        "v_reads",
+    ),
+)
+def t1_quality(spark, d):
+    quals = F.transform(F.filter(F.split(F.md5(F.col("read_id").cast("string")), ""), lambda c: c != ""), lambda c: F.ascii(c) % 42)
+    return view(spark, d, "v_reads").select("read_id", quals.alias("q")).select("read_id", R.quality_cut(F.col("q")).cast("int").alias("n"))
+
+
+@register(
+    "t1_adapter_cut",
+    oracle(
+        """WITH h AS (SELECT read_id, length(seq) AS n, i, list_sum([CASE WHEN i + k <= 128 AND substring(seq, CAST(i + k AS INT), 1) <> substring('ACGTACGT', CAST(k + 1 AS INT), 1) THEN 1 ELSE 0 END for k in range(0, 8)]) AS wrong FROM v_reads, range(1, 125) t(i))
+        SELECT r.read_id, CAST(coalesce(min(i) FILTER (wrong <= floor(least(n - i + 1, 8) * 0.3e0)) - 1, 128) AS INT) AS n FROM v_reads r LEFT JOIN h ON h.read_id = r.read_id GROUP BY 1""",
+        "v_reads",
+    ),
+)
+def t1_adapter(spark, d):
+    return view(spark, d, "v_reads").select("read_id", R.adapter_cut(F.col("seq"), "ACGTACGT", overlap=5, errors=0.3).alias("n"))
+
+
+@register("t1_pair_filter", oracle("SELECT read_id FROM v_reads WHERE read_id % 60 >= 30 OR read_id % 70 >= 30", "v_reads"))
+def t1_pairs(spark, d):
+    v = view(spark, d, "v_reads").select("read_id", F.substring("seq", F.lit(1), (F.col("read_id") % 60).cast("int")).alias("seq1"), F.substring("seq", F.lit(1), (F.col("read_id") % 70).cast("int")).alias("seq2"))
+    return R.keep_pairs(v).select("read_id")
+
+
+@register("x14_read_type", oracle("SELECT seq, CAST(CASE WHEN seq % 3 = 0 THEN read_type WHEN seq % 2 = 0 THEN 1 ELSE 2 END AS INT) AS t FROM v_align", "v_align"))
+def x14(spark, d):
+    v = view(spark, d, "v_align").withColumn("flag", F.when(F.col("seq") % 3 == 0, F.col("flag")).otherwise(0)).withColumn("st", F.when(F.col("seq") % 2 == 0, "S1").otherwise("S2"))
+    return v.select("seq", R.contact_read_type(F.col("flag"), F.col("st")).alias("t"))
+
+
+@register("o2_name_sort", oracle("SELECT CAST(read_id AS VARCHAR) AS read_name, row_number() OVER (ORDER BY CAST(read_id AS VARCHAR)) - 1 AS at FROM v_reads", "v_reads"))
+def o2(spark, d):
+    """The place of a read in the sorted table: the rows before its partition, and its own place there."""
+    v = formats.name_sorted(view(spark, d, "v_reads").select(F.col("read_id").cast("string").alias("read_name")))
+    return v.withColumn("at", F.row_number().over(Window.orderBy("read_name")).cast("long") - 1)
+
+
+@register(
+    "f10_contact_filter",
+    oracle(
+        """WITH far AS (SELECT * FROM v_contact WHERE NOT (chrom1 = chrom2 AND abs(start1 - start2) <= 2500)), clean AS (SELECT * FROM far f WHERE NOT EXISTS (SELECT 1 FROM v_gene g WHERE g.g_end - g.g_start >= 1900 AND ((g.chrom = f.chrom1 AND f.start1 >= g.g_start AND f.start1 < g.g_end) OR (g.chrom = f.chrom2 AND f.start2 >= g.g_start AND f.start2 < g.g_end))))
+        SELECT DISTINCT cell_id, chrom1, start1, chrom2, start2 FROM clean WHERE NOT (chrom1 = 'chr1' AND start1 // 10000 IN (0, 1, 2) AND chrom2 = 'chr2' AND start2 // 10000 IN (3, 4)) AND NOT (chrom1 = 'chr2' AND start1 // 10000 IN (3, 4) AND chrom2 = 'chr1' AND start2 // 10000 IN (0, 1, 2))""",
+        "v_contact", "v_gene", "v_align",
+    ),
+)
+def f10_contacts(spark, d):
+    genes = view(spark, d, "v_gene").where("g_end - g_start >= 1900").select("chrom", F.col("g_start").alias("start"), F.col("g_end").alias("end"))
+    pairs = spark.createDataFrame([("chr1", 0, 30_000, "chr2", 30_000, 50_000)], "chrom1 string, bstart1 long, bend1 long, chrom2 string, bstart2 long, bend2 long")
+    return C.filter_contacts(view(spark, d, "v_contact"), genes, pairs, remove_duplicates=True).select("cell_id", "chrom1", "start1", "chrom2", "start2")
+
+
+@register("a3_all_cells", oracle(f"SELECT c.sample, mCG_mC, cov AS \"GenomeCov\" FROM (SELECT DISTINCT sample FROM v_allc UNION SELECT 's9') c LEFT JOIN (SELECT sample, CAST(sum(mc) AS BIGINT) AS mCG_mC FROM v_allc WHERE regexp_matches(context, '{_regex('CGN')}') AND sample <> 's0' GROUP BY 1) p ON p.sample = c.sample LEFT JOIN (SELECT sample, CAST(count(*) AS DOUBLE) / 1e6 AS cov FROM v_allc GROUP BY 1) g ON g.sample = c.sample", "v_allc"))
+def a3_all(spark, d):
+    v = view(spark, d, "v_allc")
+    stats = S.pattern_stats(v.where("sample <> 's0'"), ["sample"], {"CGN": "mCG"}).select("sample", F.col("mCGmC").alias("mCG_mC"))
+    cells = v.select("sample").unionByName(spark.createDataFrame([("s9",)], "sample string"))
+    return S.all_cells(stats, cells, v.groupBy("sample").agg((F.count(F.lit(1)) / F.lit(1e6)).alias("genome_cov")), "sample")
+
+
+_RNA = """t AS (SELECT cell_id, split_part(cell_id,'-',1) AS plate, split_part(cell_id,'-',3) AS pcr, input_reads AS x, input_reads // 5 AS f, input_reads // 7 AS r FROM v_cell)"""
+
+
+def _rna_tables(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    v, x = view(spark, d, "v_cell"), F.col("input_reads")
+    base = v.select("cell_id", *[c.alias(f"{r}{n}") for r in ("R1", "R2") for n, c in (("InputReads", x), ("TrimmedReads", x), ("UniqueMappedReads", F.floor(x / 2)), ("DeduppedReads", F.floor(x / 4)), ("FinalBismarkReads", F.floor(x / 3)))],
+                    (x % 7).alias("CisShortContact"), (x % 5).alias("CisLongContact"), (x % 3).alias("TransContact"))
+    return base, v.select("cell_id", F.floor(x / 5).alias("FinalDNAReads")), v.select("cell_id", F.floor(x / 7).alias("FinalRNAReads"))
+
+
+@register(
+    "a8_mct_summary",
+    oracle(f"""WITH {_RNA} SELECT cell_id, plate AS "Plate", CAST(x AS DOUBLE) / CAST(sum(x) OVER (PARTITION BY pcr) AS DOUBLE) AS "CellBarcodeRatio", x // 3 * 2 AS "FinalmCReads", CAST(f AS DOUBLE) / nullif(2 * x, 0) AS "DNAReadsYield", CAST(r AS DOUBLE) / nullif(x, 0) AS "RNAReadsYield", CAST(r AS DOUBLE) / (x // 3 + 1) AS share FROM t""", "v_cell"),
+)
+def a8_mct(spark, d):
+    """J4 and J5 too: tables side by side, with plate positions."""
+    out = Y.mapping_summary("mct", list(_rna_tables(spark, d)), X.position_v2(F.col("cell_id")))
+    return out.select("cell_id", "Plate", "CellBarcodeRatio", "FinalmCReads", "DNAReadsYield", "RNAReadsYield", F.col("`RNA/(DNA+RNA)`").alias("share"))
+
+
+@register(
+    "a8_4m_summary",
+    oracle(f"""WITH {_RNA} SELECT cell_id, plate AS "Plate", x // 4 * 2 AS "FinalmCReads", x % 7 + x % 5 + x % 3 AS "TotalContacts", CAST(f AS DOUBLE) / nullif(2 * x, 0) AS "DNAReadsYield", CAST(r AS DOUBLE) / (x // 4 + 1) AS share FROM t""", "v_cell"),
+)
+def a8_4m(spark, d):
+    out = Y.mapping_summary("4m", list(_rna_tables(spark, d)), X.position_v2(F.col("cell_id")))
+    return out.select("cell_id", "Plate", "FinalmCReads", "TotalContacts", "DNAReadsYield", F.col("`RNA/(DNA+RNA)`").alias("share"))
+
+
+@register("a13_gene_info", oracle("SELECT cell_id, gene_id, count(*) AS n, any_value(chrom) AS g_chrom, any_value(len) AS length FROM (SELECT a.cell_id, g.gene_id, g.chrom, g.g_end - g.g_start AS len FROM v_align a JOIN v_gene g ON a.chrom = g.chrom AND a.pos_start >= g.g_start AND a.pos_start < g.g_end) t GROUP BY 1, 2", "v_align", "v_gene"))
+def a13_info(spark, d):
+    g = _genes(spark, d)
+    hits = I.overlap_join(view(spark, d, "v_align").withColumn("at_end", F.col("pos_start") + 1), g, ("chrom", "pos_start", "at_end"), ("g_chrom", "g_start", "g_end"), 2048).select("cell_id", "gene_id", F.lit(1).alias("n"))
+    return Y.with_gene_info(hits, g.select("gene_id", "g_chrom", (F.col("g_end") - F.col("g_start")).alias("length")))
+
+
+@register(
+    "t9_multigroup_regions",
+    oracle(
+        f"""WITH {_FDR}, s AS (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY pos) - 1 AS idx, fdr < 1e-3 AS sig FROM f),
+        g AS (SELECT *, CASE WHEN pos - lag(pos + 1) OVER (PARTITION BY chrom ORDER BY pos) <= 250 THEN 0 ELSE 1 END AS fresh FROM s WHERE sig),
+        i AS (SELECT *, sum(fresh) OVER (PARTITION BY chrom ORDER BY pos) AS island FROM g),
+        b AS (SELECT chrom, min(pos) AS start, max(pos) + 1 AS "end", min(idx) AS idx_start, max(idx) AS idx_end, count(*) AS n_sig FROM i GROUP BY chrom, island),
+        a AS (SELECT b.chrom, b.start, b."end", b.n_sig, b.idx_end - b.idx_start + 1 AS total_dml, sum(s.stat) AS stat FROM b JOIN s ON s.chrom = b.chrom AND s.idx BETWEEN b.idx_start AND b.idx_end GROUP BY ALL)
+        SELECT chrom, start, "end", n_sig, total_dml, round(stat, 9) AS stat, CAST(n_sig AS DOUBLE) / total_dml > 5e-1 AS selected_dmr FROM a""",
+        "v_dml",
+    ),
+)
+def t9(spark, d):
+    return M.call_multigroup_regions(_dml(spark, d).drop("mu1", "mu2", "diff", "diff_se")).select("chrom", "start", "end", "n_sig", "total_dml", F.round("stat", 9).alias("stat"), "selected_dmr")
+
+
+@register("t9_tested_regions", oracle("WITH q AS (SELECT *, row_number() OVER (ORDER BY pval) AS r, count(*) OVER () AS n FROM v_dml), f AS (SELECT *, least(min(pval * n / r) OVER (ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1e0) AS fdr FROM q) SELECT chrom, pos, fdr, fdr < 5e-2 AND pos % 11 >= 5 AS selected_dmr FROM f", "v_dml"))
+def t9_tested(spark, d):
+    v = _dml(spark, d).withColumn("n_cg", F.col("pos") % 11)
+    return M.tested_regions(v).select("chrom", "pos", "fdr", "selected_dmr")
+
+
+@register(
+    "t3_sessions",
+    """WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+    SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM s GROUP BY user_id, k""",
+)
+def t3_sessions(spark, d):
+    out = ST.sessions(spark.read.parquet(f"{d}/events.parquet"))
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})

@@ -126,9 +126,14 @@ def write_sites(df: DataFrame, path: str, partitions: int) -> None:
     df.repartitionByRange(partitions, "chrom", "pos").sortWithinPartitions("chrom", "pos").write.partitionBy("chrom").mode("overwrite").parquet(path)
 
 
-def fetch_region(spark: SparkSession, path: str, chrom: str, start: int, end: int) -> DataFrame:
+def in_region(sites: DataFrame, chrom: str, start: int, end: int) -> DataFrame:
     """Sites with start <= pos < end of one chromosome."""
-    return spark.read.parquet(path).where((F.col("chrom") == chrom) & (F.col("pos") >= start) & (F.col("pos") < end))
+    return sites.where((F.col("chrom") == chrom) & (F.col("pos") >= start) & (F.col("pos") < end))
+
+
+def fetch_region(spark: SparkSession, path: str, chrom: str, start: int, end: int) -> DataFrame:
+    """``in_region`` of a site store: only the chromosome's folder and the row groups around the range are read."""
+    return in_region(spark.read.parquet(path), chrom, start, end)
 
 
 def write_summary(df: DataFrame, path: str) -> None:
@@ -142,3 +147,26 @@ def write_contacts(df: DataFrame, path: str) -> None:
 def split_by_cluster(df: DataFrame, clusters: DataFrame, path: str, key: str = "rg") -> None:
     """Reads of known groups into a folder for each cluster."""
     df.join(clusters, key).write.mode("overwrite").partitionBy("cluster").parquet(path)
+
+
+def allc_paths(spark: SparkSession, path: str) -> DataFrame:
+    """(cell_id, path) of the site tables below a path."""
+    d = spark.read.format("binaryFile").load(path).select("path")
+    return d.select(F.substring_index(F.element_at(F.split("path", "/"), -1), ".", 1).alias("cell_id"), "path")
+
+
+def write_tables(tables: dict[str, DataFrame], path: str) -> None:
+    """Named tables, one folder each below ``path``, as Parquet; None is left out."""
+    for name, df in tables.items():
+        if df is not None:
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def name_sorted(reads: DataFrame, name: str = "read_name") -> DataFrame:
+    """Reads in the order of their names."""
+    return reads.orderBy(name)
+
+
+def coordinate_sorted(df: DataFrame, partitions: int, chrom: str = "chrom", pos: str = "pos") -> DataFrame:
+    """Rows in the order of chromosome and position over all partitions: what a coordinate-sorted file holds."""
+    return df.repartitionByRange(partitions, chrom, pos).sortWithinPartitions(chrom, pos)
