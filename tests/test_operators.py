@@ -334,7 +334,7 @@ def test_bisulfite_and_trim_reports(spark):
 def test_fixed_width(spark):
     head = "JOBID  STATE     TIME"
     got = reports.fixed_width(lines(spark, q=f"{head}\n------ --------- ----\n12     RUNNING   1:00\n13     DONE      2:00"), head, ["JOBID", "STATE", "TIME"]).collect()
-    assert [tuple(r) for r in got] == [("12", "RUNNING", "1:00"), ("13", "DONE", "2:00")]
+    assert sorted(tuple(r) for r in got) == [("12", "RUNNING", "1:00"), ("13", "DONE", "2:00")]
 
 
 def test_configuration():
@@ -419,3 +419,112 @@ def test_both_forms_of_read_methylation_agree(spark, nome):
     one = {r["read_id"]: tuple(r) for r in R.read_methylation_strings(text, nome).collect()}
     two = {r["read_id"]: tuple(r) for r in R.read_methylation(flat, nome).collect()}
     assert one.pop(3) == (3, 0, 0, 0, 0.0) and one == two
+
+
+def test_cell_fastqs(spark, tmp_path):
+    names = ["/d/a-b-R1.fq.gz", "/d/a-b_r2.fastq", "/d/c-R1.fastq", "/d/c-R1.trimmed.fq.gz", "/d/c.bam"]
+    files = D.cell_fastqs(spark.createDataFrame([(n,) for n in names], "path string"))
+    assert [tuple(r) for r in D.pair_reads(files).orderBy("cell_id").collect()] == [("a-b", names[0], names[1]), ("c", names[2], None)]
+    with pytest.raises(ValueError):
+        D.checked_pairs(files)
+    assert D.checked_pairs(files.where("cell_id = 'a-b'")).count() == 1
+    for bad in (files.limit(0), files.unionByName(files.where("read_type = 'R2'"))):
+        with pytest.raises(ValueError):
+            D.checked_pairs(bad)
+    for n in ("x-P1-P2-A1_S1_L001_R1_001.fastq.gz", "x-P1-P2-A1_S1_L001_R2_001.fastq.gz"):
+        (tmp_path / n).write_text("")
+    (tmp_path / "list.txt").write_text(f"{tmp_path}/x-P1-P2-A1_S1_L001_R1_001.fastq.gz\n\n")
+    assert D.fastq_catalog(spark, f"{tmp_path}/*.fastq.gz", "V1").count() == 2
+    assert D.fastq_catalog(spark, f"{tmp_path}/list.txt", "V1").count() == 1
+    with pytest.raises(ValueError):
+        D.fastq_catalog(spark, f"{tmp_path}/*.nothing", "V1")
+
+
+def test_sample_sheets(spark):
+    plates = spark.createDataFrame([(0, "P 1", "lib", "t", "e", "Q1"), (1, "P2", "lib", "t", "e", "Q1"), (2, "P3", "lib", "t", "e", "Q2")], "nr int, plate_id string, sample_id_prefix string, tube_label string, email string, primer_quarter string")
+    primers = spark.createDataFrame([(q, f"{r}{c}", "AACG", "TTGA") for q in ("Q1", "Q2") for r in "ABCDEFGH" for c in range(1, 13)], "primer_quarter string, plate_pos string, i7 string, i5 string")
+    sheets = D.sample_sheets(plates, primers, "V1")
+    assert {k: v.count() for k, v in sheets.items()} == {"miseq": 192, "novaseq.v1": 768, "novaseq.V1.5": 768}
+    assert sheets["miseq"].columns == list(D.SHEET) and sheets["novaseq.V1.5"].first()["index2"] == "TCAA"
+    ids = {r["Sample_ID"] for r in sheets["miseq"].collect()}
+    assert {"lib-P_1-P2-A1", "lib-P3-GHOST_PLATE-H12"} <= ids
+    for bad in (plates.unionByName(plates.where("nr = 0")), plates.withColumn("primer_quarter", F.lit("Q9"))):
+        with pytest.raises(ValueError):
+            D.sample_sheets(bad, primers, "V1")
+
+
+def test_pairs_of_alignments(spark):
+    rows = [("ACGTT", "5M", "2A2"), ("GGACTT", "2S2M3D2M", "1A0^CCC2"), ("ACGT", "2M1I1M", "3"), ("ACGT", "2M5N2M", "4"), ("ACGT", "5M", "4"), (None, "4M", "4"), ("ACGT", "4M", "3")]
+    df = spark.createDataFrame(rows, "seq string, cigar string, md string")
+    got = [r["p"] for r in df.select(R.pairs_of_alignments(F.col("seq"), F.col("cigar"), F.col("md")).alias("p")).collect()]
+    assert got == ["AaCcAgTtTt", "AaAc--TtTt", "AaCcTt", "AaCc--GgTt", None, None, None]
+
+
+def test_spliced_methylation_skips_unknown_neighbours(spark):
+    df = spark.createDataFrame([(1, True, "CcAaGgCcCt"), (2, False, "AgGgTtGaCc"), (3, True, "Cc"), (4, True, "")], "read_id long, reverse boolean, pairs string")
+    plain = {r["read_id"]: tuple(r)[1:4] for r in R.spliced_methylation(df).collect()}
+    assert plain == {1: (2, 2, 0), 2: (1, 2, 0), 3: (0, 0, 0), 4: (0, 0, 0)}
+    nome = {r["read_id"]: tuple(r)[1:4] for r in R.spliced_methylation(df, True).collect()}
+    assert nome == {1: (0, 0, 0), 2: (1, 1, 0), 3: (0, 0, 0), 4: (0, 0, 0)}
+
+
+def test_trim_pairs(spark):
+    body = "TTGACCATTGCA" * 4
+    df = spark.createDataFrame([(body + "AGATCGGAAGAGCACACG", "I" * 66, "A" * 20, "I" * 20), ("AC", "II", "AC", "II"), (body, "I" * 40 + "!" * 8, body + "AGATCG", "I" * 54)], "seq1 string, qual1 string, seq2 string, qual2 string")
+    got = [tuple(r) for r in R.trim_pairs(df, left=5, right=5).collect()]
+    assert [(len(r[0]), len(r[2])) for r in got] == [(38, 10), (30, 38)] and all(len(r[0]) == len(r[1]) and len(r[2]) == len(r[3]) for r in got)
+    assert got[0][0] == body[5:-5]
+
+
+def test_pair_aware_duplicates(spark):
+    rows = [(1, 5, 9, 10), (2, 5, 9, 20), (3, 5, 8, 1), (4, 5, None, 99), (5, 7, None, 1), (6, 7, None, 2)]
+    df = spark.createDataFrame(rows, "id int, pos int, mate int, score int")
+    assert sorted(r["id"] for r in S.remove_duplicates(df, ["pos"], "score", "id", ["mate"]).collect()) == [2, 3, 6]
+
+
+@pytest.mark.parametrize("tile", [4, 1 << 20])
+def test_running_steps_in_tiles(spark, tile):
+    rng = np.random.default_rng(7)
+    rows = [(c, int(p), int(p) + int(n)) for c in "ab" for p, n in zip(np.sort(rng.choice(400, 60, replace=False)), rng.integers(1, 9, 60))]
+    df = spark.createDataFrame(rows, "chrom string, s long, e long")
+    got = {(r["chrom"], r["s"]): r["island"] for r in I.islands(df, ["chrom"], "s", "e", 3, tile).collect()}
+    for c in "ab":
+        far, n = None, 0
+        for _, s, e in (r for r in rows if r[0] == c):
+            n += far is None or s - far > 3
+            far = max(far or e, e)
+            assert got[c, s] == n
+    sites = spark.createDataFrame([(c, s, bool(rng.integers(2)), 0.5, 0.1, 1.0) for c, s, _ in rows], "chrom string, pos long, sig boolean, mu1 double, mu2 double, stat double")
+    known = M.indexed(sites, tile)
+    assert all([r["idx"] for r in known.where(F.col("chrom") == c).orderBy("pos").collect()] == list(range(60)) for c in "ab")
+    out = sorted((r["chrom"], r["start"], r["end"], r["n_sig"], r["total_dml"]) for r in M.regions(known, 6, tile).collect())
+    want = []
+    for c in "ab":
+        here = [(r["pos"], r["sig"]) for r in known.where(F.col("chrom") == c).orderBy("pos").collect()]
+        hits, groups = [p for p, sig in here if sig], []
+        for p in hits:
+            if groups and p - (groups[-1][-1] + 1) <= 6:
+                groups[-1].append(p)
+            else:
+                groups.append([p])
+        want += [(c, g[0], g[-1] + 1, len(g), sum(g[0] <= p <= g[-1] for p, _ in here)) for g in groups]
+    assert out == sorted(want)
+
+
+def test_fdr_over_many_ranges(spark):
+    rng = np.random.default_rng(9)
+    p = np.concatenate([rng.uniform(0, 1, 300), 10.0 ** rng.uniform(-320, 0, 200), np.repeat([0.0, 1e-5, 0.25, 1.0], 5)])
+    got = sorted((r["pval"], r["fdr"]) for r in M.bh_fdr(spark.createDataFrame([(float(x),) for x in p], "pval double"), []).collect())
+    s = np.sort(p)
+    want = np.minimum(np.minimum.accumulate((s * len(s) / np.arange(1, len(s) + 1))[::-1])[::-1], 1)
+    want = np.array([want[np.searchsorted(s, x)] for x in s])
+    assert np.allclose([q for _, q in got], want, rtol=1e-12, atol=0)
+
+
+def test_tables_and_paths(spark, tmp_path):
+    formats.write_tables({"a": spark.range(3), "b": None}, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t" / "a")).count() == 3 and not (tmp_path / "t" / "b").exists()
+    (tmp_path / "x.allc.tsv").write_text("chr1\t5\n")
+    assert formats.allc_paths(spark, str(tmp_path / "*.tsv")).first()["cell_id"] == "x"
+    df = spark.createDataFrame([("c2", 1), ("c1", 9), ("c1", 3)], "chrom string, pos long")
+    assert [tuple(r) for r in formats.coordinate_sorted(df, 2).collect()] == [("c1", 3), ("c1", 9), ("c2", 1)]
