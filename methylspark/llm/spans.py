@@ -1,11 +1,13 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of consecutive sentences is hashed; a run that occurs elsewhere before removes the sentences it covers.
+Every run of consecutive sentences is hashed; a run that occurs elsewhere before removes the sentences it covers. Of a
+passage that begins or ends amid a sentence, what belongs to that sentence stays.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -18,16 +20,16 @@ from methylspark.llm.common import Workspace, table
 
 #: A run is the shortest sequence from a sentence on that has this many sentences and words.
 LEAST_SENTENCES, LEAST_WORDS = 2, 15
-#: A sentence with more words than the first counts as several, of as many words as the second.
-LONG, PART = 30, 15
+#: A sentence with more words than the first is cut behind pairs of words whose hash is 0 modulo the second, and at the
+#: latest after as many words as the first; so the same words are cut alike whatever stands before them.
+LONG, PART = 30, 8
 
 #: Scripts written without spaces (Han, kana, Thai, Lao, Tibetan, Burmese, Khmer): each character counts as a word.
 _ALONE = "\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff\u0e01-\u0e7f\u0e80-\u0eff\u0f40-\u0fbc\u1000-\u109f\u1780-\u17d3"
 _BREAK = re.compile(r"[.!?]*[。！？｡][.!?。！？｡]*\s*|[.!?]+\s+|\n\s*")
-_PART = re.compile(rf"(?:\S+\s*){{{PART}}}")
+_WORD = re.compile(r"\S+")
 _UNSPACED = re.compile(f"[{_ALONE}]")
 _UNIT = re.compile(rf"[{_ALONE}]|[^\s{_ALONE}]+")
-_UNSPACED_PART = re.compile(rf"(?:(?:[{_ALONE}]|[^\s{_ALONE}]++)\s*+){{{PART}}}")
 
 
 def sentences(text: str) -> list[tuple[int, int, int]]:
@@ -44,13 +46,15 @@ def sentences(text: str) -> list[tuple[int, int, int]]:
         count = (lambda a, b: len(_UNIT.findall(text, a, b))) if unspaced else (lambda a, b: len(text[a:b].split()))
         n = count(a, b)
         if n > LONG:
-            at = a
-            for m in (_UNSPACED_PART if unspaced else _PART).finditer(text, a, b):
-                if b - m.end() == 0:
-                    break
-                out.append((at, m.end(), count(at, m.end())))
-                at = m.end()
-            out.append((at, b, count(at, b)))
+            at, words, before = a, 0, ""
+            for m in (_UNIT if unspaced else _WORD).finditer(text, a, b):
+                if words and (words >= LONG or cut_here):
+                    out.append((at, m.start(), words))
+                    at, words = m.start(), 0
+                now, words = m[0].lower(), words + 1
+                cut_here = not zlib.crc32(f"{before} {now}".encode("utf-8", "replace")) % PART
+                before = now
+            out.append((at, b, words))
         elif b > a:
             out.append((a, b, n))
 

@@ -280,6 +280,21 @@ def test_repeats_in_scripts_without_spaces(spark):
     assert [n for _, _, n in spans.sentences("One two. Three e.g.x four.")] == [2, 3]
 
 
+def test_repeats_without_any_mark(spark):
+    """A passage amid long sentences is cut alike wherever it stands."""
+    words = lambda seed, n: " ".join(WORDS[k] + WORDS[j] for k, j in np.random.default_rng(seed).integers(0, 20, (n, 2)))
+    passage = words(1, 120)
+    rows = [(n, f"{words(10 + n, 37 + 11 * n)} {passage} {words(20 + n, 40)}") for n in range(4)]
+    got = {r["doc_id"]: r["text"] for r in spans.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == rows[0][1]
+    for n in range(1, 4):
+        lost = len(rows[n][1].split()) - len(got[n].split())
+        assert 90 <= lost <= 120
+    for text in (passage, "。".join(["日本語の文章です"] * 30), "字" * 500, "a\u3000b " * 100):
+        parts = spans.sentences(text)
+        assert "".join(text[a:b] for a, b, _ in parts) == text and max(n for _, _, n in parts) <= spans.LONG
+
+
 def plain_spans(rows):
     seen, out = set(), {}
     for i, text in sorted(r for r in rows if r[0] is not None):
