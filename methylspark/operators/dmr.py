@@ -48,27 +48,38 @@ def indexed(df: DataFrame, tile: int = TILE) -> DataFrame:
 def regions(df: DataFrame, gap: int = 250, tile: int = TILE) -> DataFrame:
     """Significant sites merged where gaps are ``gap`` at most, with means over all sites from the first to the last one.
 
-    df: chrom, pos, idx, sig, mu1, mu2, stat. A site lies in a region when it is significant, or when the significant
-    sites next to it on both sides are near enough to be merged; a region is known by its first site. Windows stay
-    inside tiles.
+    df: chrom, pos, sig, mu1, mu2, stat. idx_start and idx_end are 0-based positions of sites on their chromosome. Each
+    tile falls into stretches: significant sites that merge there, with what lies between them, and sites outside. The
+    stretches, far fewer than sites, are then merged along the chromosome; no site is shuffled but to its tile.
     """
+    w = Window.partitionBy("chrom", "__tile").orderBy("pos")
+    upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    back = Window.partitionBy("chrom", "__tile").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
     hit = F.when(F.col("sig"), F.col("pos"))
-    d = carried(df.withColumn("__tile", F.floor(F.col("pos") / tile)), ["chrom"], "__tile", {"__left": (hit, "max")}, {"__right": (hit, "min")})
-    up, down = (Window.partitionBy("chrom", "__tile").orderBy(o) for o in (F.asc("pos"), F.desc("pos")))
-    left = F.greatest(F.max(hit).over(up.rowsBetween(Window.unboundedPreceding, -1)), F.col("__left"))
-    right = F.least(F.min(hit).over(down.rowsBetween(Window.unboundedPreceding, -1)), F.col("__right"))
     near = lambda a, b: F.coalesce(b - (a + 1) <= gap, F.lit(False))
-    d = d.withColumns({"__before": left, "__behind": right}).where(F.col("sig") | near(F.col("__before"), F.col("__behind")))
-    first = F.when(F.col("sig") & ~near(F.col("__before"), F.col("pos")), F.col("pos"))
-    d = carried(d.withColumn("__first", first).drop("__left", "__right"), ["chrom"], "__tile", {"__open": (F.col("__first"), "max")})
-    d = d.withColumn("island", F.coalesce(F.max("__first").over(up.rowsBetween(Window.unboundedPreceding, 0)), F.col("__open")))
-    s = F.when(F.col("sig"), F.col("pos"))
-    out = d.groupBy("chrom", "island").agg(
-        F.min(s).alias("start"), (F.max(s) + 1).alias("end"), F.min(F.when(F.col("sig"), F.col("idx"))).alias("idx_start"), F.max(F.when(F.col("sig"), F.col("idx"))).alias("idx_end"),
-        F.count_if("sig").alias("n_sig"), F.avg("mu1").alias("mu1"), F.avg("mu2").alias("mu2"), F.sum("stat").alias("stat"),
+    d = df.withColumn("__tile", F.floor(F.col("pos") / tile)).withColumns({"__left": F.max(hit).over(before), "__right": F.min(hit).over(back)})
+    inside = F.col("sig") | near(F.col("__left"), F.col("__right"))
+    # A stretch is told by the significant site that begins it, or by the last one before it and the next one.
+    begins = F.when(F.col("sig") & ~near(F.col("__left"), F.col("pos")), F.col("pos"))
+    d = d.withColumn("__in", inside).withColumn("__from", F.when(inside, F.max(begins).over(upto)).otherwise(F.col("__left")))
+    s = d.groupBy("chrom", "__tile", "__in", "__from").agg(
+        F.min("pos").alias("at"), F.min(hit).alias("first"), F.max(hit).alias("last"), F.count(F.lit(1)).alias("n"), F.count_if("sig").alias("n_sig"),
+        *[F.sum(c).alias(c) for c in ("mu1", "mu2", "stat")], *[F.count(c).alias(f"n_{c}") for c in ("mu1", "mu2")],
     )
-    out = out.withColumn("total_dml", F.col("idx_end") - F.col("idx_start") + 1)
-    return out.withColumn("sig_ratio", F.col("n_sig") / F.col("total_dml")).withColumn("diff", F.col("mu1") - F.col("mu2")).withColumn("length", F.col("end") - F.col("start")).drop("island")
+    along, down = Window.partitionBy("chrom").orderBy("at"), Window.partitionBy("chrom").orderBy(F.desc("at"))
+    s = s.withColumns({
+        "left": F.max("last").over(along.rowsBetween(Window.unboundedPreceding, -1)), "right": F.min("first").over(down.rowsBetween(Window.unboundedPreceding, -1)),
+        "idx": F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"),
+    })
+    s = s.where(F.col("__in") | near(F.col("left"), F.col("right")))
+    opens = F.when(F.col("__in") & ~near(F.col("left"), F.col("first")), F.col("first"))
+    s = s.withColumn("island", F.max(opens).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    out = s.groupBy("chrom", "island").agg(
+        F.min("first").alias("start"), (F.max("last") + 1).alias("end"), F.min("idx").alias("idx_start"), F.sum("n").alias("total_dml"), F.sum("n_sig").alias("n_sig"),
+        *[F.try_divide(F.sum(c), F.sum(f"n_{c}")).alias(c) for c in ("mu1", "mu2")], F.sum("stat").alias("stat"),
+    )
+    out = out.select("chrom", "start", "end", "idx_start", (F.col("idx_start") + F.col("total_dml") - 1).alias("idx_end"), "n_sig", "mu1", "mu2", "stat", "total_dml")
+    return out.withColumn("sig_ratio", F.col("n_sig") / F.col("total_dml")).withColumn("diff", F.col("mu1") - F.col("mu2")).withColumn("length", F.col("end") - F.col("start"))
 
 
 def select_regions(df: DataFrame, min_cg: int = 1, min_len: int = 1, sig_ratio: float = 0.5, delta: float | None = 0.1) -> DataFrame:
@@ -79,7 +90,7 @@ def select_regions(df: DataFrame, min_cg: int = 1, min_len: int = 1, sig_ratio:
 
 def call_regions(dml: DataFrame, p_threshold: float = 0.001, delta: float = 0.1, min_cg: int = 1, min_len: int = 1, sig_ratio: float = 0.5, gap: int = 250) -> DataFrame:
     """From single-site tests (chrom, pos, mu1, mu2, diff, diff_se, stat, pval) to regions."""
-    d = significant(indexed(bh_fdr(dml, ["chrom"])), p_threshold, delta)
+    d = significant(bh_fdr(dml, ["chrom"]), p_threshold, delta)
     return select_regions(regions(d, gap), min_cg, min_len, sig_ratio, delta)
 
 
@@ -93,7 +104,7 @@ def covered_in_all(sites: DataFrame, group: str, groups: list[str]) -> DataFrame
 def call_multigroup_regions(dml: DataFrame, p_threshold: float = 0.001, min_cg: int = 1, min_len: int = 1, sig_ratio: float = 0.5, gap: int = 250) -> DataFrame:
     """From tests of single sites over several groups (chrom, pos, stat, pval) to regions: the FDR alone decides, and there
     are no group means."""
-    d = indexed(bh_fdr(dml, ["chrom"])).withColumn("sig", F.col("fdr") < p_threshold)
+    d = bh_fdr(dml, ["chrom"]).withColumn("sig", F.col("fdr") < p_threshold)
     none = F.lit(None).cast("double")
     out = regions(d.withColumn("mu1", none).withColumn("mu2", none), gap).drop("mu1", "mu2", "diff")
     return select_regions(out, min_cg, min_len, sig_ratio, None)

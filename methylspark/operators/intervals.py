@@ -64,14 +64,22 @@ def carried(
 
 
 def islands(df: DataFrame, keys: list[str], start: str, end: str, gap: int, tile: int = 1 << 20) -> DataFrame:
-    """Adds ``island``: a new one begins where a row starts more than ``gap`` after all before it ended."""
+    """Adds ``island``: a new one begins where a row starts more than ``gap`` after all before it ended.
+
+    Islands are found inside tiles first; the islands of all tiles, far fewer than rows, are then merged in turn, and each
+    row gets the number that its own one ended up with.
+    """
     inside = Window.partitionBy(*keys, "__tile").orderBy(start, end)
     upto, before = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(Window.unboundedPreceding, -1)
-    d = carried(df.withColumn("__tile", F.floor(F.col(start) / tile)), keys, "__tile", {"__far": (F.col(end), "max")})
-    far = F.greatest(F.max(end).over(before), F.col("__far"))
-    d = d.withColumn("__new", F.when(far.isNull() | (F.col(start) - far > gap), 1).otherwise(0))
-    d = carried(d, keys, "__tile", {"__n": (F.col("__new"), "sum")})
-    return d.withColumn("island", (F.coalesce("__n", F.lit(0)) + F.sum("__new").over(upto)).cast("long")).drop("__new", "__far", "__n", "__tile")
+    far = F.max(end).over(before)
+    d = df.withColumn("__tile", F.floor(F.col(start) / tile)).withColumn("__new", F.when(far.isNull() | (F.col(start) - far > gap), 1).otherwise(0))
+    d = d.withColumn("__own", F.sum("__new").over(upto)).drop("__new")
+    own = d.groupBy(*keys, "__tile", "__own").agg(F.min(start).alias("__a"), F.max(end).alias("__b"))
+    w = Window.partitionBy(*keys).orderBy("__a", "__tile", "__own")
+    far = F.max("__b").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    own = own.withColumn("__new", F.when(far.isNull() | (F.col("__a") - far > gap), 1).otherwise(0))
+    own = own.select(*keys, "__tile", "__own", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long").alias("island"))
+    return d.join(own, [*keys, "__tile", "__own"]).drop("__tile", "__own")
 
 
 def coverage(df: DataFrame, keys: list[str], start: str, end: str, tile: int = 1 << 20) -> DataFrame:
