@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from methylspark.operators.intervals import outside
+from methylspark.operators.reads import qname_fields
 
 KINDS = ("cis", "ciscut", "cis_multi", "ciscut_multi", "trans", "transcut", "trans_multi", "transcut_multi", "chimeric", "no")
 #: Of several types between two groups the first of these counts; a chimeric relation is no contact.
@@ -32,6 +33,18 @@ def best_parts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(kept, [*keys, "seq"], "left_semi")
 
 
+def remove_overlapping_parts(df: DataFrame, keys: list[str], illumina: bool = True) -> DataFrame:
+    """From alignments of split reads to the parts that stay: names are taken apart into read_name, st, ss and se, of
+    overlapping parts of a read the best stay, and the mate bits of the flags go. df: keys, seq, qname, flag, qlen, ref_len, as_score."""
+    d = qname_fields(df.drop("ss", "se", "st", "read_name"), illumina=illumina)
+    kept = best_parts(d, [*keys, "read_name", "st"])
+    return kept.withColumn("flag", F.col("flag") - F.col("flag").bitwiseAND(64 | 128))
+
+
+def sorted_contacts(df: DataFrame) -> DataFrame:
+    return df.orderBy("chrom1", "chrom2", "start1", "start2", "end1", "end2")
+
+
 _END = ("chrom", "pos_start", "pos_end", "strand", "ss", "se", "read_type")
 
 

@@ -41,8 +41,9 @@ def to_fastq(name: Column, read_type: Column, seq: Column, qual: Column) -> Colu
 
 
 def conversion(yz: Column, is_read1: Column) -> Column:
-    """GA or CT: by tag, else by which read of the pair it is."""
-    return F.when(yz == "-", "GA").when(yz == "+", "CT").when(yz.isNull() & is_read1, "GA").when(yz.isNull(), "CT")
+    """GA or CT: by tag, else by which read of the pair it is. A tag of another value raises."""
+    unknown = F.raise_error(F.concat(F.lit("unknown conversion tag "), yz))
+    return F.when(yz == "-", "GA").when(yz == "+", "CT").when(yz.isNull() & is_read1, "GA").when(yz.isNull(), "CT").otherwise(unknown)
 
 
 def base_context(ref: Column, before: Column, after: Column, conv: Column, nome: bool = False) -> Column:

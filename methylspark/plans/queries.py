@@ -177,32 +177,55 @@ def r6(spark, d):
     return R.parent_level(R.call_string_level(view(spark, d, "v_calls")).withColumn("read_name", name))
 
 
-_PAIRS = """WITH pairs AS (SELECT read_id, CASE WHEN read_type = 1 THEN 'GA' ELSE 'CT' END AS conv, i AS ref_pos, substring(seq, i, 1) AS ref,
+_PAIRS = """WITH pairs AS (SELECT read_id, CASE WHEN read_id % 3 = 0 THEN 'GA' WHEN read_id % 3 = 1 THEN 'CT' WHEN read_type = 1 THEN 'GA' ELSE 'CT' END AS conv, i AS ref_pos, substring(seq, i, 1) AS ref,
  CASE WHEN i % 3 = 0 THEN translate(substring(seq, i, 1), 'CG', 'TA') ELSE substring(seq, i, 1) END AS base FROM v_reads, range(1, 129) t(i) WHERE i % 7 <> 0)"""
 
 
-@register(
-    "r3_read_methylation",
-    oracle(
+def _levels_sql(ga: str, ct: str) -> str:
+    return (
         _PAIRS
-        + """, near AS (SELECT *, CASE WHEN lag(ref_pos) OVER w = ref_pos - 1 THEN lag(ref) OVER w END AS b, CASE WHEN lead(ref_pos) OVER w = ref_pos + 1 THEN lead(ref) OVER w END AS a FROM pairs WINDOW w AS (PARTITION BY read_id ORDER BY ref_pos)),
- c AS (SELECT *, coalesce(CASE WHEN conv = 'GA' THEN ref = 'G' AND b IN ('G','A','T') ELSE ref = 'C' AND a IN ('C','T','A') END, false) AS ch, concat(ref, base) AS two FROM near),
+        + f""", near AS (SELECT *, CASE WHEN lag(ref_pos) OVER w = ref_pos - 1 THEN lag(ref) OVER w END AS b, CASE WHEN lead(ref_pos) OVER w = ref_pos + 1 THEN lead(ref) OVER w END AS a FROM pairs WINDOW w AS (PARTITION BY read_id ORDER BY ref_pos)),
+ c AS (SELECT *, coalesce(CASE WHEN conv = 'GA' THEN ref = 'G' AND b IN ('G','A','T'){ga} ELSE ref = 'C' AND a IN ('C','T','A'){ct} END, false) AS ch, concat(ref, base) AS two FROM near),
  g AS (SELECT read_id, count(*) FILTER (ch AND two IN ('CC','GG')) AS mch, count(*) FILTER (ch AND two IN ('CC','GG','CT','GA')) AS cov, count(*) FILTER (ch AND two NOT IN ('CC','GG','CT','GA')) AS other_snp FROM c GROUP BY read_id)
- SELECT *, coalesce(CAST(mch AS DOUBLE) / nullif(cov, 0), 0e0) AS frac FROM g""",
-        "v_reads",
-    ),
-)
-def r3(spark, d):
-    """Per-base levels on reads with every seventh base missing from the alignment and every third converted."""
+ SELECT *, coalesce(CAST(mch AS DOUBLE) / nullif(cov, 0), 0e0) AS frac FROM g"""
+    )
+
+
+def _aligned(spark, d) -> DataFrame:
+    """Reads with every seventh base missing from the alignment and every third converted; two in three have a tag."""
     v = view(spark, d, "v_reads")
     pairs = F.col("seq")
     for b in "ACGT":
         pairs = F.replace(pairs, F.lit(b), F.lit(b + b.lower()))
     for a, b in ("Ct", "Ga"):  # \\G: from where the last match ended, so thirds are counted from the read's beginning
         pairs = F.regexp_replace(pairs, rf"\G((?:.{{6}})*?.{{4}}{a}){a.lower()}", f"$1{b}")
-    v = v.withColumn("pairs", F.regexp_replace(pairs, "(.{12})..", "$1--"))
-    conv = R.conversion(F.lit(None).cast("string"), F.col("read_type") == 1)
-    return R.read_methylation_strings(v.select("read_id", "pairs", conv.alias("conv")))
+    tag = F.when(F.col("read_id") % 3 == 0, "-").when(F.col("read_id") % 3 == 1, "+")
+    return v.select("read_id", F.regexp_replace(pairs, "(.{12})..", "$1--").alias("pairs"), R.conversion(tag, F.col("read_type") == 1).alias("conv"))
+
+
+@register("r3_read_methylation", oracle(_levels_sql("", ""), "v_reads"))
+def r3(spark, d):
+    """R1 and R2 too: conversion by tag or by read, contexts by neighbours."""
+    return R.read_methylation_strings(_aligned(spark, d))
+
+
+@register("r3_nome_methylation", oracle(_levels_sql(" AND coalesce(a, '') <> 'G'", " AND coalesce(b, '') <> 'G'"), "v_reads"))
+def r3_nome(spark, d):
+    return R.read_methylation_strings(_aligned(spark, d), nome=True)
+
+
+@register(
+    "r4_nome_call_strings",
+    oracle(
+        """WITH c AS (SELECT c.read_id, i, substring(xm, i, 1) AS x, CASE WHEN r.read_type = 1 THEN substring(seq, i + 1, 1) = 'C' ELSE i = 1 OR substring(seq, i - 1, 1) = 'G' END AS gpc FROM v_calls c JOIN v_reads r ON r.read_id = c.read_id, range(1, 129) t(i))
+        SELECT read_id, count(*) FILTER (NOT gpc AND x IN ('X','H')) AS mc, count(*) FILTER (NOT gpc AND x IN ('X','H','x','h')) AS cov FROM c GROUP BY 1""",
+        "v_calls", "v_reads",
+    ),
+)
+def r4_nome(spark, d):
+    v = view(spark, d, "v_reads").withColumn("xm", F.translate("seq", "ACGT", "hXZx"))
+    level = R.call_string_level_nome(F.col("xm"), F.col("seq"), F.col("read_type") == 1)
+    return v.select("read_id", level.alias("x")).select("read_id", "x.mc", "x.cov")
 
 
 @register(
@@ -314,6 +337,30 @@ def c2(spark, d):
     return C.best_parts(view(spark, d, "v_align"), ["pair_id", "read_type"]).select("pair_id", "read_type", "seq")
 
 
+@register(
+    "c1_remove_overlaps",
+    oracle(
+        """WITH RECURSIVE ranked AS (SELECT pair_id, read_type, seq, flag, ss, se, row_number() OVER (PARTITION BY pair_id, read_type ORDER BY ref_len + as_score DESC, seq DESC) AS r FROM v_align),
+        fold AS (SELECT pair_id, read_type, CAST(1 AS BIGINT) AS r, [{'seq': seq, 'ss': ss, 'se': se}] AS kept FROM ranked WHERE r = 1
+        UNION ALL SELECT f.pair_id, f.read_type, k.r, CASE WHEN len(list_filter(f.kept, lambda q: NOT (k.ss >= q.se OR k.se <= q.ss))) > 0 THEN f.kept ELSE list_append(f.kept, {'seq': k.seq, 'ss': k.ss, 'se': k.se}) END
+        FROM fold f JOIN ranked k ON k.pair_id = f.pair_id AND k.read_type = f.read_type AND k.r = f.r + 1),
+        last AS (SELECT pair_id, read_type, max_by(kept, r) AS kept FROM fold GROUP BY 1, 2), stay AS (SELECT unnest(kept).seq AS seq FROM last)
+        SELECT a.seq, concat('r', CAST(pair_id AS VARCHAR)) AS read_name, concat('S', CAST(read_type AS VARCHAR)) AS st, a.ss, a.se, CAST(flag - (flag & 192) AS INT) AS flag FROM v_align a JOIN stay s ON s.seq = a.seq""",
+        "v_align",
+    ),
+)
+def c1(spark, d):
+    """X12 and C2 too, from names as an aligner of split reads gives them."""
+    v = view(spark, d, "v_align").withColumn("qname", F.concat(F.lit("r"), F.col("pair_id").cast("string"), F.lit("_"), F.concat_ws(":", "read_type", "ss", "se"))).withColumn("qlen", F.col("ref_len"))
+    return C.remove_overlapping_parts(v, ["cell_id"]).select("seq", "read_name", "st", "ss", "se", F.col("flag").cast("int").alias("flag"))
+
+
+@register("t3_sliding_counts", "SELECT to_timestamp(epoch(time_bucket(INTERVAL 1 HOUR, ts)) - k * 3600)::TIMESTAMP AS start, event_type, count(*) AS n FROM events, range(0, 3) t(k) GROUP BY 1, 2")
+def t3_sliding(spark, d):
+    out = ST.windowed_counts(spark.read.parquet(f"{d}/events.parquet"), size="3 hours", slide="1 hour")
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
 def _parts(spark, d) -> DataFrame:
     return view(spark, d, "v_align").withColumn("strand", F.lit(0))
 

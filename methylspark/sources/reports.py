@@ -320,21 +320,73 @@ def mapping_config(ini: list[str], overrides: list[dict] = ()) -> dict[str, str]
     return out
 
 
-#: Defaults of a mapping run, with their types.
+def find_config(folder: str = ".") -> dict[str, str]:
+    """Settings of the run in ``folder``: of YAML files named mapping_config or config, there or one folder up, the last found in
+    the order config, config above, mapping_config, mapping_config above counts; without any, INI files in the same way;
+    without those, none."""
+    from pathlib import Path
+
+    places = [Path(d) / name for name in ("config", "mapping_config") for d in (folder, f"{folder}/..")]
+    yaml = [p for place in places for end in (".yaml", ".yml") if (p := place.with_name(place.name + end)).exists()]
+    ini = [p for place in places if (p := place.with_name(place.name + ".ini")).exists()]
+    if yaml:
+        return flat_yaml(yaml[-1].read_text())
+    return flat_ini(ini[-1].read_text()) if ini else {}
+
+
+def flat_yaml(text: str) -> dict[str, str]:
+    """``key: value`` lines, at any depth; quotes and comments go."""
+    out: dict[str, str] = {}
+    for raw in text.splitlines():
+        key, sep, value = raw.partition(":")
+        value = value.strip()
+        value = value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in "'\"" else value.split(" #")[0].strip()
+        if sep and key.strip() and not key.lstrip().startswith(("#", "-")) and value:
+            out[key.strip()] = value
+    return out
+
+
+REQUIRED = object()
+_ADAPTERS = {"r1_adapter": "AGATCGGAAGAGCACACGTCTGAAC", "r2_adapter": "AGATCGGAAGAGCGTCGTGTAGGGA"}
+#: Defaults of a mapping run, with their types; REQUIRED ones have none.
 DEFAULTS: dict[str, dict[str, object]] = {
-    "mc": {"total_read_pairs_min": 1, "total_read_pairs_max": 6_000_000, "mapq_threshold": 10, "quality_threshold": 20, "length_threshold": 30, "overlap": 6, "num_upstr_bases": 0},
-    "mct": {"mc_rate_max_threshold": 0.5, "mc_rate_min_threshold": 0.9, "dna_cov_min_threshold": 3, "rna_cov_min_threshold": 3},
+    "mc": {
+        "overlap": 6, "r1_left_cut": 10, "r1_right_cut": 10, "r2_left_cut": 10, "r2_right_cut": 10, "quality_threshold": 20, "length_threshold": 30, "total_read_pairs_min": 1, "total_read_pairs_max": 6_000_000,
+        "mapq_threshold": 10, "num_upstr_bases": 0, "num_downstr_bases": 2, "compress_level": 5, "unmapped_fastq": False, "mc_stat_feature": "CHN CGN CCC", "mc_stat_alias": "mCH mCG mCCC",
+        "barcode_version": REQUIRED, "bismark_reference": REQUIRED, "hisat3n_dna_reference": REQUIRED, "hisat3n_repeat_index_type": "no-repeat", "reference_fasta": REQUIRED, "chrom_size_path": REQUIRED, **_ADAPTERS,
+    },
+    "mct": {
+        "mc_rate_max_threshold": 0.5, "mc_rate_min_threshold": 0.9, "dna_cov_min_threshold": 3, "rna_cov_min_threshold": 3, "hisat3n_rna_reference": REQUIRED, "star_reference": REQUIRED, "gtf_path": REQUIRED,
+        "feature_type": "gene", "id_type": "gene_id", "nome_flag_str": "",
+    },
     "m3c": {"split_left_size": 40, "split_right_size": 40, "split_middle_min_size": 30, "trim_on_both_end": 5, "min_gap": 2500},
-}
+    "4m": {"nome_flag_str": "--nome"},
+}
+#: Settings of one aligner; those of the other aren't required.
+_GENERAL, _SPLICED = ("hisat3n_dna_reference", "hisat3n_rna_reference", "hisat3n_repeat_index_type"), ("bismark_reference", "star_reference")
 
 
-def typed_config(mode: str, given: dict[str, str]) -> dict[str, object]:
-    """Defaults of a mode with the given values in their types; unknown modes and values that don't fit raise."""
-    parts = {"mc": ("mc",), "mct": ("mc", "mct"), "m3c": ("mc", "m3c"), "4m": ("mc", "mct", "m3c")}
+def typed_config(mode: str, given: dict[str, str], strict: bool = False) -> dict[str, object]:
+    """Defaults of a mode with the given values in their types; unknown modes and values that don't fit raise. ``strict``: so
+    do settings without a default that aren't given, but for those of the aligner that isn't used."""
+    parts = {"mc": ("mc",), "mct": ("mc", "mct"), "m3c": ("mc", "m3c"), "4m": ("mc", "mct", "m3c", "4m")}
     if mode not in parts:
         raise ValueError(f"mode must be one of {', '.join(parts)}, got {mode}")
     out: dict[str, object] = {k: v for p in parts[mode] for k, v in DEFAULTS[p].items()}
-    return out | {k: type(out[k])(v) if k in out else v for k, v in given.items()}
+    for k in _SPLICED if "hisat3n_dna_reference" in given else _GENERAL:
+        out.pop(k, None)
+
+    def typed(k: str, v: str) -> object:
+        default = out.get(k, REQUIRED)
+        if isinstance(default, bool):
+            return str(v).strip().lower() in ("true", "1", "yes")
+        return v if default is REQUIRED else type(default)(v)
+
+    out |= {k: typed(k, v) for k, v in given.items()}
+    missing = sorted(k for k, v in out.items() if v is REQUIRED)
+    if strict and missing:
+        raise ValueError(f"missing {', '.join(missing)}")
+    return {k: v for k, v in out.items() if v is not REQUIRED}
 
 
 def sample_sheet_text(header: str, rows: list[dict[str, str]]) -> str:

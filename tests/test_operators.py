@@ -337,11 +337,24 @@ def test_fixed_width(spark):
     assert sorted(tuple(r) for r in got) == [("12", "RUNNING", "1:00"), ("13", "DONE", "2:00")]
 
 
-def test_configuration():
+def test_configuration(tmp_path):
     assert reports.mapping_config(["[a]\nx=1\n", "[b]\nx=2\n"], [{"y": 3}]) == {"x": "2", "y": "3"}
     assert reports.typed_config("m3c", {"min_gap": "100"})["min_gap"] == 100
     with pytest.raises(ValueError):
         reports.typed_config("nope", {})
+    full = {"barcode_version": "V2", "hisat3n_dna_reference": "/g", "hisat3n_rna_reference": "/r", "reference_fasta": "/f", "chrom_size_path": "/c", "gtf_path": "/t", "unmapped_fastq": "true"}
+    four = reports.typed_config("4m", full, strict=True)
+    assert (four["nome_flag_str"], four["unmapped_fastq"], four["min_gap"]) == ("--nome", True, 2500) and "star_reference" not in four
+    with pytest.raises(ValueError):
+        reports.typed_config("4m", full | {"mapq_threshold": "x"})
+    with pytest.raises(ValueError):
+        reports.typed_config("mc", {}, strict=True)
+    (tmp_path / "run").mkdir()
+    assert reports.find_config(str(tmp_path / "run")) == {}
+    (tmp_path / "config.ini").write_text("[a]\nx=1\n")
+    assert reports.find_config(str(tmp_path / "run")) == {"x": "1"}
+    (tmp_path / "run" / "mapping_config.yml").write_text("# c\nx: '2' \nhardware:\n  y: 3 # more\n")
+    assert reports.find_config(str(tmp_path / "run")) == {"x": "2", "y": "3"}
     assert reports.sample_sheet_text("[Data]", [{"Lane": "1", "Sample_ID": "a"}]) == "[Data]\nLane,Sample_ID\n1,a\n"
 
 
@@ -468,6 +481,12 @@ def test_spliced_methylation_skips_unknown_neighbours(spark):
     assert nome == {1: (0, 0, 0), 2: (1, 1, 0), 3: (0, 0, 0), 4: (0, 0, 0)}
 
 
+def test_unknown_conversion_tag_raises(spark):
+    assert one(spark, R.conversion(F.col("t"), F.lit(True)), t="+") == "CT"
+    with pytest.raises(Exception, match="unknown conversion tag"):
+        one(spark, R.conversion(F.col("t"), F.lit(True)), t="x")
+
+
 def test_trim_pairs(spark):
     body = "TTGACCATTGCA" * 4
     df = spark.createDataFrame([(body + "AGATCGGAAGAGCACACG", "I" * 66, "A" * 20, "I" * 20), ("AC", "II", "AC", "II"), (body, "I" * 40 + "!" * 8, body + "AGATCG", "I" * 54)], "seq1 string, qual1 string, seq2 string, qual2 string")
