@@ -375,6 +375,41 @@ def impute(matrix: DataFrame, bins: int, pad: int = 1, restart: float = 0.5, tol
     return blocks.groupBy("cell_id", "chrom", "lo").applyInPandas(walk, "cell_id string, chrom string, bin1 long, bin2 long, value double")
 
 
+def cpg_ratio(sequence: DataFrame) -> DataFrame:
+    """Share of CpG pairs among the bases of each bin: (chrom, bin, cpg) from (chrom, bin, seq); bins without bases go."""
+    n = F.length("seq")
+    return sequence.where(n > 0).select("chrom", "bin", (F.regexp_count(F.upper("seq"), F.lit("CG")) / n).alias("cpg"))
+
+
+def compartments(matrix: DataFrame, cpg: DataFrame) -> DataFrame:
+    """(cell_id, chrom, bin, score): the mean CpG ratio of the bins that a bin has contacts with, each contact weighing as
+    much as it exceeds the mean of its distance; bins of one kind meet each other. Stands in for an external tool.
+
+    matrix: cell_id, chrom, bin1 <= bin2, n. Distances have a row each and are joined, no matrix is dense.
+    """
+    d = matrix.withColumn("d", F.col("bin2") - F.col("bin1")).where("d > 0")
+    mean = d.groupBy("cell_id", "chrom", "d").agg(F.avg("n").alias("mean"))
+    d = d.join(mean, ["cell_id", "chrom", "d"]).withColumn("w", F.col("n") / F.col("mean"))
+    ends = F.inline(F.array(F.struct(F.col("bin1").alias("bin"), F.col("bin2").alias("other")), F.struct(F.col("bin2").alias("bin"), F.col("bin1").alias("other"))))
+    d = d.select("cell_id", "chrom", "w", ends).join(cpg.select("chrom", F.col("bin").alias("other"), "cpg"), ["chrom", "other"])
+    return d.groupBy("cell_id", "chrom", "bin").agg((F.sum(F.col("w") * F.col("cpg")) / F.sum("w")).alias("score"))
+
+
+def insulation(matrix: DataFrame, window: int = 10) -> DataFrame:
+    """(cell_id, chrom, bin, score): contacts between the ``window`` bins before a bin and the ``window`` from it on, over their
+    number of pairs. A contact counts for the bins that it spans, of which there are fewer than ``window`` on either side."""
+    low, high = F.greatest(F.col("bin1") + 1, F.col("bin2") - window + 1), F.least(F.col("bin2"), F.col("bin1") + window)
+    d = matrix.where(low <= high).withColumn("bin", F.explode(F.sequence(low, high)))
+    return d.groupBy("cell_id", "chrom", "bin").agg((F.sum("n") / F.lit(float(window * window))).alias("score"))
+
+
+def domain_boundaries(scores: DataFrame) -> DataFrame:
+    """Bins whose insulation score is lower than that of both bins beside them; a bin without contacts across it scores 0."""
+    near = scores.select("cell_id", "chrom", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin"), F.col("bin").alias("of"), "score")
+    by = near.groupBy("cell_id", "chrom", "bin").agg(*[F.coalesce(F.sum(F.when(F.col("of") == F.col("bin") + k, F.col("score"))), F.lit(0.0)).alias(n) for n, k in (("left", -1), ("score", 0), ("right", 1))])
+    return by.where((F.col("score") < F.col("left")) & (F.col("score") < F.col("right"))).select("cell_id", "chrom", "bin", "score")
+
+
 def embed(matrix: DataFrame, dims: int = 10, rounds: int = 100, tol: float = 1e-8) -> DataFrame:
     """(cell_id, embedding): cells along the principal components of log1p contacts by bin pair, every pair a feature.
 

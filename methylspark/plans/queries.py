@@ -982,6 +982,44 @@ def c16(spark, d):
     return C.impute(m, bins=256).withColumn("value", F.round("value", 6))
 
 
+_MATRIX = """m AS (SELECT cell_id, chrom1 AS chrom, least(start1 // 50000, start2 // 50000) AS bin1, greatest(start1 // 50000, start2 // 50000) AS bin2, count(*) AS n FROM v_contact WHERE chrom1 = chrom2 AND abs(start1 - start2) > 2500 GROUP BY ALL)"""
+
+
+def _matrix(spark, d) -> DataFrame:
+    return C.contact_matrix(view(spark, d, "v_contact"), 50_000, ["cell_id"])
+
+
+_INSULATION = f"""{_MATRIX}, i AS (SELECT cell_id, chrom, b AS bin, CAST(sum(n) AS DOUBLE) / 25e0 AS score FROM (SELECT cell_id, chrom, n, unnest(range(greatest(bin1 + 1, bin2 - 4), least(bin2, bin1 + 5) + 1)) AS b FROM m) t GROUP BY ALL)"""
+
+
+@register("c17_insulation", oracle(f"WITH {_INSULATION} SELECT * FROM i", "v_contact", "v_align"))
+def c17_insulation(spark, d):
+    return C.insulation(_matrix(spark, d), 5)
+
+
+@register("c17_domain_boundaries", oracle(f"WITH {_INSULATION}, e AS (SELECT cell_id, chrom, unnest([bin - 1, bin, bin + 1]) AS bin FROM i), u AS (SELECT DISTINCT * FROM e) SELECT u.cell_id, u.chrom, u.bin, coalesce(x.score, 0e0) AS score FROM u LEFT JOIN i x ON (x.cell_id, x.chrom, x.bin) = (u.cell_id, u.chrom, u.bin) LEFT JOIN i l ON (l.cell_id, l.chrom, l.bin) = (u.cell_id, u.chrom, u.bin - 1) LEFT JOIN i r ON (r.cell_id, r.chrom, r.bin) = (u.cell_id, u.chrom, u.bin + 1) WHERE coalesce(x.score, 0) < coalesce(l.score, 0) AND coalesce(x.score, 0) < coalesce(r.score, 0)", "v_contact", "v_align"))
+def c17_boundaries(spark, d):
+    return C.domain_boundaries(C.insulation(_matrix(spark, d), 5))
+
+
+_CPG = "cp AS (SELECT concat('chr', CAST(read_id % 3 + 1 AS STRING)) AS chrom, read_id % 400 AS bin, string_agg(seq, '' ORDER BY read_id) AS seq FROM v_reads GROUP BY 1, 2)"
+
+
+@register(
+    "c17_compartments",
+    oracle(
+        f"""WITH {_MATRIX}, {_CPG}, g AS (SELECT chrom, bin, CAST((length(seq) - length(replace(seq, 'CG', ''))) // 2 AS DOUBLE) / length(seq) AS cpg FROM cp), d AS (SELECT *, bin2 - bin1 AS d FROM m WHERE bin2 > bin1), o AS (SELECT *, CAST(n AS DOUBLE) / avg(n) OVER (PARTITION BY cell_id, chrom, d) AS w FROM d),
+        e AS (SELECT cell_id, chrom, bin1 AS bin, bin2 AS other, w FROM o UNION ALL SELECT cell_id, chrom, bin2, bin1, w FROM o) SELECT e.cell_id, e.chrom, e.bin, round(sum(w * cpg) / sum(w), 9) AS score FROM e JOIN g ON g.chrom = e.chrom AND g.bin = e.other GROUP BY 1, 2, 3""",
+        "v_contact", "v_align", "v_reads",
+    ),
+)
+def c17_compartments(spark, d):
+    """CpG ratio too, of sequences put together from reads."""
+    v = view(spark, d, "v_reads").select(F.concat(F.lit("chr"), (F.col("read_id") % 3 + 1).cast("string")).alias("chrom"), (F.col("read_id") % 400).alias("bin"), "read_id", "seq")
+    v = v.groupBy("chrom", "bin").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("read_id", "seq"))), lambda x: x["seq"]), "").alias("seq"))
+    return C.compartments(_matrix(spark, d), C.cpg_ratio(v)).withColumn("score", F.round("score", 9))
+
+
 @register("c17_embedding")
 def c17(spark, d):
     return C.embed(C.contact_matrix(view(spark, d, "v_contact"), 50_000, ["cell_id"]), dims=3)
