@@ -355,7 +355,7 @@ def c1(spark, d):
     return C.remove_overlapping_parts(v, ["cell_id"]).select("seq", "read_name", "st", "ss", "se", F.col("flag").cast("int").alias("flag"))
 
 
-@register("t3_sliding_counts", "SELECT to_timestamp(epoch(time_bucket(INTERVAL 1 HOUR, ts)) - k * 3600)::TIMESTAMP AS start, event_type, count(*) AS n FROM events, range(0, 3) t(k) GROUP BY 1, 2")
+@register("t3_sliding_counts", "SELECT time_bucket(INTERVAL 1 HOUR, ts) - to_hours(CAST(k AS INT)) AS start, event_type, count(*) AS n FROM events, range(0, 3) t(k) GROUP BY 1, 2")
 def t3_sliding(spark, d):
     out = ST.windowed_counts(spark.read.parquet(f"{d}/events.parquet"), size="3 hours", slide="1 hour")
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
