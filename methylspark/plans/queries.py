@@ -1258,11 +1258,11 @@ def a3_all(spark, d):
     return S.all_cells(stats, cells, v.groupBy("sample").agg((F.count(F.lit(1)) / F.lit(1e6)).alias("genome_cov")), "sample")
 
 
-_RNA = """t AS (SELECT cell_id, split_part(cell_id,'-',1) AS plate, split_part(cell_id,'-',3) AS pcr, input_reads AS x, input_reads // 5 AS f, input_reads // 7 AS r FROM v_cell)"""
+_RNA = """t AS (SELECT cell_id, split_part(cell_id,'-',1) AS plate, split_part(cell_id,'-',3) AS pcr, x, x // 5 AS f, x // 7 AS r FROM (SELECT cell_id, CAST(sum(input_reads) AS BIGINT) AS x FROM v_cell GROUP BY 1) u)"""
 
 
 def _rna_tables(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    v, x = view(spark, d, "v_cell"), F.col("input_reads")
+    v, x = view(spark, d, "v_cell").groupBy("cell_id").agg(F.sum("input_reads").alias("input_reads")), F.col("input_reads")
     base = v.select("cell_id", *[c.alias(f"{r}{n}") for r in ("R1", "R2") for n, c in (("InputReads", x), ("TrimmedReads", x), ("UniqueMappedReads", F.floor(x / 2)), ("DeduppedReads", F.floor(x / 4)), ("FinalBismarkReads", F.floor(x / 3)))],
                     (x % 7).alias("CisShortContact"), (x % 5).alias("CisLongContact"), (x % 3).alias("TransContact"))
     return base, v.select("cell_id", F.floor(x / 5).alias("FinalDNAReads")), v.select("cell_id", F.floor(x / 7).alias("FinalRNAReads"))
