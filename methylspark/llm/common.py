@@ -134,6 +134,13 @@ def few_files(df: DataFrame) -> DataFrame:
     return df.coalesce(max(spark.sparkContext.defaultParallelism, shuffle_partitions(spark) // 4))
 
 
+def larger_files(docs: DataFrame) -> DataFrame:
+    """Documents in a quarter as many partitions as they are read in, or twice as many as there are cores: what a stage writes
+    from them, split by split, is then a few splits large. For frames that are only read, not computed."""
+    n, cores = docs.rdd.getNumPartitions(), docs.sparkSession.sparkContext.defaultParallelism
+    return docs.coalesce(max(2 * cores, -(-n // 4)))
+
+
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Splits a stream of batches, sorted by ``keys``, into tables that end where a key ends.
 

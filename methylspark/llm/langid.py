@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from methylspark.llm.common import Workspace, columns_of, table
+from methylspark.llm.common import Workspace, columns_of, larger_files, table
 
 #: Hashed features; n-grams of two and three bytes share them.
 DIM = 4096
@@ -190,5 +190,5 @@ def stage_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without a recognisable language go: no letters, or no language at least half as likely
     as all others together."""
     model = train(docs, learned_from(F.col("doc_id")))
-    kept = identify(docs, model).where((F.col("__lang.lang_pred") != UNKNOWN) & ~(F.col("__lang.ambiguous") & (F.col("__lang.score") < 1 / 3)))
+    kept = identify(larger_files(docs), model).where((F.col("__lang.lang_pred") != UNKNOWN) & ~(F.col("__lang.ambiguous") & (F.col("__lang.score") < 1 / 3)))
     return columns_of(kept, docs)

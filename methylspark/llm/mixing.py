@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from methylspark.llm.common import WORD, Workspace, columns_of, few_files, table
+from methylspark.llm.common import WORD, Workspace, columns_of, few_files, larger_files, table
 
 #: Sources whose cutoffs may be broadcast in ``apply_mix``; beyond it a shuffle join is used.
 BROADCAST_SOURCES = 20_000
@@ -155,7 +155,7 @@ def op1_mix_sources(spark, sf_dir: str) -> DataFrame:
 
 def stage_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents as often as the mix takes them."""
-    return apply_mix(docs, n_words(F.col("text")))
+    return apply_mix(larger_files(docs), n_words(F.col("text")))
 
 
 ORACLE = r"""

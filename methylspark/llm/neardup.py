@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from methylspark.llm import shingles
-from methylspark.llm.common import Workspace, columns_of, few_files, runs, shuffle_partitions, table
+from methylspark.llm.common import Workspace, columns_of, few_files, larger_files, runs, shuffle_partitions, table
 from methylspark.llm.components import components
 
 #: Similarity, as a percentage, from which documents are linked.
@@ -312,7 +312,7 @@ def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = space.put(near_duplicates(docs), "found", narrow=True)
     gone = space.put(found.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "gone", narrow=True)
     small = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(gone) if small else gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    kept = larger_files(docs).join(F.broadcast(gone) if small else gone, F.col("doc_id") == F.col("__gone"), "left_anti")
     again = space.put(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again")), "again", narrow=True)
     if not again.isEmpty():
         once = kept.join(again, F.col("doc_id") == F.col("__again"), "left_semi").dropDuplicates(["doc_id"])

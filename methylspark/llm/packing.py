@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from methylspark.llm.common import Workspace, table
+from methylspark.llm.common import Workspace, larger_files, table
 
 #: Windows that a partition keeps open.
 OPEN_WINDOWS = 64
@@ -180,4 +180,4 @@ def op7_pack_sequences(spark, sf_dir: str, tokenizer: str | None = None) -> Data
 
 def stage_pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the corpus as packed sequences, ids included."""
-    return pack(docs, vocabulary(), end_id=1, window=2048)
+    return pack(larger_files(docs), vocabulary(), end_id=1, window=2048)

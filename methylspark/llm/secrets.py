@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from methylspark.llm.common import columns_of, table
+from methylspark.llm.common import columns_of, larger_files, table
 
 KINDS = ("assign", "access", "hex", "guess")
 #: Guess cost in bits from which a value in credential context is a secret.
@@ -235,7 +235,7 @@ def op5_secret_scan(spark, sf_dir: str) -> DataFrame:
 
 def stage_secrets(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: secret values are masked; every document stays."""
-    masked = docs.withColumn("text", F.arrow_udf(_mask, "string")(F.col("text")))
+    masked = larger_files(docs).withColumn("text", F.arrow_udf(_mask, "string")(F.col("text")))
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
     return columns_of(masked, docs)
